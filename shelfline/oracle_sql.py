@@ -184,6 +184,86 @@ select store_id, product_id, cast(sum(quantity_change) as bigint) as stock_on_ha
 from fct_inventory_events group by store_id, product_id""", "fct_inventory_events")
 
 
+# ------------------------------------------------- two-run scenarios
+_CUTOFF = "timestamp '2024-01-20 00:00:00'"
+_RESENT = f"(event_id % 10 < 7 and event_at < {_CUTOFF} and event_id % 50 = 0)"
+cte("inv_run1", f"""
+select * from stg_inventory_events where event_id % 10 < 7 and event_at < {_CUTOFF}""", "stg_inventory_events")
+cte("inv_run2", f"""
+select event_id, store_id, product_id, event_type,
+ case when {_RESENT} then quantity_change + 1 else quantity_change end as quantity_change,
+ case when {_RESENT} then event_at + interval 30 day else event_at end as event_at
+from stg_inventory_events""", "stg_inventory_events")
+cte("inv_wm", """
+select coalesce(max(event_at), timestamp '1900-01-01 00:00:00') as m from inv_run1""", "inv_run1")
+cte("inv_batch", """
+select * from inv_run2 where event_at > (select m from inv_wm)""", "inv_run2", "inv_wm")
+cte("inv_two_runs", """
+select * from inv_run1 where event_id not in (select event_id from inv_batch)
+union all select * from inv_batch""", "inv_run1", "inv_batch")
+cte("inv_upsert_all", """
+select * from inv_run1 where event_id not in (select event_id from inv_run2)
+union all select * from inv_run2""", "inv_run1", "inv_run2")
+cte("inv_sync_batch", """
+select event_id, store_id, product_id, quantity_change, event_at, cast(sign(quantity_change) as int) as direction
+from inv_run2 where event_at > (select m from inv_wm)""", "inv_run2", "inv_wm")
+cte("inv_schema_sync", """
+select event_id, store_id, product_id, quantity_change, event_at, cast(null as int) as direction
+from inv_run1 where event_id not in (select event_id from inv_sync_batch)
+union all select * from inv_sync_batch""", "inv_run1", "inv_sync_batch")
+
+_T1, _T2 = "timestamp '2024-06-01 00:00:00'", "timestamp '2024-06-02 00:00:00'"
+cte("prod_run1", """
+select product_id, sku, product_name, category, price, updated_at from stg_products""", "stg_products")
+cte("prod_run2", """
+select product_id, case when product_id % 10 = 1 then concat(sku, '-R2') else sku end as sku, product_name, category,
+ cast(case when product_id % 10 = 0 then price + cast('1.00' as decimal(10,2)) else price end as decimal(10,2)) as price, updated_at
+from stg_products""", "stg_products")
+cte("prod_changed", """
+select b.* from prod_run2 b join prod_run1 a on a.product_id = b.product_id
+where a.price is distinct from b.price or a.product_name is distinct from b.product_name or a.category is distinct from b.category""",
+    "prod_run1", "prod_run2")
+
+
+def _scd_id(key: str, ts: str) -> str:
+    return f"md5(coalesce(cast({key} as varchar), '') || '|' || coalesce(cast({ts} as varchar), ''))"
+
+
+cte("scd2_check_two_runs", f"""
+select a.*, {_scd_id('a.product_id', _T1)} as scd_id, {_T1} as scd_updated_at, {_T1} as valid_from,
+ case when a.product_id in (select product_id from prod_changed) then {_T2} end as valid_to
+from prod_run1 a
+union all
+select n.*, {_scd_id('n.product_id', _T2)}, {_T2}, {_T2}, cast(null as timestamp)
+from (select * from prod_changed union all select * from prod_run2 where product_id not in (select product_id from prod_run1)) n""",
+    "prod_run1", "prod_run2", "prod_changed")
+
+cte("ord_run1", """
+select order_id, customer_id, store_id, status, ordered_at, updated_at from stg_orders""", "stg_orders")
+cte("ord_run2", """
+select order_id, customer_id, store_id,
+ case when order_id % 10 = 0 then 'returned' when order_id % 10 = 1 then 'cancelled' else status end as status,
+ ordered_at, case when order_id % 10 = 0 then updated_at + interval 1 day else updated_at end as updated_at
+from stg_orders where order_id % 10 <> 2""", "stg_orders")
+cte("ord_changed", """
+select b.* from ord_run2 b join ord_run1 a on a.order_id = b.order_id where a.updated_at < b.updated_at""",
+    "ord_run1", "ord_run2")
+cte("scd2_timestamp_two_runs", f"""
+select a.*, {_scd_id('a.order_id', 'a.updated_at')} as scd_id, a.updated_at as scd_updated_at, a.updated_at as valid_from,
+ c.updated_at as valid_to
+from ord_run1 a left join ord_changed c on a.order_id = c.order_id
+union all
+select n.*, {_scd_id('n.order_id', 'n.updated_at')}, n.updated_at, n.updated_at, cast(null as timestamp)
+from (select * from ord_changed union all select * from ord_run2 where order_id not in (select order_id from ord_run1)) n""",
+    "ord_run1", "ord_changed", "ord_run2")
+cte("scd2_from_change_log", f"""
+with log as (select *, 1 as seq from ord_run1 union all select *, 2 as seq from ord_run2),
+firsts as (select * exclude (rn, seq) from (select *, row_number() over (partition by order_id, updated_at order by seq) as rn from log) where rn = 1)
+select order_id, customer_id, store_id, status, ordered_at, updated_at, {_scd_id('order_id', 'updated_at')} as scd_id,
+ updated_at as scd_updated_at, updated_at as valid_from, lead(updated_at) over (partition by order_id order by updated_at) as valid_to
+from firsts""", "ord_run1", "ord_run2")
+
+
 def with_ctes(final: str, *names: str) -> str:
     """``final`` preceded by the CTEs it needs (transitively), in order."""
     order: list[str] = []
@@ -217,4 +297,103 @@ def oracle_sql() -> dict[str, str]:
     q["top_customers_ltv"] = with_ctes("""
 select customer_id, first_name, last_name, region, lifetime_orders, lifetime_value from dim_customers
 where has_ordered order by lifetime_value desc, customer_id limit 20""", "dim_customers")
+    q["dollars_to_cents"] = with_ctes("""
+select order_item_id, unit_price, line_total, cast(round(unit_price * 100) as bigint) as unit_price_cents,
+ cast(round(line_total * 100) as bigint) as line_total_cents from raw_order_items""", "raw_order_items")
+    q["surrogate_key"] = with_ctes(f"""
+select customer_id, email, country_code, {sk('customer_id')} as sk_single, {sk('customer_id', 'email')} as sk_with_null,
+ {sk('country_code', 'email', 'customer_id')} as sk_three from stg_customers""", "stg_customers")
+    q["load_raw"] = with_ctes("""
+select customer_id, first_name, last_name, nullif(email, '') as email, country_code, signup_at from raw_customers""",
+        "raw_customers")
+    raws = ("raw_customers", "raw_products", "raw_stores", "raw_orders", "raw_order_items", "raw_payments",
+            "raw_inventory_events")
+    q["raw_row_counts"] = with_ctes("\nunion all ".join(
+        f"select '{t}' as tbl, count(*) as row_count from {t}" for t in raws), *raws)
+    q["load_once"] = table("raw_inventory_events")
+    q["seed_country_codes"] = table("country_codes")
+    q["seed_category_targets"] = with_ctes("""
+select p.category, t.monthly_revenue_target, count(*) as n_products from stg_products p
+left join category_targets t on p.category = t.category group by p.category, t.monthly_revenue_target""",
+        "stg_products", "category_targets")
+    q["clustered_write"] = table("fct_orders")
+    q["incremental_watermark"] = table("inv_batch")
+    q["incremental_merge_two_runs"] = with_ctes(
+        "select *, cast(event_at as date) as event_date from inv_two_runs", "inv_two_runs")
+    q["incremental_stream"] = q["incremental_merge_two_runs"]
+    q["incremental_upsert"] = with_ctes(
+        "select *, cast(event_at as date) as event_date from inv_upsert_all", "inv_upsert_all")
+    q["incremental_schema_sync"] = with_ctes(
+        "select *, cast(event_at as date) as event_date from inv_schema_sync", "inv_schema_sync")
+    q["scd2_check_two_runs"] = table("scd2_check_two_runs")
+    q["scd2_timestamp_two_runs"] = table("scd2_timestamp_two_runs")
+    q["scd2_from_change_log"] = table("scd2_from_change_log")
+    q["scd2_as_of"] = with_ctes("""
+select * from scd2_timestamp_two_runs where valid_from <= timestamp '1996-01-01 00:00:00'
+ and (valid_to is null or timestamp '1996-01-01 00:00:00' < valid_to)""", "scd2_timestamp_two_runs")
+    q["dq_order_amount_non_negative"] = with_ctes(
+        "select order_id, order_amount from fct_orders where order_amount < 0", "fct_orders")
+    q["dq_payments_reconcile"] = with_ctes("""
+select order_id, order_amount, amount_paid, cast(abs(order_amount - amount_paid) as decimal(23,2)) as diff
+from fct_orders where status = 'completed' and abs(order_amount - amount_paid) > 0.01""", "fct_orders")
+    q["source_freshness"] = with_ctes(_freshness_sql(), "raw_orders", "raw_inventory_events")
+    from .operators import quality
+    for test in ("unique", "not_null", "accepted_values", "relationships", "accepted_range", "row_count"):
+        q[f"dq_{test}"] = _suite_sql(quality.checks_of(test), singular=False)
+    q["dq_suite"] = _suite_sql(quality.SUITE, singular=True)
     return q
+
+
+def _freshness_sql() -> str:
+    now = "timestamp '2024-02-01 00:00:00'"
+    parts = []
+    for src, col in (("raw_orders", "updated_at"), ("raw_inventory_events", "event_at")):
+        age = f"(epoch_us({now}) // 1000000 - epoch_us(max({col})) // 1000000)"
+        parts.append(f"""select '{src}' as source, max({col}) as max_loaded_at, {now} as snapshotted_at,
+ {age} as age_seconds,
+ case when max({col}) is null then 'error' when {age} > 48 * 3600 then 'error' when {age} > 36 * 3600 then 'warn' else 'pass' end as status
+from {src}""")
+    return "\nunion all\n".join(parts)
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _check_sql(ch) -> str:
+    m, c = ch.model, ch.column
+    head = f"select '{m}' as model, {_lit(c) if c else 'cast(null as varchar)'} as column_name, '{ch.test}' as test"
+    if ch.test == "unique":
+        body = f"(select {c} from {m} where {c} is not null group by {c} having count(*) > 1)"
+        return f"{head}, cast(count(*) as bigint) as failures from {body}"
+    if ch.test == "not_null":
+        return f"{head}, cast(count(*) as bigint) as failures from {m} where {c} is null"
+    if ch.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in ch.params["values"])
+        return f"{head}, cast(count(distinct {c}) as bigint) as failures from {m} where {c} not in ({vals})"
+    if ch.test == "accepted_range":
+        op = ">=" if ch.params.get("inclusive", True) else ">"
+        return (f"{head}, cast(count(*) as bigint) as failures from {m} "
+                f"where {c} is not null and not ({c} {op} {ch.params['min_value']})")
+    if ch.test == "relationships":
+        to, f = ch.params["to"], ch.params["field"]
+        return (f"{head}, cast(count(*) as bigint) as failures from {m} ch where ch.{c} is not null "
+                f"and not exists (select 1 from {to} p where p.{f} = ch.{c})")
+    if ch.test == "row_count":
+        return f"{head}, cast(case when count(*) >= {ch.params['min_value']} then 0 else 1 end as bigint) as failures from {m}"
+    raise ValueError(ch.test)
+
+
+def _suite_sql(checks, singular: bool) -> str:
+    parts = [_check_sql(ch) for ch in checks]
+    models = {ch.model for ch in checks} | {ch.params["to"] for ch in checks if ch.test == "relationships"}
+    if singular:
+        parts.append("select 'fct_orders' as model, cast(null as varchar) as column_name, "
+                     "'assert_order_amount_non_negative' as test, cast(count(*) as bigint) as failures "
+                     "from fct_orders where order_amount < 0")
+        parts.append("select 'fct_orders' as model, cast(null as varchar) as column_name, "
+                     "'assert_payments_reconcile_to_orders' as test, cast(count(*) as bigint) as failures "
+                     "from fct_orders where status = 'completed' and abs(order_amount - amount_paid) > 0.01")
+        models.add("fct_orders")
+    union = "\nunion all\n".join(parts)
+    return with_ctes(f"select *, failures = 0 as passed from (\n{union}\n) r", *sorted(models))

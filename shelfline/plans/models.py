@@ -91,3 +91,17 @@ class RetailModels:
     @cached_property
     def top_customers_ltv(self) -> DataFrame:
         return marts.top_customers_ltv(self.dim_customers)
+
+    MART_NAMES = ("dim_customers", "dim_products", "dim_stores", "fct_orders", "fct_order_items",
+                  "fct_payments", "mart_category_revenue", "fct_inventory_events",
+                  "agg_current_stock")
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every model by name (raw, seeds, staging, marts), lazy."""
+        t = dict(self.raw)
+        t.update(self.stg)
+        t["country_codes"] = self.country_codes
+        t["category_targets"] = self.category_targets
+        for name in self.MART_NAMES:
+            t[name] = getattr(self, name)
+        return t
