@@ -23,6 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """UNION ALL by name as a balanced tree: each union re-analyses its
+    inputs, so a left-deep chain of n parts costs O(n^2) analysis."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 # ------------------------------------------------------ generic checks ----
 
 
@@ -119,7 +128,7 @@ def source_freshness(sources: dict[str, tuple[DataFrame, str]], now: str,
             F.when(F.col("max_loaded_at").isNull(), "error")
             .when(age > error_hours * 3600, "error")
             .when(age > warn_hours * 3600, "warn").otherwise("pass").alias("status")))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 # -------------------------------------------------------------- suite ----
@@ -282,7 +291,7 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check] | None = None,
                                  "fct_orders", None, SINGULAR[0]))
         parts.append(_count_rows(payments_not_reconciled(tables["fct_orders"]),
                                  "fct_orders", None, SINGULAR[1]))
-    out = reduce(DataFrame.unionByName, parts)
+    out = union_all(parts)
     return out.withColumn("passed", F.col("failures") == 0)
 
 

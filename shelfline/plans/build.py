@@ -11,6 +11,7 @@ shared folder (by default a fresh folder under the session's checkpoint dir).
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from ..operators import marts, quality
 from ..operators.scd2 import HistoryTable
 from ..operators.upsert import IncrementalTable
 from ..session import work_path
+from ..sources.schemas import RAW_SCHEMAS
 from .models import RetailModels
 from .writers import read_table, write_table
 
@@ -35,11 +37,25 @@ class Build:
     models: RetailModels
     tables: dict[str, DataFrame] = field(default_factory=dict)
     runs: dict[str, object] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    def step(self, name: str):
+        """Context manager recording the wall time of one build step."""
+        b = self
+
+        class _Step:
+            def __enter__(self):
+                self.t0 = time.perf_counter()
+
+            def __exit__(self, *exc):
+                b.seconds[name] = round(time.perf_counter() - self.t0, 3)
+        return _Step()
 
 
 def _write_read(b: Build, name: str, df: DataFrame, cluster_by=None) -> DataFrame:
     path = f"{b.out_dir}/{name}"
-    write_table(df, path, cluster_by=cluster_by)
+    with b.step(name):
+        write_table(df, path, cluster_by=cluster_by)
     b.tables[name] = read_table(b.spark, path)
     return b.tables[name]
 
@@ -51,8 +67,16 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``."""
     out_dir = out_dir or work_path(spark, "build")
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    m = RetailModels(spark, sf_dir)
-    b = Build(spark, sf_dir, out_dir, m)
+    # load: the raw tables are physical tables, written once; every model
+    # and check below reads the loaded copies instead of re-deriving them
+    b = Build(spark, sf_dir, out_dir, None)
+    raw = {}
+    for name, df in RetailModels(spark, sf_dir).raw.items():
+        path = f"{out_dir}/raw/{name}"
+        with b.step(name):
+            write_table(df, path)
+        raw[name] = read_table(spark, path, RAW_SCHEMAS[name])
+    m = b.models = RetailModels(spark, sf_dir, raw=raw)
     b.tables.update(m.raw)
     b.tables.update(m.stg)
     b.tables["country_codes"] = m.country_codes
@@ -60,7 +84,8 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
     # the order rollup reads staged lines without the product join: valid
     # only while product_id is unique, so check that first
-    dup = quality.unique_violations(m.stg["stg_products"], "product_id").limit(1).count()
+    with b.step("check_product_key"):
+        dup = quality.unique_violations(m.stg["stg_products"], "product_id").limit(1).count()
     if dup and on_failure == "stop":
         raise ValueError("stg_products.product_id is not unique")
 
@@ -76,24 +101,30 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
     inv = IncrementalTable(spark, f"{out_dir}/fct_inventory_events", "event_id", "event_at",
                            "event_date")
-    b.runs["fct_inventory_events"] = inv.merge(m.stg["stg_inventory_events"])
+    with b.step("fct_inventory_events"):
+        b.runs["fct_inventory_events"] = inv.merge(m.stg["stg_inventory_events"])
     b.tables["fct_inventory_events"] = inv.read()
     _write_read(b, "agg_current_stock", marts.current_stock(b.tables["fct_inventory_events"]))
 
     from .scenarios import snap_orders_source, snap_products_source
     snap_p = HistoryTable(spark, f"{out_dir}/snap_products", "product_id", "check",
                           check_cols=("price", "product_name", "category"))
-    snap_p.run(snap_products_source(m.stg["stg_products"]), run_ts=now)
+    with b.step("snap_products"):
+        snap_p.run(snap_products_source(m.stg["stg_products"]), run_ts=now)
     snap_o = HistoryTable(spark, f"{out_dir}/snap_orders", "order_id", "timestamp",
                           updated_at="updated_at")
-    snap_o.run(snap_orders_source(m.stg["stg_orders"]))
+    with b.step("snap_orders"):
+        snap_o.run(snap_orders_source(m.stg["stg_orders"]))
     b.tables["snap_products"] = snap_p.read()
     b.tables["snap_orders"] = snap_o.read()
 
     if run_checks:
         suite = quality.run_suite(b.tables)
         path = f"{out_dir}/dq_suite"
-        write_table(suite.coalesce(1), path)
+        with b.step("dq_suite"):
+            # one small file; repartition (not coalesce) keeps every check's
+            # aggregation parallel and shuffles only the result rows
+            write_table(suite.repartition(1), path)
         b.tables["dq_suite"] = read_table(spark, path)
         if on_failure == "stop":
             failed = b.tables["dq_suite"].where("not passed").count()

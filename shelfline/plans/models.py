@@ -17,14 +17,19 @@ from ..sources import driver_tables as drv
 
 
 class RetailModels:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """``raw`` overrides the raw tables (e.g. the loaded copies a build
+    wrote); by default they are mapped from the driver tables on the fly."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 raw: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw = raw
 
     # raw + seeds
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return drv.raw_tables(self.spark, self.sf_dir)
+        return self._raw if self._raw is not None else drv.raw_tables(self.spark, self.sf_dir)
 
     @cached_property
     def country_codes(self) -> DataFrame:

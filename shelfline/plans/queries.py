@@ -8,8 +8,6 @@ table read back."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +100,7 @@ def raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded = csv_load.load_typed_csv(spark, path, schema)
         parts.append(loaded.agg(F.count(F.lit(1)).alias("row_count"))
                      .select(F.lit(name).alias("tbl"), "row_count"))
-    return reduce(DataFrame.unionByName, parts)
+    return quality.union_all(parts)
 
 
 def load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
