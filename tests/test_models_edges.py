@@ -1,0 +1,154 @@
+"""Hand-written edge rows the driver data never contains (FIXTURES.md,
+"Cases the reference's data never contains"), asserted exactly."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from shelfline.functions.columns import dollars_to_cents, surrogate_key, title_trimmed
+from shelfline.operators import marts, staging
+from shelfline.sources import schemas as S
+
+TS = dt.datetime(2024, 3, 5, 10, 0, 0)
+
+
+def test_initcap_trim_semantics(spark):
+    df = spark.createDataFrame([("  mcCARTHY o-neil ",), ("ANNE  marie",), (None,)], "x string")
+    got = [r[0] for r in df.select(title_trimmed("x")).collect()]
+    assert got == ["Mccarthy O-neil", "Anne  Marie", None]
+
+
+def test_trim_removes_blanks_only(spark):
+    df = spark.createDataFrame([("\tab ",)], "x string")
+    assert df.select(F.trim("x")).first()[0] == "\tab"
+
+
+def test_dollars_to_cents_decimal_half_up(spark):
+    df = spark.createDataFrame([(Decimal("1.005"), 1.005), (Decimal("-2.345"), -2.345)],
+                               "d decimal(12,3), f double")
+    got = df.select(dollars_to_cents("d").alias("d"), dollars_to_cents("f").alias("f")).collect()
+    # decimals round HALF_UP on the exact value; the double 1.005 is 1.00499...
+    assert [r["d"] for r in got] == [101, -235]
+    assert got[0]["f"] == 100
+
+
+def test_surrogate_key_null_and_multi(spark):
+    import hashlib
+    df = spark.createDataFrame([(1, None), (2, "a")], "k bigint, e string")
+    got = df.select(surrogate_key("k").alias("one"), surrogate_key("k", "e").alias("two")).collect()
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    assert got[0]["one"] == md5("1")
+    assert got[0]["two"] == md5("1-_dbt_utils_surrogate_key_null_")
+    assert got[1]["two"] == md5("2-a")
+
+
+def _orders(spark, rows):
+    return staging.stg_orders(spark.createDataFrame(rows, S.RAW_ORDERS))
+
+
+def test_stg_orders_null_status_not_returned(spark):
+    o = _orders(spark, [(1, 1, 1, TS, TS, None), (2, 1, 1, TS, TS, " RETURNED ")])
+    got = {r["order_id"]: (r["status"], r["is_returned"]) for r in o.collect()}
+    assert got == {1: (None, False), 2: ("returned", True)}
+
+
+def test_stg_customers_blank_email_null(spark):
+    raw = spark.createDataFrame(
+        [(1, " ann", "LEE ", "  ", " ie", TS), (2, "b", "c", " X@Y.COM ", "gb", TS)],
+        S.RAW_CUSTOMERS)
+    got = {r["customer_id"]: r for r in staging.stg_customers(raw).collect()}
+    assert got[1]["email"] is None and got[1]["first_name"] == "Ann"
+    assert got[1]["country_code"] == "IE"
+    assert got[2]["email"] == "x@y.com"
+
+
+def test_stg_stores_type_case_not_folded(spark):
+    raw = spark.createDataFrame([(1, " s ", "ie", " Flagship ")], S.RAW_STORES)
+    assert staging.stg_stores(raw).first()["store_type"] == "Flagship"
+
+
+def test_stg_payments_cents_from_uncast_amount(spark):
+    raw = spark.createDataFrame([("1-1", 1, " PayPal", Decimal("12.35"), TS)], S.RAW_PAYMENTS)
+    r = staging.stg_payments(raw).first()
+    assert (r["payment_method"], r["amount_cents"], r["amount"]) == ("paypal", 1235,
+                                                                    Decimal("12.35"))
+
+
+def _targets(spark):
+    return spark.createDataFrame([("A", 100), ("Z", 0)], S.CATEGORY_TARGETS)
+
+
+def test_dim_products_null_price_is_premium_and_bands(spark):
+    raw = spark.createDataFrame(
+        [(1, "s", "p", "A", None, TS), (2, "s", "p", "A", Decimal("14.99"), TS),
+         (3, "s", "p", "NOPE", Decimal("15.00"), TS), (4, "s", "p", None, Decimal("50.00"), TS)],
+        S.RAW_PRODUCTS)
+    d = marts.dim_products(staging.stg_products(raw), _targets(spark))
+    got = {r["product_id"]: (r["price_band"], r["category_monthly_target"]) for r in d.collect()}
+    assert got == {1: ("premium", 100), 2: ("budget", 100), 3: ("mid", None), 4: ("premium", None)}
+
+
+def test_orders_without_items_or_payments_and_orphans(spark):
+    orders = _orders(spark, [(1, 10, 1, TS, TS, "completed"), (2, 10, 1, TS, TS, "placed")])
+    items = staging.stg_order_items(spark.createDataFrame(
+        [("a", 1, 7, 2, Decimal("5.00"), Decimal("10.00")),
+         ("orphan", 99, 7, 1, Decimal("1.00"), Decimal("1.00"))], S.RAW_ORDER_ITEMS))
+    pays = staging.stg_payments(spark.createDataFrame(
+        [("1-1", 1, "paypal", Decimal("9.99"), TS)], S.RAW_PAYMENTS))
+    enr = marts.int_orders_enriched(orders, items, pays)
+    f = {r["order_id"]: r for r in marts.fct_orders(enr).collect()}
+    assert (f[1]["n_line_items"], f[1]["order_amount"], f[1]["amount_paid"],
+            f[1]["payment_gap"]) == (1, Decimal("10.00"), Decimal("9.99"), Decimal("0.01"))
+    assert (f[2]["n_line_items"], f[2]["total_quantity"], f[2]["order_amount"],
+            f[2]["amount_paid"]) == (0, 0, Decimal("0"), Decimal("0"))
+    products = staging.stg_products(spark.createDataFrame([], S.RAW_PRODUCTS))
+    fi = marts.fct_order_items(marts.int_order_items_enriched(items, products), orders)
+    orphan = fi.where("order_item_id = 'orphan'").first()
+    assert orphan["customer_id"] is None and orphan["ordered_date"] is None
+    assert orphan["product_name"] is None
+
+
+def test_dim_customers_without_orders(spark):
+    cust = staging.stg_customers(spark.createDataFrame(
+        [(1, "a", "b", "", "ie", TS), (2, "c", "d", "x@y", "zz", TS)], S.RAW_CUSTOMERS))
+    orders = _orders(spark, [(10, 1, 1, TS, TS, "cancelled"), (11, 1, 1, TS, TS, "returned")])
+    empty_items = staging.stg_order_items(spark.createDataFrame([], S.RAW_ORDER_ITEMS))
+    empty_pays = staging.stg_payments(spark.createDataFrame([], S.RAW_PAYMENTS))
+    enr = marts.int_orders_enriched(orders, empty_items, empty_pays)
+    cc = spark.createDataFrame([("IE", "Ireland", "Europe")], S.COUNTRY_CODES)
+    got = {r["customer_id"]: r for r in marts.dim_customers(cust, enr, cc).collect()}
+    # cancelled and returned orders count toward lifetime orders
+    assert (got[1]["lifetime_orders"], got[1]["has_ordered"], got[1]["region"]) == (2, True,
+                                                                                    "Europe")
+    assert (got[2]["lifetime_orders"], got[2]["lifetime_value"], got[2]["has_ordered"],
+            got[2]["country_name"]) == (0, Decimal("0"), False, None)
+
+
+def test_category_revenue_null_and_zero_targets(spark):
+    d = dt.date(2024, 1, 15)
+    items = spark.createDataFrame(
+        [("A", d, "completed", Decimal("33.35")), ("A", d, "cancelled", Decimal("5.00")),
+         ("A", d, None, Decimal("7.00")), ("Z", d, "placed", Decimal("1.00")),
+         ("Q", d, "shipped", Decimal("2.00")), (None, d, "shipped", Decimal("3.00"))],
+        "category string, ordered_date date, status string, line_total decimal(12,2)")
+    got = {r["category"]: r for r in marts.mart_category_revenue(items, _targets(spark)).collect()}
+    # NULL status is dropped by NOT IN; 33.35/100 -> 33.4 (HALF_UP)
+    assert got["A"]["revenue"] == Decimal("33.35")
+    assert got["A"]["pct_of_target"] == Decimal("33.4")
+    assert got["Z"]["pct_of_target"] is None          # zero target
+    assert got["Q"]["pct_of_target"] is None          # no target
+    assert got[None]["monthly_revenue_target"] is None
+    assert got["A"]["revenue_month"] == dt.datetime(2024, 1, 1)
+
+
+def test_top_customers_is_top_k_with_tie_break(spark):
+    df = spark.createDataFrame(
+        [(i, "f", "l", "r", 1, Decimal(i % 3), True) for i in range(1, 30)]
+        + [(99, "f", "l", "r", 0, Decimal(0), False)],
+        "customer_id bigint, first_name string, last_name string, region string, "
+        "lifetime_orders bigint, lifetime_value decimal(32,2), has_ordered boolean")
+    top = marts.top_customers_ltv(df, 5)
+    assert [r["customer_id"] for r in top.collect()] == [2, 5, 8, 11, 14]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
