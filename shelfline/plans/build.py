@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,27 @@ from .writers import read_table, write_table
 # Clustering of the two clustered tables.
 FCT_ORDERS_CLUSTER = ("ordered_date", "store_id")
 FCT_INVENTORY_CLUSTER = ("event_date", "store_id")
+# Raw tables joined and rolled up on order_id: written bucketed on it.
+ORDER_KEYED = ("raw_orders", "raw_order_items", "raw_payments")
+
+
+def _load_raw(spark: SparkSession, name: str, df: DataFrame, path: str,
+              buckets: int | None, table_prefix: str) -> DataFrame:
+    """Write one raw table once and return the loaded copy.
+
+    Order-keyed tables are bucketed (and sorted) on order_id into ``buckets``
+    buckets, hash-partitioned first so every bucket is one file: the order
+    rollups, the order joins and the order relationship checks then read
+    co-partitioned inputs and plan no exchange for them. Bucketing needs a
+    catalog entry; the table is external (its files live at ``path``)."""
+    if buckets and name in ORDER_KEYED:
+        table = f"{table_prefix}_{name}"
+        (df.repartition(buckets, "order_id").write.mode("overwrite")
+         .bucketBy(buckets, "order_id").sortBy("order_id")
+         .option("path", path).saveAsTable(table))
+        return spark.table(table)
+    write_table(df, path)
+    return read_table(spark, path, RAW_SCHEMAS[name])
 
 
 @dataclass
@@ -61,21 +83,25 @@ def _write_read(b: Build, name: str, df: DataFrame, cluster_by=None) -> DataFram
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-              now: str | None = None, on_failure: str = "stop", run_checks: bool = True
-              ) -> Build:
+              now: str | None = None, on_failure: str = "stop", run_checks: bool = True,
+              order_buckets: int | None = 0) -> Build:
     """Build every model; ``on_failure='stop'`` raises when a check fails,
-    ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``."""
+    ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``.
+    ``order_buckets``: bucket count of the order-keyed raw tables (0 = the
+    session's shuffle partition count, None = no bucketing)."""
     out_dir = out_dir or work_path(spark, "build")
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     # load: the raw tables are physical tables, written once; every model
     # and check below reads the loaded copies instead of re-deriving them
     b = Build(spark, sf_dir, out_dir, None)
+    if order_buckets == 0:
+        order_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prefix = f"shelfline_{uuid.uuid4().hex[:12]}"
     raw = {}
     for name, df in RetailModels(spark, sf_dir).raw.items():
-        path = f"{out_dir}/raw/{name}"
         with b.step(name):
-            write_table(df, path)
-        raw[name] = read_table(spark, path, RAW_SCHEMAS[name])
+            raw[name] = _load_raw(spark, name, df, f"{out_dir}/raw/{name}", order_buckets,
+                                  prefix)
     m = b.models = RetailModels(spark, sf_dir, raw=raw)
     b.tables.update(m.raw)
     b.tables.update(m.stg)

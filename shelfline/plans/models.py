@@ -75,7 +75,8 @@ class RetailModels:
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
-        return marts.fct_order_items(self.int_order_items_enriched, self.stg["stg_orders"])
+        return marts.fct_order_items_from_staged(self.stg["stg_order_items"],
+                                                 self.stg["stg_products"], self.stg["stg_orders"])
 
     @cached_property
     def fct_payments(self) -> DataFrame:

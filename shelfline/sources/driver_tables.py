@@ -15,6 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import broadcast_if_small
 from .schemas import CATEGORY_TARGETS, RAW_SCHEMAS, conform
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -176,11 +177,11 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country lookup from nation x region (25 x 5 rows, fixed by the TPC-H
-    spec at every scale factor, so broadcasting the region side is bounded).
+    spec at every scale factor; the region side is broadcast after a size check).
     Nation 24 is left out on purpose: an unknown country for the checks."""
     n = read_driver(spark, sf_dir, "nation")
     r = read_driver(spark, sf_dir, "region")
-    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner")
+    j = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey, "inner")
     return j.where(F.col("n_nationkey") != 24).select(
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("country_code"),
         F.col("n_name").alias("country_name"),
