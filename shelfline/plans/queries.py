@@ -145,14 +145,16 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     read back."""
     from .build import FCT_ORDERS_CLUSTER
     path = work_path(spark, "clustered_write")
-    write_table(RetailModels(spark, sf_dir).fct_orders, path, cluster_by=FCT_ORDERS_CLUSTER)
+    write_table(RetailModels(spark, sf_dir).fct_orders, path, cluster_by=FCT_ORDERS_CLUSTER,
+                tiebreak="order_id")
     return read_table(spark, path)
 
 
 # ------------------------------------------------------------ incremental --
 
 def _inventory_table(spark: SparkSession, name: str) -> IncrementalTable:
-    return IncrementalTable(spark, work_path(spark, name), "event_id", "event_at", "event_date")
+    return IncrementalTable(spark, work_path(spark, name), "event_id", "event_at", "event_date",
+                            cluster_by=("store_id",))
 
 
 def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +210,8 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = RetailModels(spark, sf_dir).stg["stg_inventory_events"]
     schema = RAW_SCHEMAS["raw_inventory_events"]
     landing = f"{root}/landing"
-    t = IncrementalTable(spark, f"{root}/table", "event_id", "event_at", "event_date")
+    t = IncrementalTable(spark, f"{root}/table", "event_id", "event_at", "event_date",
+                         cluster_by=("store_id",))
     ckpt = f"{root}/_checkpoint"
     csv_load.write_landing_csv(sc.inventory_run1(stg), f"{landing}/run1")
     run_incremental_stream(spark, f"{landing}/*", schema, stg_inventory_events, t, ckpt)

@@ -13,16 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
-    return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+def clustered(df: DataFrame, cluster_by: Sequence[str],
+              tiebreak: str | None = None) -> DataFrame:
+    """Range-partition and sort on the clustering columns. A range
+    partitioner cannot split rows with equal keys, so a hot clustering value
+    (a third of the table) would land in one task; ``tiebreak`` (a unique
+    column appended to the range keys) lets it be split across tasks while
+    files still cover narrow ranges of the clustering columns."""
+    keys = [*cluster_by, tiebreak] if tiebreak else list(cluster_by)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None,
-                partition_by: Sequence[str] | None = None) -> str:
+                partition_by: Sequence[str] | None = None,
+                tiebreak: str | None = None) -> str:
     """Rebuild-and-replace write. ``df`` must not read from ``path`` (an
     overwrite deletes the target before the plan reads it)."""
     if cluster_by:
-        df = clustered(df, cluster_by)
+        df = clustered(df, cluster_by, tiebreak)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -57,3 +57,13 @@ def test_order_tables_are_bucketed(built):
 def test_stop_on_failure_raises(spark):
     with pytest.raises(ValueError):
         build_all(spark, SF, now="2024-06-01 00:00:00", on_failure="stop")
+
+
+def test_hot_key_share_detects_a_third(spark):
+    from pyspark.sql import functions as F
+    from shelfline.plans.build import hot_key_share
+    df = spark.range(0, 300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("order_id"))
+    assert 0.25 < hot_key_share(df, "order_id") < 0.42
+    assert hot_key_share(spark.range(0, 300000).withColumnRenamed("id", "order_id"),
+                         "order_id") < 0.01
