@@ -222,46 +222,58 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _result(model: str, column: str | None, test: str, failures: Column) -> list[Column]:
-    return [F.lit(model).alias("model"), F.lit(column).cast("string").alias("column_name"),
-            F.lit(test).alias("test"), failures.cast("bigint").alias("failures")]
+def _sql_str(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+def _labels(model: str, column: str | None, test: str, failures: str) -> list[str]:
+    """Result columns as SQL expression strings: one JVM call per select
+    instead of one per literal (plan building is round-trip bound)."""
+    return [f"{_sql_str(model)} AS model", f"{_sql_str(column)} AS column_name",
+            f"{_sql_str(test)} AS test", f"CAST({failures} AS BIGINT) AS failures"]
+
+
+def _cond_sql(ch: Check) -> str:
+    """The failure count of one table-level check as a SQL aggregate."""
+    c = f"`{ch.column}`" if ch.column else None
+    if ch.test == "not_null":
+        return f"count_if({c} IS NULL)"
+    if ch.test == "accepted_range":
+        lo, hi, inc = (ch.params.get("min_value"), ch.params.get("max_value"),
+                       ch.params.get("inclusive", True))
+        conds = []
+        if lo is not None:
+            conds.append(f"{c} {'>=' if inc else '>'} {lo}")
+        if hi is not None:
+            conds.append(f"{c} {'<=' if inc else '<'} {hi}")
+        ok = " AND ".join(conds) or "TRUE"
+        return f"count_if({c} IS NOT NULL AND NOT ({ok}))"
+    if ch.test == "accepted_values":
+        vals = ", ".join(_sql_str(v) for v in ch.params["values"])
+        # failures = number of distinct offending values (NULL passes)
+        return f"count(DISTINCT CASE WHEN {c} NOT IN ({vals}) THEN {c} END)"
+    if ch.test == "row_count":
+        lo, hi = ch.params.get("min_value"), ch.params.get("max_value")
+        conds = ([f"count(1) >= {lo}"] if lo is not None else []) + \
+                ([f"count(1) <= {hi}"] if hi is not None else [])
+        return f"CASE WHEN {' AND '.join(conds) or 'TRUE'} THEN 0 ELSE 1 END"
+    raise ValueError(ch.test)
 
 
 def _table_agg(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """not_null / accepted_range / accepted_values / row_count of one table in
-    a single aggregate; returns one row per check."""
-    aggs = []
-    for i, ch in enumerate(checks):
-        c = F.col(ch.column) if ch.column else None
-        if ch.test == "not_null":
-            a = F.count_if(c.isNull())
-        elif ch.test == "accepted_range":
-            a = F.count_if(c.isNotNull() & ~_in_range(
-                c, ch.params.get("min_value"), ch.params.get("max_value"),
-                ch.params.get("inclusive", True)))
-        elif ch.test == "accepted_values":
-            # failures = number of distinct offending values
-            a = F.count_distinct(F.when(~c.isin(*ch.params["values"]), c))
-        elif ch.test == "row_count":
-            a = F.count(F.lit(1))
-        else:
-            raise ValueError(ch.test)
-        aggs.append(a.alias(f"c{i}"))
-    row = df.agg(*aggs)
-    cols = []
-    for i, ch in enumerate(checks):
-        v = F.col(f"c{i}")
-        if ch.test == "row_count":
-            v = F.when(_in_range(v, ch.params.get("min_value"), ch.params.get("max_value")), 0) \
-                .otherwise(1)
-        cols.append(F.struct(*_result(model, ch.column, ch.test, v)))
-    return row.select(F.inline(F.array(*cols)))
+    a single aggregate (one scan); returns one row per check."""
+    row = df.agg(*[F.expr(_cond_sql(ch)).alias(f"c{i}") for i, ch in enumerate(checks)])
+    structs = ", ".join(
+        "struct(" + ", ".join(_labels(model, ch.column, ch.test, f"c{i}")) + ")"
+        for i, ch in enumerate(checks))
+    return row.selectExpr(f"inline(array({structs}))")
 
 
 def _count_rows(df: DataFrame, model: str, column: str | None, test: str,
                 weight: str | None = None) -> DataFrame:
-    n = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))
-    return df.agg(n.alias("n")).select(*_result(model, column, test, F.col("n")))
+    n = f"coalesce(sum(`{weight}`), 0)" if weight else "count(1)"
+    return df.agg(F.expr(n).alias("n")).selectExpr(*_labels(model, column, test, "n"))
 
 
 def run_suite(tables: dict[str, DataFrame], checks: list[Check] | None = None,
@@ -292,7 +304,7 @@ def run_suite(tables: dict[str, DataFrame], checks: list[Check] | None = None,
         parts.append(_count_rows(payments_not_reconciled(tables["fct_orders"]),
                                  "fct_orders", None, SINGULAR[1]))
     out = union_all(parts)
-    return out.withColumn("passed", F.col("failures") == 0)
+    return out.selectExpr("*", "failures = 0 AS passed")
 
 
 def checks_of(test: str) -> list[Check]:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from ..operators.scd2 import HistoryTable
 from ..operators.upsert import IncrementalTable
 from ..session import work_path
 from ..sources.schemas import RAW_SCHEMAS
+from . import fs
 from .models import RetailModels
 from .writers import read_table, write_table
 
@@ -33,25 +35,19 @@ FCT_INVENTORY_CLUSTER = ("event_date", "store_id")
 ORDER_KEYED = ("raw_orders", "raw_order_items", "raw_payments")
 
 
-# Layout heuristic for bucketing (sample fraction, and the
-# largest share of rows one key may hold before bucketing is skipped).
-SKEW_SAMPLE_FRACTION = 0.01
-SKEW_MAX_KEY_SHARE = 0.05
-SKEW_MIN_SAMPLED_ROWS = 20
+# Fixed value: the largest share of a table's bytes one bucket may hold
+# before the bucketed layout is judged skewed (see bucket_skewed).
+BUCKET_MAX_SHARE = 0.05
 
 
-def hot_key_share(df: DataFrame, key: str, fraction: float = SKEW_SAMPLE_FRACTION) -> float:
-    """Estimated share of rows held by the most frequent ``key`` value, from a
-    Bernoulli sample of the key column (one pruned scan, partial
-    aggregation). Used only to choose a physical layout. A top key seen fewer
-    than SKEW_MIN_SAMPLED_ROWS times in the sample is no evidence of skew
-    (small inputs) and reports 0."""
-    sample = df.select(key).sample(fraction=fraction, seed=7)
-    row = (sample.groupBy(key).count()
-           .agg(F.max("count").alias("top"), F.sum("count").alias("n")).first())
-    if not row or not row["n"] or row["top"] < SKEW_MIN_SAMPLED_ROWS:
-        return 0.0
-    return row["top"] / row["n"]
+def bucket_skewed(spark: SparkSession, path: str, buckets: int) -> bool:
+    """True when one bucket file holds far more than its share of the table:
+    a hash bucket cannot split a hot key, so such a table is better stored
+    plainly (AQE's skew join then splits the hot key). Decided from file
+    sizes alone (a listing, no job)."""
+    sizes = fs.file_sizes(spark, path)
+    total = sum(sizes)
+    return bool(total) and max(sizes) / total > max(BUCKET_MAX_SHARE, 2.0 / buckets)
 
 
 def _load_raw(spark: SparkSession, name: str, df: DataFrame, path: str,
@@ -96,47 +92,58 @@ class Build:
         return _Step()
 
 
-def _write_read(b: Build, name: str, df: DataFrame, cluster_by=None,
-                tiebreak: str | None = None) -> DataFrame:
-    path = f"{b.out_dir}/{name}"
-    with b.step(name):
-        write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak)
-    b.tables[name] = read_table(b.spark, path)
-    return b.tables[name]
+def _layer(b: Build, tasks: dict, threads: int) -> dict:
+    """Run one layer of independent models as concurrent Spark jobs (the
+    reference builds independent models on 4-8 threads). Every task records
+    its wall time; the first failure is re-raised after the layer ends."""
+    def timed(name, fn):
+        with b.step(name):
+            return fn()
+    if threads <= 1:
+        return {n: timed(n, fn) for n, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=threads, thread_name_prefix="build") as pool:
+        futures = {n: pool.submit(timed, n, fn) for n, fn in tasks.items()}
+    return {n: f.result() for n, f in futures.items()}
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
               now: str | None = None, on_failure: str = "stop", run_checks: bool = True,
-              order_buckets: int | None = 0) -> Build:
+              order_buckets: int | None = 0, threads: int = 4) -> Build:
     """Build every model; ``on_failure='stop'`` raises when a check fails,
     ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``.
     ``order_buckets``: bucket count of the order-keyed raw tables (0 = the
-    session's shuffle partition count, None = no bucketing)."""
+    session's shuffle partition count, None = no bucketing). ``threads``:
+    independent models of one layer run as concurrent jobs.
+
+    Layers: raw loads | product-key check | dims, facts, incremental table,
+    snapshots | models derived from written facts | checks."""
     out_dir = out_dir or work_path(spark, "build")
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    # load: the raw tables are physical tables, written once; every model
-    # and check below reads the loaded copies instead of re-deriving them
     b = Build(spark, sf_dir, out_dir, None)
     if order_buckets == 0:
         order_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefix = f"shelfline_{uuid.uuid4().hex[:12]}"
-    raw = {}
     mapped = RetailModels(spark, sf_dir).raw
-    if order_buckets:
-        with b.step("order_key_skew"):
-            # a hash bucket cannot split one hot order: keep plain files
-            # (AQE's skew join then splits it) when any order key is hot
-            share = max(hot_key_share(mapped[n], "order_id") for n in ORDER_KEYED)
-            b.runs["order_key_top_share"] = share
-            if share > max(SKEW_MAX_KEY_SHARE, 2.0 / order_buckets):
-                order_buckets = None
-    for name, df in mapped.items():
-        with b.step(name):
-            raw[name] = _load_raw(spark, name, df, f"{out_dir}/raw/{name}", order_buckets,
-                                  prefix)
+
+    # layer 1 - load: the raw tables are physical tables, written once; every
+    # model and check below reads the loaded copies instead of re-deriving them
+    raw = _layer(b, {n: (lambda n=n: _load_raw(spark, n, mapped[n], f"{out_dir}/raw/{n}",
+                                               order_buckets, prefix))
+                     for n in mapped}, threads)
+    if order_buckets and any(bucket_skewed(spark, f"{out_dir}/raw/{n}", order_buckets)
+                             for n in ORDER_KEYED):
+        # a hot order key: store the order-keyed tables plainly instead
+        b.runs["order_buckets"] = None
+        for n in ORDER_KEYED:
+            with b.step(f"{n}_plain"):
+                path = f"{out_dir}/raw_plain/{n}"
+                write_table(raw[n], path)
+                raw[n] = read_table(spark, path, RAW_SCHEMAS[n])
+    else:
+        b.runs["order_buckets"] = order_buckets
     m = b.models = RetailModels(spark, sf_dir, raw=raw)
-    b.tables.update(m.raw)
-    b.tables.update(m.stg)
+    b.tables.update(dict(m.raw))
+    b.tables.update(dict(m.stg))
     b.tables["country_codes"] = m.country_codes
     b.tables["category_targets"] = m.category_targets
 
@@ -147,34 +154,46 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     if dup and on_failure == "stop":
         raise ValueError("stg_products.product_id is not unique")
 
-    _write_read(b, "dim_products", m.dim_products)
-    _write_read(b, "dim_stores", m.dim_stores)
-    fct_orders = _write_read(b, "fct_orders", m.fct_orders, FCT_ORDERS_CLUSTER, "order_id")
-    _write_read(b, "dim_customers",
-                marts.dim_customers(m.stg["stg_customers"], fct_orders, m.country_codes))
-    items = _write_read(b, "fct_order_items", m.fct_order_items)
-    _write_read(b, "fct_payments", m.fct_payments)
-    _write_read(b, "mart_category_revenue",
-                marts.mart_category_revenue(items, m.category_targets))
-
+    from .scenarios import snap_orders_source, snap_products_source
     inv = IncrementalTable(spark, f"{out_dir}/fct_inventory_events", "event_id", "event_at",
                            "event_date", cluster_by=FCT_INVENTORY_CLUSTER[1:])
-    with b.step("fct_inventory_events"):
-        b.runs["fct_inventory_events"] = inv.merge(m.stg["stg_inventory_events"])
-    b.tables["fct_inventory_events"] = inv.read()
-    _write_read(b, "agg_current_stock", marts.current_stock(b.tables["fct_inventory_events"]))
-
-    from .scenarios import snap_orders_source, snap_products_source
     snap_p = HistoryTable(spark, f"{out_dir}/snap_products", "product_id", "check",
                           check_cols=("price", "product_name", "category"))
-    with b.step("snap_products"):
-        snap_p.run(snap_products_source(m.stg["stg_products"]), run_ts=now)
     snap_o = HistoryTable(spark, f"{out_dir}/snap_orders", "order_id", "timestamp",
                           updated_at="updated_at")
-    with b.step("snap_orders"):
-        snap_o.run(snap_orders_source(m.stg["stg_orders"]))
-    b.tables["snap_products"] = snap_p.read()
-    b.tables["snap_orders"] = snap_o.read()
+
+    def write(name, df, cluster_by=None, tiebreak=None):
+        path = f"{out_dir}/{name}"
+        write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak)
+        return read_table(spark, path)
+
+    # layer 2 - everything that reads only raw/staging/seeds
+    out = _layer(b, {
+        "dim_products": lambda: write("dim_products", m.dim_products),
+        "dim_stores": lambda: write("dim_stores", m.dim_stores),
+        "fct_orders": lambda: write("fct_orders", m.fct_orders, FCT_ORDERS_CLUSTER, "order_id"),
+        "fct_order_items": lambda: write("fct_order_items", m.fct_order_items),
+        "fct_payments": lambda: write("fct_payments", m.fct_payments),
+        "fct_inventory_events": lambda: (inv.merge(m.stg["stg_inventory_events"]), inv.read()),
+        "snap_products": lambda: (snap_p.run(snap_products_source(m.stg["stg_products"]),
+                                             run_ts=now), snap_p.read()),
+        "snap_orders": lambda: (snap_o.run(snap_orders_source(m.stg["stg_orders"])),
+                                snap_o.read()),
+    }, threads)
+    b.runs["fct_inventory_events"], out["fct_inventory_events"] = out["fct_inventory_events"]
+    out["snap_products"], out["snap_orders"] = out["snap_products"][1], out["snap_orders"][1]
+    b.tables.update(out)
+
+    # layer 3 - models derived from the written facts (no recomputation)
+    b.tables.update(_layer(b, {
+        "dim_customers": lambda: write("dim_customers", marts.dim_customers(
+            m.stg["stg_customers"], out["fct_orders"], m.country_codes)),
+        "mart_category_revenue": lambda: write("mart_category_revenue",
+                                               marts.mart_category_revenue(
+                                                   out["fct_order_items"], m.category_targets)),
+        "agg_current_stock": lambda: write("agg_current_stock",
+                                           marts.current_stock(out["fct_inventory_events"])),
+    }, threads))
 
     if run_checks:
         suite = quality.run_suite(b.tables)

@@ -26,3 +26,13 @@ def delete(spark: SparkSession, path: str) -> bool:
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a committed Spark output (_SUCCESS marker)."""
     return exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Sizes in bytes of the data files directly under ``path`` (hidden
+    files such as _SUCCESS excluded)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [int(st.getLen()) for st in fs.listStatus(p)
+            if st.isFile() and not st.getPath().getName().startswith(("_", "."))]

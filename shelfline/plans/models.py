@@ -8,6 +8,7 @@ of relying on exchange reuse.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,26 @@ from ..operators import marts, staging
 from ..sources import driver_tables as drv
 
 
+class LazyTables(Mapping):
+    """Name -> DataFrame, each built on first access (building a plan costs
+    Python-to-JVM round trips; a query touching three tables builds three)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class RetailModels:
     """``raw`` overrides the raw tables (e.g. the loaded copies a build
     wrote); by default they are mapped from the driver tables on the fly."""
@@ -28,8 +49,11 @@ class RetailModels:
 
     # raw + seeds
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return self._raw if self._raw is not None else drv.raw_tables(self.spark, self.sf_dir)
+    def raw(self) -> Mapping[str, DataFrame]:
+        if self._raw is not None:
+            return self._raw
+        return LazyTables({name: (lambda b=build: b(self.spark, self.sf_dir))
+                           for name, build in drv.RAW_BUILDERS.items()})
 
     @cached_property
     def country_codes(self) -> DataFrame:
@@ -41,8 +65,9 @@ class RetailModels:
 
     # staging
     @cached_property
-    def stg(self) -> dict[str, DataFrame]:
-        return staging.staged(self.raw)
+    def stg(self) -> Mapping[str, DataFrame]:
+        return LazyTables({name: (lambda src=src, fn=fn: fn(self.raw[src]))
+                           for name, (src, fn) in staging.STAGING.items()})
 
     # intermediate
     @cached_property

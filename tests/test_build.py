@@ -59,11 +59,14 @@ def test_stop_on_failure_raises(spark):
         build_all(spark, SF, now="2024-06-01 00:00:00", on_failure="stop")
 
 
-def test_hot_key_share_detects_a_third(spark):
+def test_bucket_skew_detection(spark, workdir):
     from pyspark.sql import functions as F
-    from shelfline.plans.build import hot_key_share
-    df = spark.range(0, 300000).select(
+    from shelfline.plans.build import bucket_skewed
+    hot = spark.range(0, 200000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("order_id"))
-    assert 0.25 < hot_key_share(df, "order_id") < 0.42
-    assert hot_key_share(spark.range(0, 300000).withColumnRenamed("id", "order_id"),
-                         "order_id") < 0.01
+    flat = spark.range(0, 200000).withColumnRenamed("id", "order_id")
+    for name, df in (("hot", hot), ("flat", flat)):
+        (df.repartition(16, "order_id").write.bucketBy(16, "order_id")
+         .option("path", f"{workdir}/{name}").saveAsTable(f"skewtest_{name}"))
+    assert bucket_skewed(spark, f"{workdir}/hot", 16)
+    assert not bucket_skewed(spark, f"{workdir}/flat", 16)
