@@ -170,24 +170,32 @@ class HistoryTable:
     def _runs(self) -> DataFrame:
         return self.spark.read.option("basePath", self.runs_path).parquet(self.runs_path)
 
-    def read(self) -> DataFrame | None:
-        last = self.last_run()
+    def read(self, last: int | None = None) -> DataFrame | None:
+        last = self.last_run() if last is None else last
         if last is None:
             return None
         runs = self._runs().where(F.col("run") <= last)
         keep = F.col("valid_to").isNotNull() | (F.col("run") == last)
         return runs.where(keep).drop("run")
 
-    def open_versions(self) -> DataFrame | None:
-        last = self.last_run()
+    def open_versions(self, last: int | None = None) -> DataFrame | None:
+        last = self.last_run() if last is None else last
         if last is None:
             return None
-        return self._runs().where((F.col("run") == last) & F.col("valid_to").isNull()).drop("run")
+        # the last run's folder alone: no discovery over older runs
+        return (self.spark.read.parquet(f"{self.runs_path}/run={last}")
+                .where(F.col("valid_to").isNull()))
 
     def run(self, current: DataFrame, run_ts: str | None = None) -> int:
+        """Snapshot ``current`` (unique per key: a duplicate key raises, as a
+        MERGE with several source rows per target row would)."""
+        dup = (current.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0)
+        if dup > 1:
+            raise ValueError(f"snapshot source has a key occurring more than once ({self.key})")
         last = self.last_run()
         n = 1 if last is None else last + 1
-        step = snapshot_step(self.open_versions(), current, self.key, self.strategy,
+        opened = None if last is None else self.open_versions(last)
+        step = snapshot_step(opened, current, self.key, self.strategy,
                              self.check_cols, self.updated_at, run_ts)
         step.write.mode("overwrite").parquet(f"{self.runs_path}/run={n}")
         (self.spark.createDataFrame([(n,)], "run_id bigint").coalesce(1)

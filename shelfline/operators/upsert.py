@@ -126,9 +126,12 @@ class IncrementalTable:
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_col, self.partition_of(F.col(self.watermark_col)))
 
+    @staticmethod
+    def _partition_name(value) -> str:
+        return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
     def _partition_path(self, value) -> str:
-        v = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        return f"{self.data_path}/{self.partition_col}={v}"
+        return f"{self.data_path}/{self.partition_col}={self._partition_name(value)}"
 
     def _max_watermark(self, df: DataFrame):
         return df.agg(F.max(self.watermark_col)).first()[0]
@@ -151,13 +154,15 @@ class IncrementalTable:
         (self._with_partition(src)
          .write.mode("overwrite").parquet(batch_path))
         batch = self.spark.read.parquet(batch_path)
-        stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                          F.max(self.watermark_col).alias("w")).first()
-        if stats["n"] == 0:
+        # one job: row count, newest watermark and the largest per-key count
+        stats = (batch.groupBy(self.key)
+                 .agg(F.count(F.lit(1)).alias("c"), F.max(self.watermark_col).alias("w"))
+                 .agg(F.sum("c").alias("n"), F.max("c").alias("dup"), F.max("w").alias("w"))
+                 .first())
+        if not stats["n"]:
             self._commit(run_id, wm, "noop")
             return {"run_id": run_id, "mode": "noop", "batch_rows": 0, "watermark": wm}
-        dup = batch.groupBy(self.key).count().where("count > 1").limit(1).count()
-        if dup:
+        if stats["dup"] > 1:
             raise ValueError(f"batch has a key occurring more than once ({self.key})")
         new_wm = max(wm, stats["w"]) if wm is not None else stats["w"]
 
@@ -178,9 +183,9 @@ class IncrementalTable:
         staged = self.spark.read.schema(target.schema).parquet(result_path)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(pc).parquet(self.data_path))
-        present = {r[0] for r in staged.select(pc).distinct().collect()}
+        present = set(fs.partition_values(self.spark, result_path, pc))
         for value in touched:
-            if value not in present:
+            if self._partition_name(value) not in present:
                 fs.delete(self.spark, self._partition_path(value))
         self._commit(run_id, new_wm, "incremental")
         return {"run_id": run_id, "mode": "incremental", "batch_rows": stats["n"],

@@ -36,3 +36,14 @@ def file_sizes(spark: SparkSession, path: str) -> list[int]:
         return []
     return [int(st.getLen()) for st in fs.listStatus(p)
             if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Raw values of the ``column=value`` folders directly under ``path``
+    (a listing of the partition folders of a written table, no job)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]

@@ -114,3 +114,12 @@ def test_next_value_equals_window_lead_with_hot_key(spark):
     parts = (df.repartitionByRange(7, "k", "v").where("k = 0")
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_duplicate_source_key_is_rejected(spark, workdir):
+    import pytest
+    h = hist(spark, workdir, "timestamp", updated_at="updated_at")
+    d = dt.datetime(2024, 1, 1)
+    with pytest.raises(ValueError):
+        h.run(spark.createDataFrame([(1, "a", d), (1, "b", d)], O))
+    assert h.last_run() is None
