@@ -21,7 +21,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """UNION ALL by name as a balanced tree: each union re-analyses its
@@ -215,12 +214,6 @@ SUITE: list[Check] = [
 
 SINGULAR = ["assert_order_amount_non_negative", "assert_payments_reconcile_to_orders"]
 
-RESULT_SCHEMA = T.StructType([
-    T.StructField("model", T.StringType()), T.StructField("column_name", T.StringType()),
-    T.StructField("test", T.StringType()), T.StructField("failures", T.LongType()),
-    T.StructField("passed", T.BooleanType()),
-])
-
 
 def _sql_str(v: str | None) -> str:
     return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"

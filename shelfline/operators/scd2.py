@@ -31,10 +31,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import null_safe_differs
 from ..plans import fs
 from .skew import next_value
 
-SCD_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 # Fixed value: separator of the version-id hash parts.
 SCD_ID_SEPARATOR = "|"
 
@@ -86,7 +86,7 @@ def snapshot_step(open_versions: DataFrame | None, current: DataFrame, key: str,
         differs = o["valid_from"] < ts
     else:
         differs = reduce(lambda a, b: a | b,
-                         [~o[x].eqNullSafe(c[x]) for x in check_cols])
+                         [null_safe_differs(o[x], c[x]) for x in check_cols])
     changed = o.isNotNull() & c.isNotNull() & differs
     old = F.when(o.isNotNull(), F.struct(
         *[o[x].alias(x) for x in cols], o["scd_id"].alias("scd_id"),

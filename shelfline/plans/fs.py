@@ -23,11 +23,6 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Spark output (_SUCCESS marker)."""
-    return exists(spark, path.rstrip("/") + "/_SUCCESS")
-
-
 def file_sizes(spark: SparkSession, path: str) -> list[int]:
     """Sizes in bytes of the data files directly under ``path`` (hidden
     files such as _SUCCESS excluded)."""
