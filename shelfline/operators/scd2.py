@@ -142,11 +142,12 @@ def as_of(history: DataFrame, ts: str) -> DataFrame:
 
 class HistoryTable:
     """SCD2 history persisted as one folder per committed run:
-    ``runs/run=<n>`` holds the versions that run closed plus the full open
-    set after it. Closed versions are written once (append-only history); the
-    open set (one row per key) is rewritten each run. The history is every
-    closed version of committed runs plus the open versions of the last one.
-    A crashed run leaves an uncommitted folder that the re-run overwrites."""
+    ``runs/run=<n>/kind=closed`` holds the versions run n closed (written once:
+    append-only history) and ``runs/run=<n>/kind=open`` the full open set after
+    run n (one row per key). The history is every closed version of committed
+    runs plus the open set of the last one; ``vacuum`` deletes superseded open
+    sets, so storage is the closed history plus one open set. A crashed run
+    leaves an uncommitted folder that the re-run overwrites."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, strategy: str,
                  check_cols: Sequence[str] | None = None, updated_at: str | None = None):
@@ -167,24 +168,21 @@ class HistoryTable:
         r = self.spark.read.parquet(self.control_path).agg(F.max("run_id")).first()[0]
         return None if r is None else int(r)
 
-    def _runs(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.runs_path).parquet(self.runs_path)
-
     def read(self, last: int | None = None) -> DataFrame | None:
         last = self.last_run() if last is None else last
         if last is None:
             return None
-        runs = self._runs().where(F.col("run") <= last)
-        keep = F.col("valid_to").isNotNull() | (F.col("run") == last)
-        return runs.where(keep).drop("run")
+        runs = self.spark.read.option("basePath", self.runs_path).parquet(self.runs_path)
+        # partition filters only: prunes to closed folders + the last open set
+        keep = (F.col("run") <= last) & ((F.col("kind") == "closed") | (F.col("run") == last))
+        return runs.where(keep).drop("run", "kind")
 
     def open_versions(self, last: int | None = None) -> DataFrame | None:
         last = self.last_run() if last is None else last
-        if last is None:
+        path = f"{self.runs_path}/run={last}/kind=open"
+        if last is None or not fs.exists(self.spark, path):
             return None
-        # the last run's folder alone: no discovery over older runs
-        return (self.spark.read.parquet(f"{self.runs_path}/run={last}")
-                .where(F.col("valid_to").isNull()))
+        return self.spark.read.parquet(path)
 
     def run(self, current: DataFrame, run_ts: str | None = None) -> int:
         """Snapshot ``current`` (unique per key: a duplicate key raises, as a
@@ -197,7 +195,18 @@ class HistoryTable:
         opened = None if last is None else self.open_versions(last)
         step = snapshot_step(opened, current, self.key, self.strategy,
                              self.check_cols, self.updated_at, run_ts)
-        step.write.mode("overwrite").parquet(f"{self.runs_path}/run={n}")
+        kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+        (step.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind")
+         .parquet(f"{self.runs_path}/run={n}"))
         (self.spark.createDataFrame([(n,)], "run_id bigint").coalesce(1)
          .write.mode("append").parquet(self.control_path))
         return n
+
+    def vacuum(self) -> int:
+        """Delete open sets superseded by a later committed run; returns how
+        many folders were removed. Closed versions are never touched."""
+        last = self.last_run()
+        removed = 0
+        for n in range(1, last or 0):
+            removed += fs.delete(self.spark, f"{self.runs_path}/run={n}/kind=open")
+        return removed

@@ -161,6 +161,7 @@ class IncrementalTable:
                  .first())
         if not stats["n"]:
             self._commit(run_id, wm, "noop")
+            fs.delete(self.spark, staging)
             return {"run_id": run_id, "mode": "noop", "batch_rows": 0, "watermark": wm}
         if stats["dup"] > 1:
             raise ValueError(f"batch has a key occurring more than once ({self.key})")
@@ -188,6 +189,7 @@ class IncrementalTable:
             if self._partition_name(value) not in present:
                 fs.delete(self.spark, self._partition_path(value))
         self._commit(run_id, new_wm, "incremental")
+        fs.delete(self.spark, staging)   # committed: the staged copies are spent
         return {"run_id": run_id, "mode": "incremental", "batch_rows": stats["n"],
                 "touched_partitions": len(touched), "watermark": new_wm}
 
@@ -209,4 +211,5 @@ class IncrementalTable:
         staged = self.spark.read.parquet(result_path).select(*batch.columns)
         staged.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.data_path)
         self._commit(run_id, new_wm, "schema_sync")
+        fs.delete(self.spark, staging)
         return {"run_id": run_id, "mode": "schema_sync", "batch_rows": n, "watermark": new_wm}

@@ -123,3 +123,17 @@ def test_duplicate_source_key_is_rejected(spark, workdir):
     with pytest.raises(ValueError):
         h.run(spark.createDataFrame([(1, "a", d), (1, "b", d)], O))
     assert h.last_run() is None
+
+
+def test_vacuum_keeps_history(spark, workdir):
+    h = hist(spark, workdir, "timestamp", updated_at="updated_at")
+    d = dt.datetime(2024, 1, 1)
+    for k in range(3):
+        h.run(spark.createDataFrame([(1, f"s{k}", d + dt.timedelta(days=k)),
+                                     (2, "x", d)], O))
+    before = sorted(tuple(r) for r in h.read().collect())
+    assert h.vacuum() == 2
+    assert sorted(tuple(r) for r in h.read().collect()) == before
+    assert len(before) == 4          # key 1: three versions, key 2: one
+    h.run(spark.createDataFrame([(1, "s3", d + dt.timedelta(days=3))], O))
+    assert h.read().where("order_id = 1").count() == 4
