@@ -186,25 +186,54 @@ def fct_payments(stg_payments: DataFrame, stg_orders: DataFrame) -> DataFrame:
         "amount_cents", "paid_at", F.col("paid_at").cast("date").alias("paid_date"))
 
 
+def _revenue_vs_target(revenue: DataFrame, category_targets: DataFrame) -> DataFrame:
+    """(category, revenue_month, revenue) joined to the monthly target: a NULL
+    category matches no target; pct_of_target is NULL without a target or
+    with a zero target."""
+    j = revenue.join(broadcast_if_small(category_targets), "category", "left")
+    target = F.col("monthly_revenue_target")
+    return j.select(
+        "revenue_month", "category", "revenue", "monthly_revenue_target",
+        F.round(F.lit(100.0).cast("decimal(4,1)") * F.col("revenue")
+                / F.nullif(target, F.lit(0)), 1).alias("pct_of_target"),
+    )
+
+
 def mart_category_revenue(order_items: DataFrame, category_targets: DataFrame) -> DataFrame:
     """Q9: revenue per (category, month) vs the monthly target.
 
     ``order_items`` is fct_order_items (or anything with category,
     ordered_date, status, line_total). A NULL status is dropped by the NOT IN
-    (three-valued logic), a NULL category matches no target; pct_of_target is
-    NULL without a target or with a zero target. Months without sales have
-    no row."""
+    (three-valued logic). Months without sales have no row."""
     month = F.date_trunc("month", F.col("ordered_date"))
     items = (order_items.where(~F.col("status").isin(*NON_REVENUE_STATUSES))
              .groupBy("category", month.alias("revenue_month"))
              .agg(F.sum("line_total").alias("revenue")))
-    j = items.join(broadcast_if_small(category_targets), "category", "left")
-    target = F.col("monthly_revenue_target")
-    return j.select(
-        "revenue_month", "category", "revenue", "monthly_revenue_target",
-        F.round(F.lit(100.0).cast("decimal(4,1)") * F.col("revenue")
-                / F.nullif(target, F.lit(0)), 1).alias("pct_of_target"),
-    )
+    return _revenue_vs_target(items, category_targets)
+
+
+def mart_category_revenue_from_staged(stg_order_items: DataFrame, stg_orders: DataFrame,
+                                      stg_products: DataFrame,
+                                      category_targets: DataFrame) -> DataFrame:
+    """Q9 straight from the staged tables, aggregating before the product
+    join: lines join their order (status, date), are filtered and summed per
+    (product, month) - a partial aggregate, so the product join sees one row
+    per (product, month) instead of every line - then summed per (category,
+    month). Decimal sums are exact, so the result equals the mart over
+    fct_order_items (a line without a product lands in the NULL category)."""
+    orders = stg_orders.select(
+        "order_id", "status", F.col("ordered_at").cast("date").alias("ordered_date"))
+    month = F.date_trunc("month", F.col("ordered_date"))
+    by_product = (stg_order_items.select("order_id", "product_id", "line_total")
+                  .join(orders, "order_id", "left")
+                  .where(~F.col("status").isin(*NON_REVENUE_STATUSES))
+                  .groupBy("product_id", month.alias("revenue_month"))
+                  .agg(F.sum("line_total").alias("revenue")))
+    products = stg_products.select("product_id", "category")
+    by_category = (by_product.join(products, "product_id", "left")
+                   .groupBy("category", "revenue_month")
+                   .agg(F.sum("revenue").alias("revenue")))
+    return _revenue_vs_target(by_category, category_targets)
 
 
 def fct_inventory_events_full(stg_inventory_events: DataFrame) -> DataFrame:

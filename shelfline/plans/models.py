@@ -109,7 +109,9 @@ class RetailModels:
 
     @cached_property
     def mart_category_revenue(self) -> DataFrame:
-        return marts.mart_category_revenue(self.fct_order_items, self.category_targets)
+        return marts.mart_category_revenue_from_staged(
+            self.stg["stg_order_items"], self.stg["stg_orders"], self.stg["stg_products"],
+            self.category_targets)
 
     @cached_property
     def fct_inventory_events(self) -> DataFrame:

@@ -152,3 +152,26 @@ def test_top_customers_is_top_k_with_tie_break(spark):
     assert [r["customer_id"] for r in top.collect()] == [2, 5, 8, 11, 14]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_preaggregated_revenue_equals_fact_based(spark):
+    orders = _orders(spark, [(1, 1, 1, TS, TS, "completed"), (2, 1, 1, TS, TS, None),
+                             (3, 1, 1, TS, TS, "returned"),
+                             (4, 1, 1, dt.datetime(2024, 4, 1), TS, "placed")])
+    items = staging.stg_order_items(spark.createDataFrame(
+        [("a", 1, 7, 1, Decimal("1.00"), Decimal("10.05")),
+         ("b", 1, 8, 1, Decimal("1.00"), Decimal("2.50")),     # product 8 missing
+         ("c", 2, 7, 1, Decimal("1.00"), Decimal("3.00")),     # NULL status: dropped
+         ("d", 3, 7, 1, Decimal("1.00"), Decimal("4.00")),     # returned: dropped
+         ("e", 4, 9, 1, Decimal("1.00"), Decimal("5.00")),
+         ("f", 99, 7, 1, Decimal("1.00"), Decimal("6.00"))],   # order missing: dropped
+        S.RAW_ORDER_ITEMS))
+    products = staging.stg_products(spark.createDataFrame(
+        [(7, "s", "p", "A", Decimal("1.00"), TS), (9, "s", "p", "Z", Decimal("1.00"), TS)],
+        S.RAW_PRODUCTS))
+    fact = marts.fct_order_items(marts.int_order_items_enriched(items, products), orders)
+    a = marts.mart_category_revenue(fact, _targets(spark))
+    b = marts.mart_category_revenue_from_staged(items, orders, products, _targets(spark))
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    got = {r["category"]: r["revenue"] for r in b.collect()}
+    assert got == {"A": Decimal("10.05"), None: Decimal("2.50"), "Z": Decimal("5.00")}
