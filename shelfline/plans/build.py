@@ -106,14 +106,18 @@ def _layer(b: Build, tasks: dict, threads: int) -> dict:
     return {n: f.result() for n, f in futures.items()}
 
 
-def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
+def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None = None,
               now: str | None = None, on_failure: str = "stop", run_checks: bool = True,
-              order_buckets: int | None = 0, threads: int = 4) -> Build:
+              order_buckets: int | None = 0, threads: int = 4,
+              raw: dict[str, DataFrame] | None = None,
+              seeds: dict[str, DataFrame] | None = None) -> Build:
     """Build every model; ``on_failure='stop'`` raises when a check fails,
     ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``.
     ``order_buckets``: bucket count of the order-keyed raw tables (0 = the
     session's shuffle partition count, None = no bucketing). ``threads``:
-    independent models of one layer run as concurrent jobs.
+    independent models of one layer run as concurrent jobs. ``raw`` / ``seeds``:
+    the seven raw tables and two seeds to build from (e.g. typed CSV loads);
+    by default they are mapped from the driver tables at ``sf_dir``.
 
     Layers: raw loads | product-key check | dims, facts, incremental table,
     snapshots | models derived from written facts | checks."""
@@ -123,13 +127,13 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     if order_buckets == 0:
         order_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefix = f"shelfline_{uuid.uuid4().hex[:12]}"
-    mapped = RetailModels(spark, sf_dir).raw
+    mapped = raw if raw is not None else RetailModels(spark, sf_dir).raw
 
     # layer 1 - load: the raw tables are physical tables, written once; every
     # model and check below reads the loaded copies instead of re-deriving them
-    raw = _layer(b, {n: (lambda n=n: _load_raw(spark, n, mapped[n], f"{out_dir}/raw/{n}",
-                                               order_buckets, prefix))
-                     for n in mapped}, threads)
+    loaded = _layer(b, {n: (lambda n=n: _load_raw(spark, n, mapped[n], f"{out_dir}/raw/{n}",
+                                                  order_buckets, prefix))
+                        for n in mapped}, threads)
     if order_buckets and any(bucket_skewed(spark, f"{out_dir}/raw/{n}", order_buckets)
                              for n in ORDER_KEYED):
         # a hot order key: store the order-keyed tables plainly instead
@@ -137,11 +141,11 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         for n in ORDER_KEYED:
             with b.step(f"{n}_plain"):
                 path = f"{out_dir}/raw_plain/{n}"
-                write_table(raw[n], path)
-                raw[n] = read_table(spark, path, RAW_SCHEMAS[n])
+                write_table(loaded[n], path)
+                loaded[n] = read_table(spark, path, RAW_SCHEMAS[n])
     else:
         b.runs["order_buckets"] = order_buckets
-    m = b.models = RetailModels(spark, sf_dir, raw=raw)
+    m = b.models = RetailModels(spark, sf_dir, raw=loaded, seeds=seeds)
     b.tables.update(dict(m.raw))
     b.tables.update(dict(m.stg))
     b.tables["country_codes"] = m.country_codes

@@ -38,14 +38,17 @@ class LazyTables(Mapping):
 
 
 class RetailModels:
-    """``raw`` overrides the raw tables (e.g. the loaded copies a build
-    wrote); by default they are mapped from the driver tables on the fly."""
+    """``raw`` / ``seeds`` override the raw tables and seeds (e.g. typed CSV
+    loads, or the copies a build wrote); by default they are mapped from the
+    driver tables at ``sf_dir`` on the fly."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str,
-                 raw: dict[str, DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str | None,
+                 raw: Mapping[str, DataFrame] | None = None,
+                 seeds: Mapping[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self._raw = raw
+        self._seeds = seeds or {}
 
     # raw + seeds
     @cached_property
@@ -57,10 +60,14 @@ class RetailModels:
 
     @cached_property
     def country_codes(self) -> DataFrame:
+        if "country_codes" in self._seeds:
+            return self._seeds["country_codes"]
         return drv.country_codes(self.spark, self.sf_dir)
 
     @cached_property
     def category_targets(self) -> DataFrame:
+        if "category_targets" in self._seeds:
+            return self._seeds["category_targets"]
         return drv.category_targets(self.spark)
 
     # staging

@@ -70,3 +70,33 @@ def test_bucket_skew_detection(spark, workdir):
          .option("path", f"{workdir}/{name}").saveAsTable(f"skewtest_{name}"))
     assert bucket_skewed(spark, f"{workdir}/hot", 16)
     assert not bucket_skewed(spark, f"{workdir}/flat", 16)
+
+
+def test_cli_build_and_incremental_from_csv_drops(spark, workdir, capsys):
+    import json
+    import os
+
+    from shelfline.__main__ import main
+    from shelfline.plans.models import RetailModels
+    from shelfline.sources.csv_load import write_landing_csv
+    m = RetailModels(spark, SF)
+    landing = os.path.join(workdir, "landing")
+    for name, df in m.raw.items():
+        write_landing_csv(df, os.path.join(landing, name))
+    write_landing_csv(m.country_codes, os.path.join(landing, "country_codes"))
+    write_landing_csv(m.category_targets, os.path.join(landing, "category_targets"))
+
+    out = os.path.join(workdir, "out")
+    main(["build", "--landing", landing, "--out", out, "--now", "2024-06-01 00:00:00",
+          "--on-failure", "report"])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["out"] == out and res["failed_checks"]
+    built = spark.read.parquet(os.path.join(out, "fct_orders"))
+    assert built.exceptAll(m.fct_orders).count() == 0
+    assert m.fct_orders.exceptAll(built).count() == 0
+
+    inc = os.path.join(workdir, "inc")
+    main(["incremental", "--landing", landing, "--out", inc])
+    main(["incremental", "--landing", landing, "--out", inc])
+    runs = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert [r["mode"] for r in runs] == ["full", "noop"]
