@@ -18,14 +18,18 @@ One run (``merge``):
  4. touched = partitions of the batch rows U partitions of target rows whose
     key is in the batch (a re-sent row may move to another partition).
  5. result = target rows of the touched partitions anti-joined with the batch
-    keys, plus the batch; staged, then written with dynamic partition
-    overwrite, so only touched partitions are rewritten.
- 6. Touched partitions with no row left in the result are deleted (dynamic
-    overwrite only replaces partitions present in the output).
- 7. The new watermark is appended last: a crash before that leaves W
-    unchanged and re-running the same batch repairs the table.
+    keys, plus the batch, written once (partitioned) to staging; a manifest
+    records the touched partitions, those present in the result and the new
+    watermark.
+ 6. Apply: each touched partition folder is replaced by its staged folder (a
+    move, no second write); touched partitions with no row left are deleted.
+    Untouched partitions are never rewritten.
+ 7. The new watermark is appended last. A crash before the manifest leaves
+    the table untouched and the re-run recomputes; a crash after it is
+    resumed from the manifest (moves are idempotent), so no row is lost.
 A changed column set (schema sync) rewrites the whole table aligned to the
-batch's columns: new columns are NULL on old rows, dropped ones disappear.
+batch's columns: new columns are NULL on old rows, dropped ones disappear;
+the staged table then replaces the old one.
 
 Limits: a single writer; readers may see a moved key twice while a run is in
 flight. Step 4 scans the key and partition columns of the target (pruned);
@@ -146,6 +150,8 @@ class IncrementalTable:
         staging = f"{self.root}/_staging/run-{run_id}"
         if state is None:
             return self._full(source, run_id)
+        if fs.exists(self.spark, f"{staging}/_manifest"):
+            return self._apply(run_id, staging, resumed=True)   # a crashed apply
 
         _, wm = state
         batch_path = f"{staging}/batch"
@@ -168,30 +174,66 @@ class IncrementalTable:
         new_wm = max(wm, stats["w"]) if wm is not None else stats["w"]
 
         target = self.read()
+        pc = self.partition_col
         if set(target.columns) != set(batch.columns):
-            return self._schema_sync(target, batch, run_id, staging, new_wm, stats["n"])
-
+            # columns changed: rewrite the whole table in the batch's columns
+            mode = "schema_sync"
+            result = upsert(align(target, batch.schema), batch, self.key).select(*batch.columns)
+            touched = [None]
+        else:
+            mode = "incremental"
+            matched = (target.select(self.key, pc)
+                       .join(batch.select(self.key), self.key, "left_semi"))
+            touched = [r[0] for r in
+                       batch.select(pc).union(matched.select(pc)).distinct().collect()]
+            in_touched = F.col(pc).isin([v for v in touched if v is not None])
+            if None in touched:
+                in_touched = in_touched | F.col(pc).isNull()
+            result = upsert(target.where(in_touched), batch, self.key).select(*target.columns)
+        self._layout(result).write.mode("overwrite").partitionBy(pc) \
+            .parquet(f"{staging}/result")
+        present = fs.partition_values(self.spark, f"{staging}/result", pc)
+        manifest = [(mode, "touched", self._partition_name(v)) for v in touched if v is not None]
+        manifest += [(mode, "touched", self._partition_name(None))] if None in touched else []
+        manifest += [(mode, "present", v) for v in present]
+        manifest += [(mode, "watermark", str(new_wm)), (mode, "batch_rows", str(stats["n"]))]
+        (self.spark.createDataFrame(manifest, "mode string, kind string, value string")
+         .coalesce(1).write.mode("overwrite").parquet(f"{staging}/_manifest"))
+        return self._apply(run_id, staging)
+
+    def _apply(self, run_id: int, staging: str, resumed: bool = False) -> dict:
+        """Move the staged result into the table, then commit. Driven by the
+        manifest written after the result was complete, so it is idempotent:
+        a re-run after a crash anywhere in here replays it and loses nothing
+        (a partition is deleted only while its staged replacement still
+        exists, and a partition with no staged replacement only when the
+        result has no rows for it)."""
+        rows = self.spark.read.parquet(f"{staging}/_manifest").collect()
+        mode = rows[0]["mode"]
+        touched = [r["value"] for r in rows if r["kind"] == "touched"]
+        present = {r["value"] for r in rows if r["kind"] == "present"}
+        info = {r["kind"]: r["value"] for r in rows if r["kind"] in ("watermark", "batch_rows")}
         pc = self.partition_col
-        matched = target.select(self.key, pc).join(batch.select(self.key), self.key, "left_semi")
-        touched = [r[0] for r in batch.select(pc).union(matched.select(pc)).distinct().collect()]
-        in_touched = F.col(pc).isin([v for v in touched if v is not None])
-        if None in touched:
-            in_touched = in_touched | F.col(pc).isNull()
-        result = upsert(target.where(in_touched), batch, self.key).select(*target.columns)
-
-        result_path = f"{staging}/result"
-        self._layout(result).write.mode("overwrite").partitionBy(pc).parquet(result_path)
-        staged = self.spark.read.schema(target.schema).parquet(result_path)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(pc).parquet(self.data_path))
-        present = set(fs.partition_values(self.spark, result_path, pc))
-        for value in touched:
-            if self._partition_name(value) not in present:
-                fs.delete(self.spark, self._partition_path(value))
-        self._commit(run_id, new_wm, "incremental")
+        if mode == "schema_sync":
+            if fs.exists(self.spark, f"{staging}/result"):
+                fs.delete(self.spark, self.data_path)
+                fs.rename(self.spark, f"{staging}/result", self.data_path)
+        else:
+            for value in touched:
+                part = f"{self.data_path}/{pc}={value}"
+                staged = f"{staging}/result/{pc}={value}"
+                if value in present:
+                    if fs.exists(self.spark, staged):       # not moved yet
+                        fs.delete(self.spark, part)
+                        fs.rename(self.spark, staged, part)
+                else:                                        # emptied by the run
+                    fs.delete(self.spark, part)
+        new_wm = dt.datetime.fromisoformat(info["watermark"])
+        self._commit(run_id, new_wm, mode)
         fs.delete(self.spark, staging)   # committed: the staged copies are spent
-        return {"run_id": run_id, "mode": "incremental", "batch_rows": stats["n"],
-                "touched_partitions": len(touched), "watermark": new_wm}
+        return {"run_id": run_id, "mode": mode, "batch_rows": int(info["batch_rows"]),
+                "touched_partitions": len(touched), "watermark": new_wm,
+                "resumed": resumed}
 
     def _full(self, source: DataFrame, run_id: int) -> dict:
         df = self._layout(self._with_partition(source))
@@ -199,17 +241,3 @@ class IncrementalTable:
         wm = self._max_watermark(self.read())
         self._commit(run_id, wm, "full")
         return {"run_id": run_id, "mode": "full", "watermark": wm}
-
-    def _schema_sync(self, target: DataFrame, batch: DataFrame, run_id: int, staging: str,
-                     new_wm, n: int) -> dict:
-        """Columns changed: rewrite the whole table in the batch's columns."""
-        schema = batch.schema
-        result = upsert(align(target, schema), batch, self.key).select(*batch.columns)
-        result_path = f"{staging}/result"
-        self._layout(result).write.mode("overwrite").partitionBy(self.partition_col) \
-            .parquet(result_path)
-        staged = self.spark.read.parquet(result_path).select(*batch.columns)
-        staged.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.data_path)
-        self._commit(run_id, new_wm, "schema_sync")
-        fs.delete(self.spark, staging)
-        return {"run_id": run_id, "mode": "schema_sync", "batch_rows": n, "watermark": new_wm}

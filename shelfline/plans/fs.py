@@ -42,3 +42,10 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     prefix = f"{column}="
     return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Move ``src`` to ``dst`` (a metadata operation on HDFS-like stores)."""
+    fs, p = _fs(spark, src)
+    q = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    return bool(fs.rename(p, q))

@@ -143,3 +143,34 @@ def test_watermark_filter_reaches_parquet_scan(spark, workdir):
     from conftest import explain
     plan = explain(watermark_filter(spark.read.parquet(src), "event_at", t.committed()[1]))
     assert "PushedFilters: [IsNotNull(event_at), GreaterThan(event_at" in plan
+
+
+def test_crash_between_delete_and_move_loses_nothing(spark, workdir, monkeypatch):
+    from shelfline.plans import fs
+    t = table(spark, workdir)
+    # two rows share day 2; only one of them is re-sent (newer than the
+    # watermark, same day)
+    t.merge(ev(spark, [(1, 1, T(2, 1)), (2, 1, T(2, 5)), (3, 1, T(1))]))
+    batch = ev(spark, [(1, 7, T(2, 6)), (4, 1, T(3))])
+    real = fs.rename
+    calls = {"n": 0}
+
+    def flaky(spark_, src, dst):
+        # fail the move of day 2 once: its old folder is already deleted
+        if dst.endswith("event_date=2024-01-02") and not calls["n"]:
+            calls["n"] += 1
+            assert not os.path.exists(dst)
+            raise RuntimeError("executor lost")
+        return real(spark_, src, dst)
+
+    monkeypatch.setattr(fs, "rename", flaky)
+    with pytest.raises(RuntimeError):
+        t.merge(batch)
+    monkeypatch.setattr(fs, "rename", real)
+    assert calls["n"] == 1
+    r = t.merge(batch)                      # resumed from the manifest
+    assert r["resumed"] and r["mode"] == "incremental"
+    s = state(t)
+    assert sorted(s) == [1, 2, 3, 4]
+    assert s[1][0] == 7 and s[2][0] == 1    # the untouched row of day 2 survived
+    assert t.read().count() == 4
