@@ -100,3 +100,13 @@ def test_cli_build_and_incremental_from_csv_drops(spark, workdir, capsys):
     main(["incremental", "--landing", landing, "--out", inc])
     runs = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [r["mode"] for r in runs] == ["full", "noop"]
+
+
+def test_build_rerun_into_same_folder(spark, workdir):
+    import os
+    out = os.path.join(workdir, "again")
+    a = build_all(spark, SF, out_dir=out, now="2024-06-01 00:00:00", on_failure="report")
+    first = sorted(map(tuple, a.tables["fct_orders"].collect()))
+    b = build_all(spark, SF, out_dir=out, now="2024-06-01 00:00:00", on_failure="report")
+    assert sorted(map(tuple, b.tables["fct_orders"].collect())) == first
+    assert b.tables["dq_suite"].count() == 76
