@@ -187,9 +187,6 @@ class HistoryTable:
     def run(self, current: DataFrame, run_ts: str | None = None) -> int:
         """Snapshot ``current`` (unique per key: a duplicate key raises, as a
         MERGE with several source rows per target row would)."""
-        dup = (current.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0)
-        if dup > 1:
-            raise ValueError(f"snapshot source has a key occurring more than once ({self.key})")
         last = self.last_run()
         n = 1 if last is None else last + 1
         opened = None if last is None else self.open_versions(last)
@@ -198,6 +195,13 @@ class HistoryTable:
         kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
         (step.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind")
          .parquet(f"{self.runs_path}/run={n}"))
+        # a duplicate source key shows as two open versions of one key; the
+        # check reads the written open set, not the source again, and a
+        # failing run stays uncommitted
+        written = self.open_versions(n)
+        if written is not None and \
+                (written.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0) > 1:
+            raise ValueError(f"snapshot source has a key occurring more than once ({self.key})")
         (self.spark.createDataFrame([(n,)], "run_id bigint").coalesce(1)
          .write.mode("append").parquet(self.control_path))
         return n
