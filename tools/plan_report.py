@@ -69,6 +69,11 @@ def main() -> None:
             s = shape(explain(getattr(m, name)))
             print(f"| {name} | {label} | {s['exchanges']} | {s['smj']} | {s['bhj']} | "
                   f"{s['scans']} | {s['bucketed_scans']} |")
+    print("\nNotes: exchange counts do not show sizes. `mart_category_revenue` shuffles the")
+    print("order lines once (to meet their order); every later exchange moves rows already")
+    print("reduced to one per (product, month) or (category, month) by partial aggregation.")
+    print("`fct_order_items` over the built tables keeps only the product-key exchange of the")
+    print("lines; `agg_current_stock` is one partial+final aggregate.")
     print("\n## fct_orders over the built tables\n")
     print("```")
     print(explain(built.fct_orders).split("\n\n")[0])
