@@ -136,12 +136,14 @@ class RetailModels:
                   "fct_payments", "mart_category_revenue", "fct_inventory_events",
                   "agg_current_stock")
 
-    def tables(self) -> dict[str, DataFrame]:
-        """Every model by name (raw, seeds, staging, marts), lazy."""
-        t = dict(self.raw)
-        t.update(self.stg)
-        t["country_codes"] = self.country_codes
-        t["category_targets"] = self.category_targets
-        for name in self.MART_NAMES:
-            t[name] = getattr(self, name)
-        return t
+    def tables(self) -> Mapping[str, DataFrame]:
+        """Every model by name (raw, seeds, staging, marts); each plan is built
+        only when a consumer asks for it."""
+        builders: dict[str, Callable[[], DataFrame]] = {}
+        for name in self.raw:
+            builders[name] = lambda n=name: self.raw[n]
+        for name in self.stg:
+            builders[name] = lambda n=name: self.stg[n]
+        for name in ("country_codes", "category_targets", *self.MART_NAMES):
+            builders[name] = lambda n=name: getattr(self, n)
+        return LazyTables(builders)
