@@ -130,9 +130,16 @@ class IncrementalTable:
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_col, self.partition_of(F.col(self.watermark_col)))
 
-    @staticmethod
-    def _partition_name(value) -> str:
-        return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    def _partition_name(self, value) -> str:
+        """The folder name Spark gives ``value`` (escaped as Spark escapes
+        partition paths; NULL is the default partition)."""
+        if value is None:
+            return "__HIVE_DEFAULT_PARTITION__"
+        if isinstance(value, dt.datetime):
+            value = value.isoformat(sep=" ")
+        jvm = self.spark.sparkContext._jvm
+        return str(jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+                   .escapePathName(str(value)))
 
     def _partition_path(self, value) -> str:
         return f"{self.data_path}/{self.partition_col}={self._partition_name(value)}"

@@ -174,3 +174,17 @@ def test_crash_between_delete_and_move_loses_nothing(spark, workdir, monkeypatch
     assert sorted(s) == [1, 2, 3, 4]
     assert s[1][0] == 7 and s[2][0] == 1    # the untouched row of day 2 survived
     assert t.read().count() == 4
+
+
+def test_string_partitions_with_escaped_names(spark, workdir):
+    from pyspark.sql import functions as F
+    t = IncrementalTable(spark, os.path.join(workdir, "s"), "event_id", "event_at", "bucket",
+                         partition_of=lambda c: F.date_format(c, "yyyy-MM-dd HH:mm"))
+    t.merge(ev(spark, [(1, 1, T(1, 1)), (2, 1, T(1, 1)), (3, 1, T(2))]))
+    t.merge(ev(spark, [(1, 5, T(3, 4)), (4, 1, T(3, 4))]))
+    got = {r["event_id"]: (r["quantity_change"], r["bucket"]) for r in t.read().collect()}
+    assert got == {1: (5, "2024-01-03 04:00"), 2: (1, "2024-01-01 01:00"),
+                   3: (1, "2024-01-02 00:00"), 4: (1, "2024-01-03 04:00")}
+    names = sorted(d for d in os.listdir(t.data_path) if d.startswith("bucket="))
+    assert names == ["bucket=2024-01-01 01%3A00", "bucket=2024-01-02 00%3A00",
+                     "bucket=2024-01-03 04%3A00"]
