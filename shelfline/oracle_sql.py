@@ -8,6 +8,8 @@ code does not carry over. Output columns are cast to the Spark result types
 
 from __future__ import annotations
 
+from .functions.columns import SURROGATE_KEY_NULL, SURROGATE_KEY_SEPARATOR
+
 # DuckDB has no initcap: split on blanks, upper-case each word's first char.
 def initcap(x: str) -> str:
     return (f"array_to_string(list_transform(string_split(lower({x}), ' '), "
@@ -15,8 +17,8 @@ def initcap(x: str) -> str:
 
 
 def sk(*cols: str) -> str:
-    parts = " || '-' || ".join(
-        f"coalesce(cast({c} as varchar), '_dbt_utils_surrogate_key_null_')" for c in cols)
+    parts = f" || '{SURROGATE_KEY_SEPARATOR}' || ".join(
+        f"coalesce(cast({c} as varchar), '{SURROGATE_KEY_NULL}')" for c in cols)
     return f"md5({parts})"
 
 
