@@ -152,10 +152,12 @@ class IncrementalTable:
               lookback: str | None = None, filter_watermark: bool = True) -> dict:
         """One run. ``filter_watermark=False`` upserts the whole source (the
         key upsert alone, I3)."""
-        state = None if full_refresh else self.committed()
+        state = self.committed()
         run_id = 1 if state is None else state[0] + 1
         staging = f"{self.root}/_staging/run-{run_id}"
-        if state is None:
+        if state is None or full_refresh:
+            # run ids keep rising across a full refresh: the committed
+            # watermark is always the one of the highest run id
             return self._full(source, run_id)
         if fs.exists(self.spark, f"{staging}/_manifest"):
             return self._apply(run_id, staging, resumed=True)   # a crashed apply
@@ -203,7 +205,8 @@ class IncrementalTable:
         manifest = [(mode, "touched", self._partition_name(v)) for v in touched if v is not None]
         manifest += [(mode, "touched", self._partition_name(None))] if None in touched else []
         manifest += [(mode, "present", v) for v in present]
-        manifest += [(mode, "watermark", str(new_wm)), (mode, "batch_rows", str(stats["n"]))]
+        manifest += [(mode, "watermark", "" if new_wm is None else new_wm.isoformat(sep=" ")),
+                     (mode, "batch_rows", str(stats["n"]))]
         (self.spark.createDataFrame(manifest, "mode string, kind string, value string")
          .coalesce(1).write.mode("overwrite").parquet(f"{staging}/_manifest"))
         return self._apply(run_id, staging)
@@ -235,7 +238,7 @@ class IncrementalTable:
                         fs.rename(self.spark, staged, part)
                 else:                                        # emptied by the run
                     fs.delete(self.spark, part)
-        new_wm = dt.datetime.fromisoformat(info["watermark"])
+        new_wm = dt.datetime.fromisoformat(info["watermark"]) if info["watermark"] else None
         self._commit(run_id, new_wm, mode)
         fs.delete(self.spark, staging)   # committed: the staged copies are spent
         return {"run_id": run_id, "mode": mode, "batch_rows": int(info["batch_rows"]),

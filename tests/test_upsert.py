@@ -188,3 +188,15 @@ def test_string_partitions_with_escaped_names(spark, workdir):
     names = sorted(d for d in os.listdir(t.data_path) if d.startswith("bucket="))
     assert names == ["bucket=2024-01-01 01%3A00", "bucket=2024-01-02 00%3A00",
                      "bucket=2024-01-03 04%3A00"]
+
+
+def test_full_refresh_resets_the_watermark(spark, workdir):
+    t = table(spark, workdir)
+    t.merge(ev(spark, [(1, 1, T(5))]))
+    t.merge(ev(spark, [(2, 1, T(9))]))
+    r = t.merge(ev(spark, [(3, 1, T(2)), (4, 1, T(3))]), full_refresh=True)
+    assert r["mode"] == "full" and r["run_id"] == 3
+    assert sorted(state(t)) == [3, 4]
+    assert t.committed() == (3, T(3))
+    t.merge(ev(spark, [(3, 1, T(2)), (4, 1, T(3)), (5, 1, T(4))]))
+    assert sorted(state(t)) == [3, 4, 5]
