@@ -25,11 +25,13 @@ one) from a single pass.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import null_safe_differs
 from ..plans import fs
@@ -162,17 +164,31 @@ class HistoryTable:
     def control_path(self) -> str:
         return f"{self.root}/_control"
 
-    def last_run(self) -> int | None:
+    def _state(self) -> tuple[int, T.StructType] | None:
+        """(last committed run, schema of the versions) or None."""
         if not fs.exists(self.spark, self.control_path):
             return None
-        r = self.spark.read.parquet(self.control_path).agg(F.max("run_id")).first()[0]
-        return None if r is None else int(r)
+        row = (self.spark.read.parquet(self.control_path)
+               .agg(F.max("run_id").alias("r"), F.max_by("schema", "run_id").alias("s"))
+               .first())
+        if row is None or row["r"] is None:
+            return None
+        return int(row["r"]), T.StructType.fromJson(json.loads(row["s"]))
 
-    def read(self, last: int | None = None) -> DataFrame | None:
-        last = self.last_run() if last is None else last
-        if last is None:
+    def last_run(self) -> int | None:
+        state = self._state()
+        return None if state is None else state[0]
+
+    def read(self) -> DataFrame | None:
+        state = self._state()
+        if state is None:
             return None
-        runs = self.spark.read.option("basePath", self.runs_path).parquet(self.runs_path)
+        last, schema = state
+        # explicit schema: no inference, and a history without rows reads empty
+        full = T.StructType(schema.fields + [T.StructField("run", T.IntegerType()),
+                                             T.StructField("kind", T.StringType())])
+        runs = (self.spark.read.schema(full).option("basePath", self.runs_path)
+                .parquet(self.runs_path))
         # partition filters only: prunes to closed folders + the last open set
         keep = (F.col("run") <= last) & ((F.col("kind") == "closed") | (F.col("run") == last))
         return runs.where(keep).drop("run", "kind")
@@ -202,8 +218,8 @@ class HistoryTable:
         if written is not None and \
                 (written.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0) > 1:
             raise ValueError(f"snapshot source has a key occurring more than once ({self.key})")
-        (self.spark.createDataFrame([(n,)], "run_id bigint").coalesce(1)
-         .write.mode("append").parquet(self.control_path))
+        (self.spark.createDataFrame([(n, step.schema.json())], "run_id bigint, schema string")
+         .coalesce(1).write.mode("append").parquet(self.control_path))
         return n
 
     def vacuum(self) -> int:

@@ -137,3 +137,11 @@ def test_vacuum_keeps_history(spark, workdir):
     assert len(before) == 4          # key 1: three versions, key 2: one
     h.run(spark.createDataFrame([(1, "s3", d + dt.timedelta(days=3))], O))
     assert h.read().where("order_id = 1").count() == 4
+
+
+def test_empty_first_run_reads_empty(spark, workdir):
+    h = hist(spark, workdir, "timestamp", updated_at="updated_at")
+    h.run(spark.createDataFrame([], O))
+    assert h.read().count() == 0
+    h.run(spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1))], O))
+    assert h.read().count() == 1
