@@ -39,6 +39,7 @@ that lookup is linear in the table and is the scaling limit.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -53,7 +54,7 @@ EMPTY_WATERMARK = "1900-01-01 00:00:00"
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()), T.StructField("watermark", T.TimestampType()),
-    T.StructField("mode", T.StringType())])
+    T.StructField("mode", T.StringType()), T.StructField("schema", T.StringType())])
 
 
 def watermark_filter(source: DataFrame, col: str, watermark, lookback: str | None = None
@@ -120,11 +121,30 @@ class IncrementalTable:
             return None
         return int(row["r"]), row["w"]
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.data_path)
+    def _schema(self) -> T.StructType | None:
+        """Table schema of the last committed run (None before the first)."""
+        if not fs.exists(self.spark, self.control_path):
+            return None
+        s = (self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
+             .agg(F.max_by("schema", "run_id")).first()[0])
+        return T.StructType.fromJson(json.loads(s)) if s else None
+
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
+        """The table. Read with the committed schema (no inference; a table
+        without rows reads empty)."""
+        schema = schema or self._schema()
+        r = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return r.parquet(self.data_path)
+
+    def _table_schema(self, df: DataFrame) -> T.StructType:
+        """``df``'s schema as the table reads it: partition column last."""
+        pc = self.partition_col
+        return T.StructType([f for f in df.schema.fields if f.name != pc]
+                            + [df.schema[pc]])
 
-    def _commit(self, run_id: int, watermark, mode: str) -> None:
-        row = self.spark.createDataFrame([(run_id, watermark, mode)], CONTROL_SCHEMA)
+    def _commit(self, run_id: int, watermark, mode: str, schema: T.StructType) -> None:
+        row = self.spark.createDataFrame([(run_id, watermark, mode, schema.json())],
+                                         CONTROL_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.control_path)
 
     def _with_partition(self, df: DataFrame) -> DataFrame:
@@ -175,7 +195,7 @@ class IncrementalTable:
                  .agg(F.sum("c").alias("n"), F.max("c").alias("dup"), F.max("w").alias("w"))
                  .first())
         if not stats["n"]:
-            self._commit(run_id, wm, "noop")
+            self._commit(run_id, wm, "noop", self._schema())
             fs.delete(self.spark, staging)
             return {"run_id": run_id, "mode": "noop", "batch_rows": 0, "watermark": wm}
         if stats["dup"] > 1:
@@ -184,6 +204,7 @@ class IncrementalTable:
 
         target = self.read()
         pc = self.partition_col
+        new_schema = self._table_schema(batch)
         if set(target.columns) != set(batch.columns):
             # columns changed: rewrite the whole table in the batch's columns
             mode = "schema_sync"
@@ -206,7 +227,7 @@ class IncrementalTable:
         manifest += [(mode, "touched", self._partition_name(None))] if None in touched else []
         manifest += [(mode, "present", v) for v in present]
         manifest += [(mode, "watermark", "" if new_wm is None else new_wm.isoformat(sep=" ")),
-                     (mode, "batch_rows", str(stats["n"]))]
+                     (mode, "batch_rows", str(stats["n"])), (mode, "schema", new_schema.json())]
         (self.spark.createDataFrame(manifest, "mode string, kind string, value string")
          .coalesce(1).write.mode("overwrite").parquet(f"{staging}/_manifest"))
         return self._apply(run_id, staging)
@@ -222,7 +243,8 @@ class IncrementalTable:
         mode = rows[0]["mode"]
         touched = [r["value"] for r in rows if r["kind"] == "touched"]
         present = {r["value"] for r in rows if r["kind"] == "present"}
-        info = {r["kind"]: r["value"] for r in rows if r["kind"] in ("watermark", "batch_rows")}
+        info = {r["kind"]: r["value"] for r in rows
+                if r["kind"] in ("watermark", "batch_rows", "schema")}
         pc = self.partition_col
         if mode == "schema_sync":
             if fs.exists(self.spark, f"{staging}/result"):
@@ -239,7 +261,8 @@ class IncrementalTable:
                 else:                                        # emptied by the run
                     fs.delete(self.spark, part)
         new_wm = dt.datetime.fromisoformat(info["watermark"]) if info["watermark"] else None
-        self._commit(run_id, new_wm, mode)
+        schema = T.StructType.fromJson(json.loads(info["schema"]))
+        self._commit(run_id, new_wm, mode, schema)
         fs.delete(self.spark, staging)   # committed: the staged copies are spent
         return {"run_id": run_id, "mode": mode, "batch_rows": int(info["batch_rows"]),
                 "touched_partitions": len(touched), "watermark": new_wm,
@@ -248,6 +271,7 @@ class IncrementalTable:
     def _full(self, source: DataFrame, run_id: int) -> dict:
         df = self._layout(self._with_partition(source))
         df.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.data_path)
-        wm = self._max_watermark(self.read())
-        self._commit(run_id, wm, "full")
+        schema = self._table_schema(df)
+        wm = self._max_watermark(self.read(schema))
+        self._commit(run_id, wm, "full", schema)
         return {"run_id": run_id, "mode": "full", "watermark": wm}

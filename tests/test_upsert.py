@@ -200,3 +200,11 @@ def test_full_refresh_resets_the_watermark(spark, workdir):
     assert t.committed() == (3, T(3))
     t.merge(ev(spark, [(3, 1, T(2)), (4, 1, T(3)), (5, 1, T(4))]))
     assert sorted(state(t)) == [3, 4, 5]
+
+
+def test_empty_first_run_then_rows(spark, workdir):
+    t = table(spark, workdir)
+    t.merge(ev(spark, []))
+    assert t.read().count() == 0
+    t.merge(ev(spark, [(1, 1, T(1))]))
+    assert sorted(state(t)) == [1]
