@@ -41,7 +41,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +92,8 @@ class IncrementalTable:
     partition_col: str
     partition_of: Callable[[Column], Column] = lambda c: c.cast("date")
     cluster_by: tuple[str, ...] = ()
+    # schema of the last run this instance committed or read (single writer)
+    _known_schema: T.StructType | None = field(default=None, init=False, repr=False)
 
     def _layout(self, df: DataFrame) -> DataFrame:
         """Write layout: AQE rebalances rows by partition value (a few files
@@ -115,10 +117,13 @@ class IncrementalTable:
         if not fs.exists(self.spark, self.control_path):
             return None
         row = (self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
-               .agg(F.max("run_id").alias("r"), F.max_by("watermark", "run_id").alias("w"))
+               .agg(F.max("run_id").alias("r"), F.max_by("watermark", "run_id").alias("w"),
+                    F.max_by("schema", "run_id").alias("s"))
                .first())
         if row is None or row["r"] is None:
             return None
+        if row["s"]:
+            self._known_schema = T.StructType.fromJson(json.loads(row["s"]))
         return int(row["r"]), row["w"]
 
     def _schema(self) -> T.StructType | None:
@@ -132,7 +137,7 @@ class IncrementalTable:
     def read(self, schema: T.StructType | None = None) -> DataFrame:
         """The table. Read with the committed schema (no inference; a table
         without rows reads empty)."""
-        schema = schema or self._schema()
+        schema = schema or self._known_schema or self._schema()
         r = self.spark.read if schema is None else self.spark.read.schema(schema)
         return r.parquet(self.data_path)
 
@@ -146,6 +151,7 @@ class IncrementalTable:
         row = self.spark.createDataFrame([(run_id, watermark, mode, schema.json())],
                                          CONTROL_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.control_path)
+        self._known_schema = schema
 
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_col, self.partition_of(F.col(self.watermark_col)))
@@ -195,7 +201,7 @@ class IncrementalTable:
                  .agg(F.sum("c").alias("n"), F.max("c").alias("dup"), F.max("w").alias("w"))
                  .first())
         if not stats["n"]:
-            self._commit(run_id, wm, "noop", self._schema())
+            self._commit(run_id, wm, "noop", self._known_schema or self._schema())
             fs.delete(self.spark, staging)
             return {"run_id": run_id, "mode": "noop", "batch_rows": 0, "watermark": wm}
         if stats["dup"] > 1:
