@@ -50,6 +50,24 @@ def bucket_skewed(spark: SparkSession, path: str, buckets: int) -> bool:
     return bool(total) and max(sizes) / total > max(BUCKET_MAX_SHARE, 2.0 / buckets)
 
 
+# Fixed value: target bytes per bucket of the order-keyed tables.
+BUCKET_TARGET_BYTES = 128 * 1024 * 1024
+
+
+def bucket_count(spark: SparkSession, df: DataFrame) -> int:
+    """Buckets for the order-keyed tables, sized from Catalyst's size estimate
+    of ``df`` (no job): about BUCKET_TARGET_BYTES each, at least the
+    cluster's default parallelism, at most the shuffle partition count."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        floor_ = int(spark.sparkContext.defaultParallelism)
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no JVM handle (e.g. Spark Connect): keep the cap
+        return cap
+    need = -(-est // BUCKET_TARGET_BYTES)
+    return max(1, min(cap, max(floor_, need)))
+
+
 def _load_raw(spark: SparkSession, name: str, df: DataFrame, path: str,
               buckets: int | None, table_prefix: str) -> DataFrame:
     """Write one raw table once and return the loaded copy.
@@ -113,8 +131,8 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
               seeds: dict[str, DataFrame] | None = None) -> Build:
     """Build every model; ``on_failure='stop'`` raises when a check fails,
     ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``.
-    ``order_buckets``: bucket count of the order-keyed raw tables (0 = the
-    session's shuffle partition count, None = no bucketing). ``threads``:
+    ``order_buckets``: bucket count of the order-keyed raw tables (0 = sized
+    from the data, see ``bucket_count``; None = no bucketing). ``threads``:
     independent models of one layer run as concurrent jobs. ``raw`` / ``seeds``:
     the seven raw tables and two seeds to build from (e.g. typed CSV loads);
     by default they are mapped from the driver tables at ``sf_dir``.
@@ -124,10 +142,10 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
     out_dir = out_dir or work_path(spark, "build")
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     b = Build(spark, sf_dir, out_dir, None)
-    if order_buckets == 0:
-        order_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefix = f"shelfline_{uuid.uuid4().hex[:12]}"
     mapped = raw if raw is not None else RetailModels(spark, sf_dir).raw
+    if order_buckets == 0:
+        order_buckets = bucket_count(spark, mapped["raw_order_items"])
 
     # layer 1 - load: the raw tables are physical tables, written once; every
     # model and check below reads the loaded copies instead of re-deriving them

@@ -110,3 +110,11 @@ def test_build_rerun_into_same_folder(spark, workdir):
     b = build_all(spark, SF, out_dir=out, now="2024-06-01 00:00:00", on_failure="report")
     assert sorted(map(tuple, b.tables["fct_orders"].collect())) == first
     assert b.tables["dq_suite"].count() == 76
+
+
+def test_bucket_count_follows_data_size(spark):
+    from shelfline.plans.build import bucket_count
+    from shelfline.plans.models import RetailModels
+    n = bucket_count(spark, RetailModels(spark, SF).raw["raw_order_items"])
+    assert n == max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           spark.sparkContext.defaultParallelism))
