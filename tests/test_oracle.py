@@ -9,10 +9,12 @@ import pytest
 from conftest import SF0001
 
 import __spark_entry__ as E
+from shelfline.oracle_sql import oracle_sql
+from shelfline.plans.queries import registry
 from tools.oracle_check import TABLES, canon
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +30,7 @@ def con():
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
     assert len(QUERIES) == 49
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("qid", sorted(QUERIES))
