@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import mixing, quality
+from shelfline.llm import mixing, quality, simhash
 from shelfline.llm.common import read_table
 
 
@@ -20,6 +20,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    m["copies"].alias("copies"))
 
 
+def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
