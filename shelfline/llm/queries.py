@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import mixing, quality, simhash
+from shelfline.llm import mixing, quality, simhash, substrings
 from shelfline.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    m["copies"].alias("copies"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
@@ -35,4 +39,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": mixing.MIXING_SQL, "op9_quality_rules": quality.QUALITY_SQL}
+    return {"op1_source_mixing": mixing.MIXING_SQL, "op4_substring_dedup": substrings.SUBSTRINGS_SQL,
+            "op9_quality_rules": quality.QUALITY_SQL}
