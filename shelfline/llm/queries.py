@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import mixing, quality, simhash, substrings
+from shelfline.llm import mixing, packing, quality, simhash, substrings
 from shelfline.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    m["copies"].alias("copies"))
 
 
+def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(read_table(spark, sf_dir, "documents"))
 
