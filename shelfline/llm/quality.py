@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import SPACE, WORD, col, fresh
+from shelfline.llm.common import SPACE, WORD, col, fresh, stage
 
 WINDOW_WORDS = 5
 #: Characters counted as symbols (fixed value).
@@ -128,6 +128,13 @@ def ledger(docs: DataFrame, text_col: str = "text", out_col: str = "ledger",
     return step.select(*keep, F.struct(*[v.alias(k) for k, v in x.items()], failed.alias("failed")).alias(out_col))
 
 
+def stored_ledger(docs: DataFrame, out_col: str = "ledger") -> DataFrame:
+    """The ledger as a written table: what policies are applied to. (A filter on
+    an unwritten ledger would be moved below the measurements by the optimizer,
+    which then evaluates them anew for each use.)"""
+    return stage(ledger(docs, out_col=out_col), "quality-ledger")
+
+
 def fails_policy(failed: Column, policy: tuple[str, ...] | str) -> Column:
     """True if a rule of the policy failed."""
     return failed.bitwiseAND(F.lit(policy_mask(policy)).cast("long")) != 0
