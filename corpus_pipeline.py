@@ -20,7 +20,7 @@ from shelfline.llm.common import col, fresh, read_table, stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps."""
     name, = fresh(docs, "ledger")
-    rows = quality.ledger(docs, out_col=name)
+    rows = quality.stored_ledger(docs, name)
     return rows.where(~quality.fails_policy(col(name)["failed"], quality.DEFAULT_POLICY)).drop(name)
 
 
