@@ -36,7 +36,8 @@ RULES = ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_le
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
     "v1": ("few_words", "repeated_windows", "symbols"),
-    "v2": ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_length", "upper_case"),
+    "v2": ("few_words", "repeated_windows", "symbols", "word_length", "upper_case"),
+    "strict": ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_length", "upper_case"),
 }
 DEFAULT_POLICY = "v2"
 
@@ -196,5 +197,5 @@ b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
                  + CASE WHEN word_chars < n_words * 2 OR word_chars > n_words * 25 THEN 16 ELSE 0 END
                  + CASE WHEN n_upper * 100 > n_letters * 70 THEN 32 ELSE 0 END)::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed FROM b
+       (failed & 3) <> 0 AS base_failed, (failed & 59) = 0 AS kept, failed FROM b
 """
