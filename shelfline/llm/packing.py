@@ -47,7 +47,7 @@ WINDOW_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 _CACHE = 300_000          # words whose ids a task remembers
-_SLICE = 16 << 20         # bytes of text tokenized at once
+_SLICE = 5 << 20          # bytes of text tokenized at once
 #: Two neighbouring white-space characters, or the mark used below.
 _ODD = r"[\s\x0B\x{85}\p{Z}]{2}|\x00"
 
@@ -69,18 +69,37 @@ class WordTokenizer:
         self.model = Tokenizer.from_file(path or vocabulary_path())
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
         self.end, self.known = end_id, {}
+        # a byte-level vocabulary writes the bytes that do not print as characters from U+0100 on
+        plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.shown = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+        self.stops = {"": b""} | {c: np.array([self.model.token_to_id(c)], self.kind).tobytes()
+                                  for c in ".," if self.model.token_to_id(c) is not None}
+        self.bpe = self.model.model.tokenize
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes | None:
+        """Ids of letters with a full stop or comma after them at most: the
+        letters (and the space before) are one pre-token. None for other words."""
+        stem = word.rstrip(".,")
+        stop = self.stops.get(word[len(stem):])
+        if stop is None or not stem.lstrip(" ").isalpha():
+            return None
+        shown = stem.encode().decode("latin-1").translate(self.shown)
+        return np.array([t.id for t in self.bpe(shown)], self.kind).tobytes() + stop
+
     def _ids(self, words: list[str]) -> list[bytes]:
         if len(self.known) > _CACHE:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        found = dict(zip(new, self._encode(new), strict=True))
-        out = [found[w] if w in found else self.known[w] for w in words]
-        self.known.update(found)
-        return out
+        known, new = self.known, []
+        for w in words:
+            if w not in known:
+                known[w] = ids = self._word(w)
+                if ids is None:
+                    new.append(w)
+        known.update(zip(new, self._encode(new), strict=True))
+        return [known[w] for w in words]
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, an end id after each text, and the offsets of the texts."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import mixing, packing, quality, simhash, substrings
+from shelfline.llm import htmltext, language, merkle, mixing, packing, perspectives, quality, simhash, substrings
 from shelfline.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    m["copies"].alias("copies"))
 
 
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(read_table(spark, sf_dir, "pages"))
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(read_table(spark, sf_dir, "documents"))
 
@@ -34,14 +38,27 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.report(read_table(spark, sf_dir, "pages"))
+
+
+def op8_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(read_table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(read_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": mixing.MIXING_SQL, "op4_substring_dedup": substrings.SUBSTRINGS_SQL,
+    return {"op1_source_mixing": mixing.MIXING_SQL, "op2_merkle_fixity": merkle.MERKLE_SQL,
+            "op8_perspective_rotation": perspectives.PERSPECTIVES_SQL, "op4_substring_dedup": substrings.SUBSTRINGS_SQL,
             "op9_quality_rules": quality.QUALITY_SQL}
