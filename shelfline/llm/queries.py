@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import htmltext, language, merkle, mixing, packing, perspectives, quality, simhash, substrings
+from shelfline.llm import htmltext, language, merkle, mixing, packing, perspectives, quality, search, simhash, substrings
 from shelfline.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(read_table(spark, sf_dir, "documents"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
