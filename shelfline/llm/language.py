@@ -44,7 +44,7 @@ from shelfline.llm.common import col, stage
 
 ORDER = 5
 DISCOUNT = 0.75
-MAX_GRAMS = 400_000     # grams of an order in the model
+MAX_GRAMS = 120_000     # grams of an order in the model
 MAX_LANGUAGES = 64      # languages in the model, the most frequent first
 EVIDENCE = 20.0         # characters whose evidence the score counts in full
 REJECT_SD = 8.0
@@ -194,16 +194,16 @@ def fit(labelled: DataFrame) -> Model | None:
         top = kept.where(F.col("k") == k).orderBy(F.desc("all"), "gram").limit(MAX_GRAMS).select("gram")
         mine = orders.where(F.col("k") == k).join(top, "gram").select("lang", "gram", "n")
         c = context.where(F.col("k") == k)
-        grams = mine.toPandas()        # at most MAX_GRAMS x MAX_LANGUAGES rows
+        grams = mine.toArrow()         # at most MAX_GRAMS x MAX_LANGUAGES rows
         near = top.select(F.expr(f"substring(gram, 1, {k - 1})").alias("context")).distinct()
-        held = c.join(near, "context").select("lang", "context", "total", "types").toPandas()
-        names, where = np.unique(grams["gram"].to_numpy(str), return_inverse=True)
+        held = c.join(near, "context").select("lang", "context", "total", "types").toArrow()
+        names, where = np.unique(np.array(grams["gram"].to_pylist(), dtype=str), return_inverse=True)
         own = np.zeros((len(names), len(languages)))
-        own[where, grams["lang"].map(index).to_numpy(int)] = np.maximum(grams["n"].to_numpy(float) - DISCOUNT, 0)
-        before, at = np.unique(held["context"].to_numpy(str), return_inverse=True)
+        own[where, [index[x] for x in grams["lang"].to_pylist()]] = np.maximum(grams["n"].to_numpy() - DISCOUNT, 0)
+        before, at = np.unique(np.array(held["context"].to_pylist(), dtype=str), return_inverse=True)
         total, types = (np.zeros((len(before), len(languages))) for _ in range(2))
-        total[at, held["lang"].map(index).to_numpy(int)] = held["total"]
-        types[at, held["lang"].map(index).to_numpy(int)] = held["types"]
+        lang = [index[x] for x in held["lang"].to_pylist()]
+        total[at, lang], types[at, lang] = held["total"].to_numpy(), held["types"].to_numpy()
         weight = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
         ctx = np.searchsorted(before, np.array([g[:k - 1] for g in names], dtype=str)) if k > 1 else np.zeros(len(names), int)
         if k == 1:
