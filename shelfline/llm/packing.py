@@ -32,6 +32,7 @@ long texts are whole; only the named columns are read.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +47,8 @@ from shelfline.llm.common import col, stage
 WINDOW_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
-_CACHE = 300_000          # words whose ids a task remembers
-_SLICE = 5 << 20          # bytes of text tokenized at once
+_CACHE = 150_000          # words whose ids a task remembers: the first it meets
+_SLICE = 4 << 20          # bytes of text tokenized at once
 #: Two neighbouring white-space characters, or the mark used below.
 _ODD = r"[\s\x0B\x{85}\p{Z}]{2}|\x00"
 
@@ -74,7 +75,8 @@ class WordTokenizer:
         self.shown = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.stops = {"": b""} | {c: np.array([self.model.token_to_id(c)], self.kind).tobytes()
                                   for c in ".," if self.model.token_to_id(c) is not None}
-        self.bpe = self.model.model.tokenize
+        self.bpe, self.space = self.model.model.tokenize, chr(self.shown[0x20])
+        self.code = "H" if self.kind.itemsize == 2 else "I"
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
@@ -86,20 +88,21 @@ class WordTokenizer:
         stop = self.stops.get(word[len(stem):])
         if stop is None or not stem.lstrip(" ").isalpha():
             return None
-        shown = stem.encode().decode("latin-1").translate(self.shown)
-        return np.array([t.id for t in self.bpe(shown)], self.kind).tobytes() + stop
+        if stem.isascii():
+            shown = self.space + stem[1:] if stem[0] == " " else stem
+        else:
+            shown = stem.encode().decode("latin-1").translate(self.shown)
+        return array(self.code, [t.id for t in self.bpe(shown)]).tobytes() + stop
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        known, new = self.known, []
-        for w in words:
-            if w not in known:
-                known[w] = ids = self._word(w)
-                if ids is None:
-                    new.append(w)
-        known.update(zip(new, self._encode(new), strict=True))
-        return [known[w] for w in words]
+        known = self.known
+        out = [known[w] if w in known else self._word(w) for w in words]
+        odd = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(odd, self._encode([words[i] for i in odd]), strict=True):
+            out[i] = ids
+        if len(known) < _CACHE:
+            known.update(zip(words, out, strict=True))
+        return out
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, an end id after each text, and the offsets of the texts."""
