@@ -34,13 +34,14 @@ def _inputs(spark, args):
     driver mapping at --sf."""
     if not args.landing:
         return None, None
+    from .plans import fs
     from .sources.csv_load import load_seed, load_typed_csv
     from .sources.schemas import RAW_SCHEMAS, SEED_SCHEMAS
     raw = {n: load_typed_csv(spark, os.path.join(args.landing, n), s)
            for n, s in RAW_SCHEMAS.items()}
     seeds = {n: load_seed(spark, os.path.join(args.landing, n), s)
              for n, s in SEED_SCHEMAS.items()
-             if os.path.exists(os.path.join(args.landing, n))}
+             if fs.exists(spark, os.path.join(args.landing, n))}
     return raw, seeds
 
 

@@ -20,12 +20,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def next_value(df: DataFrame, key: str, order_col: str, out_col: str,
                num_partitions: int | None = None) -> DataFrame:
     ranged = (df.repartitionByRange(num_partitions, key, order_col) if num_partitions
               else df.repartitionByRange(key, order_col))
-    ranged = ranged.withColumn("_chunk", F.spark_partition_id())
+    # written once: the sampled bounds, and so the chunks, are the same for both uses
+    shared_dir(df.sparkSession)
+    ranged = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint()
     w = Window.partitionBy("_chunk").orderBy(key, order_col)
     local = (ranged
              .withColumn("_nk", F.lead(key).over(w))

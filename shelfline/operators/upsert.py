@@ -185,8 +185,11 @@ class IncrementalTable:
             # run ids keep rising across a full refresh: the committed
             # watermark is always the one of the highest run id
             return self._full(source, run_id)
-        if fs.exists(self.spark, f"{staging}/_manifest"):
-            return self._apply(run_id, staging, resumed=True)   # a crashed apply
+        if fs.exists(self.spark, f"{staging}/_manifest/_SUCCESS"):
+            # a crashed apply: finish it, then go on with this call's source
+            done = self._apply(run_id, staging, resumed=True)
+            own = self.merge(source, full_refresh, lookback, filter_watermark)
+            return (done if own["mode"] == "noop" else own) | {"resumed": True}
 
         _, wm = state
         batch_path = f"{staging}/batch"

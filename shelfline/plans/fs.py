@@ -19,8 +19,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def delete(spark: SparkSession, path: str) -> bool:
+    """Delete ``path``; False if there was nothing. A refused delete raises."""
     fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
+    if not fs.delete(p, True):
+        if fs.exists(p):
+            raise OSError(f"could not delete {path}")
+        return False
+    return True
 
 
 def file_sizes(spark: SparkSession, path: str) -> list[int]:
@@ -45,7 +50,10 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Move ``src`` to ``dst`` (a metadata operation on HDFS-like stores)."""
+    """Move ``src`` to ``dst`` (a metadata operation on HDFS-like stores). The
+    filesystem reports a failed move by False; that raises."""
     fs, p = _fs(spark, src)
     q = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
-    return bool(fs.rename(p, q))
+    if not fs.rename(p, q):
+        raise OSError(f"could not move {src} to {dst}")
+    return True

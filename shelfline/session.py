@@ -52,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = _configured_dir(spark)
     if path:
         return path.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="shelfline-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(path)

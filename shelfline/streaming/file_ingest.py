@@ -29,7 +29,9 @@ from ..sources.csv_load import cast_to, string_schema
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     r = (spark.readStream.schema(string_schema(schema)).option("header", True)
-         .option("mode", "FAILFAST"))
+         .option("mode", "FAILFAST")
+         .option("enforceSchema", False)         # the header is checked, as in the batch load
+         .option("maxFileAge", "36500d"))        # an old file is loaded too
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return cast_to(r.csv(landing), schema)
