@@ -19,10 +19,10 @@ and share one queue; so there are at most ``window`` queues, which is the bound
 on what the driver holds. Running sums go by part of the written token table,
 so that no source meets in one task.
 
-Text is cut where a single space stands between two other characters; no token
-of a byte-level BPE with this pre-tokenizer reaches over that place, so the
-tokenizer sees each distinct word of a batch once. Texts with other runs of
-white space are tokenized whole.
+Text is cut where a single space or line end stands between two other
+characters; no token of a byte-level BPE with this pre-tokenizer reaches over
+that place, so the tokenizer sees each distinct word of a batch once. Texts with
+longer runs of white space are tokenized whole.
 
 Defined results: null text is empty and packs its end token alone; null source
 is a source; equal rows are packed each; an empty table packs to nothing; very
@@ -49,8 +49,9 @@ END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 _CACHE = 150_000          # words whose ids a task remembers: the first it meets
 _SLICE = 4 << 20          # bytes of text tokenized at once
-#: Two neighbouring white-space characters, or the mark used below.
-_ODD = r"[\s\x0B\x{85}\p{Z}]{2}|\x00"
+#: Two neighbouring white-space characters, or one of the marks used below.
+_ODD = r"[\s\x0B\x{85}\p{Z}]{2}|[\x00\x01]"
+_START, _LINE = "\x00", "\x01"   # marks of a text's first word and of a line's first word
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -69,63 +70,81 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path or vocabulary_path())
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.end, self.known = end_id, {}
+        self.known = {}
         # a byte-level vocabulary writes the bytes that do not print as characters from U+0100 on
         plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-        self.shown = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
-        self.stops = {"": b""} | {c: np.array([self.model.token_to_id(c)], self.kind).tobytes()
-                                  for c in ".," if self.model.token_to_id(c) is not None}
-        self.bpe, self.space = self.model.model.tokenize, chr(self.shown[0x20])
-        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.shown = np.arange(256, dtype="<u4")
+        self.shown[[b for b in range(256) if b not in plain]] = 0x100 + np.arange(256 - len(plain))
+        self.shown[0x0A] = 0x0A     # parts the stems below, which hold none
+        self.bpe, self.code = self.model.model.tokenize, "H" if self.kind.itemsize == 2 else "I"
+        self.fixed = [b"", *self._encode(["\n", ".", ","]), np.array([end_id], self.kind).tobytes()]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes | None:
-        """Ids of letters with a full stop or comma after them at most: the
-        letters (and the space before) are one pre-token. None for other words."""
-        stem = word.rstrip(".,")
-        stop = self.stops.get(word[len(stem):])
-        if stop is None or not stem.lstrip(" ").isalpha():
-            return None
-        if stem.isascii():
-            shown = self.space + stem[1:] if stem[0] == " " else stem
-        else:
-            shown = stem.encode().decode("latin-1").translate(self.shown)
-        return array(self.code, [t.id for t in self.bpe(shown)]).tobytes() + stop
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        out = [known[w] if w in known else self._word(w) for w in words]
-        odd = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(odd, self._encode([words[i] for i in odd]), strict=True):
-            out[i] = ids
-        if len(known) < _CACHE:
-            known.update(zip(words, out, strict=True))
+    def _stems(self, stems: list[str]) -> list[bytes]:
+        """Ids of letters with a space before them or none, which are one pre-token."""
+        out = list(map(self.known.get, stems))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        text = "\n".join([stems[i] for i in new]).encode()
+        shown = self.shown[np.frombuffer(text, np.uint8)].tobytes().decode("utf-32-le").split("\n")
+        for i, word in zip(new, shown, strict=False):
+            out[i] = array(self.code, [t.id for t in self.bpe(word)]).tobytes()
+        if len(self.known) < _CACHE:
+            self.known.update((stems[i], out[i]) for i in new)
         return out
 
+    def _spread(self, units: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units that ``codes`` name one after the other, and their number by code."""
+        size = np.fromiter(map(len, units), np.int64, len(units)) // self.kind.itemsize
+        return _gather(np.frombuffer(b"".join(units), self.kind), size, codes)
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each with the space or line end before it, and their
+        number by word. Letters with one full stop or comma after them at most are
+        put together from their parts; the tokenizer takes other words whole."""
+        line, start = pc.starts_with(words, _LINE), pc.starts_with(words, _START)
+        body = pc.utf8_ltrim(words, _START + _LINE)
+        before = pc.if_else(pc.or_(line, start), "", " ")
+        stem = pc.utf8_rtrim(body, ".,")
+        after = pc.subtract(pc.binary_length(body), pc.binary_length(stem)).to_numpy(zero_copy_only=False)
+        plain = pc.utf8_is_alpha(stem).to_numpy(zero_copy_only=False) & (after < 2)
+        keys = pc.binary_join_element_wise(before, stem, "").filter(pa.array(plain)).dictionary_encode()
+        odd = pc.binary_join_element_wise(pc.if_else(line, "\n", before), body, "").filter(pa.array(~plain))
+        stems = self._stems(keys.dictionary.to_pylist())
+        # parts of a word: line end or none, stem or the whole word, stop or none
+        parts = np.zeros((len(words), 3), np.int64)
+        parts[plain, 0] = line.to_numpy(zero_copy_only=False)[plain]
+        parts[plain, 1] = len(self.fixed) + keys.indices.to_numpy(zero_copy_only=False)
+        parts[plain, 2] = np.where(after == 0, 0, np.where(pc.ends_with(body, ".").to_numpy(zero_copy_only=False), 2, 3))[plain]
+        parts[~plain, 1] = len(self.fixed) + len(stems) + np.arange(len(odd))
+        ids, n = self._spread(self.fixed + stems + self._encode(odd.to_pylist()), parts.ravel())
+        return ids, n.reshape(-1, 3).sum(1)
+
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, an end id after each text, and the offsets of the texts."""
         text = pc.fill_null(text, "")
         odd = pc.match_substring_regex(text, _ODD)
         whole = self._encode(text.filter(odd).to_pylist()) if pc.any(odd).as_py() else []
-        marked = pc.binary_join_element_wise("\0", pc.if_else(odd, "", text), "")
-        lists = pc.split_pattern(marked, " ")
+        lines = pc.replace_substring(pc.if_else(odd, "", text), "\n", " " + _LINE)
+        lists = pc.split_pattern(pc.binary_join_element_wise(_START, lines, ""), " ")
         flat = lists.flatten().dictionary_encode()
         offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        ids = self._ids([w[1:] if w[:1] == "\0" else " " + w for w in flat.dictionary.to_pylist()])
+        ids, size = self._ids(flat.dictionary)
         codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # after a text's words: its ids if it was tokenized whole, then the end
-        tail = np.full(len(text), len(ids))
-        tail[odd.to_numpy(zero_copy_only=False)] = len(ids) + 1 + np.arange(len(whole))
-        ids += [np.array([self.end], self.kind).tobytes()] + [b + np.array([self.end], self.kind).tobytes() for b in whole]
-        codes = np.insert(codes, offsets[1:], tail)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
-        store, first = np.frombuffer(b"".join(ids), self.kind), np.cumsum(size) - size
-        n = size[codes]
-        ends = np.cumsum(n)
-        out = store[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - n), n)]
-        return out, np.concatenate([[0], ends])[offsets + np.arange(len(offsets))]
+        tail, n_tail = self._spread([self.fixed[-1], *[b + self.fixed[-1] for b in whole]], np.arange(len(whole) + 1))
+        ends = np.full(len(text), len(size))
+        ends[odd.to_numpy(zero_copy_only=False)] = len(size) + 1 + np.arange(len(whole))
+        ids, n = _gather(np.concatenate([ids, tail]), np.concatenate([size, n_tail]), np.insert(codes, offsets[1:], ends))
+        return ids, np.concatenate([[0], np.cumsum(n)])[offsets + np.arange(len(offsets))]
+
+
+def _gather(store: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``store`` (of ``size`` each, one after the other) that ``codes`` name, and their sizes."""
+    n = size[codes]
+    shift = (np.cumsum(size) - size)[codes] - (np.cumsum(n) - n)
+    return store[np.arange(n.sum()) + np.repeat(shift, n)], n
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
