@@ -34,6 +34,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ from shelfline.llm.common import col, stage
 WINDOW_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
-_CACHE = 150_000          # words whose ids a task remembers: the first it meets
-_SLICE = 4 << 20          # bytes of text tokenized at once
+_CACHE = 100_000          # words whose ids a worker remembers: the first it meets
+_SLICE = 2 << 20          # bytes of text tokenized at once
 #: Two neighbouring white-space characters, or one of the marks used below.
 _ODD = r"[\s\x0B\x{85}\p{Z}]{2}|[\x00\x01]"
 _START, _LINE = "\x00", "\x01"   # marks of a text's first word and of a line's first word
@@ -143,8 +144,17 @@ class WordTokenizer:
 def _gather(store: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of ``store`` (of ``size`` each, one after the other) that ``codes`` name, and their sizes."""
     n = size[codes]
-    shift = (np.cumsum(size) - size)[codes] - (np.cumsum(n) - n)
-    return store[np.arange(n.sum()) + np.repeat(shift, n)], n
+    at = np.repeat(((np.cumsum(size) - size)[codes] - (np.cumsum(n) - n)).astype(np.int32), n)
+    at += np.arange(len(at), dtype=np.int32)   # a slice has fewer than 2**31 ids
+    return store[at], n
+
+
+@lru_cache(maxsize=1)
+def _worker_tokenizer(path: str | None, end_id: int) -> WordTokenizer:
+    """One tokenizer a Python worker, kept for its next tasks. Arrow's own pool
+    would keep the memory of the largest batch."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    return WordTokenizer(path, end_id)
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -154,10 +164,9 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
     schema = rows.drop("text").schema.add("n", "long").add("ids", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
             for part in W.slices(batch, limit=_SLICE):
-                model = model or WordTokenizer(vocabulary, end_id)
+                model = _worker_tokenizer(vocabulary, end_id)
                 ids, offsets = model.encode(part["text"])
                 at = pa.array((offsets * model.kind.itemsize).astype(np.int64))
                 binary = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
