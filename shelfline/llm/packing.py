@@ -151,9 +151,7 @@ def _gather(store: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.
 
 @lru_cache(maxsize=1)
 def _worker_tokenizer(path: str | None, end_id: int) -> WordTokenizer:
-    """One tokenizer a Python worker, kept for its next tasks. Arrow's own pool
-    would keep the memory of the largest batch."""
-    pa.set_memory_pool(pa.system_memory_pool())
+    """One tokenizer a Python worker, kept for its next tasks."""
     return WordTokenizer(path, end_id)
 
 
