@@ -53,15 +53,3 @@ def surrogate_key(*cols: str | Column) -> Column:
 def null_safe_differs(a: Column, b: Column) -> Column:
     """True when a and b differ, NULL compared as a value (never NULL)."""
     return ~a.eqNullSafe(b)
-
-
-# Fixed value: the largest side (rows) ever broadcast by an explicit hint.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
-    unchanged (AQE then measures it at run time and picks the join). The
-    check reads at most max_rows + 1 rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -1,11 +1,9 @@
 """Rollups (A1-A5), intermediate models (Q1, Q2) and marts (Q3-Q12).
 
 Join strategy: the two seeds are tiny (country codes come from the 25-row
-nation table, targets are a 5-row list); they are broadcast explicitly after a
-bounded size check (``broadcast_if_small``). Every other join side (products, stores,
-customers, orders, rollups) grows with the data, so no hint is given: AQE
-picks a broadcast only after measuring the side at run time
-(``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise keeps the
+nation table, targets are a 5-row list). No join has a hint: Catalyst broadcasts a
+side whose size estimate is below ``spark.sql.autoBroadcastJoinThreshold``, AQE
+one that it has measured at run time, and all other joins keep the
 sort-merge join; a skewed key on the streamed side is split by AQE's skew-join
 rule. Rollups are hash aggregates with a map-side partial step, so a hot key
 is pre-aggregated before the shuffle.
@@ -16,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small, surrogate_key
+from ..functions.columns import surrogate_key
 
 # Statuses excluded from revenue, price band bounds.
 NON_REVENUE_STATUSES = ("cancelled", "returned")
@@ -100,7 +98,7 @@ def dim_customers(stg_customers: DataFrame, orders_enriched: DataFrame,
     """Q3: one row per customer with order history and country attributes."""
     co = orders_by_customer(orders_enriched)
     j = (stg_customers.join(co, "customer_id", "left")
-         .join(broadcast_if_small(country_codes), "country_code", "left"))
+         .join(country_codes, "country_code", "left"))
     return j.select(
         surrogate_key("customer_id").alias("customer_sk"),
         "customer_id", "first_name", "last_name", "email", "country_code",
@@ -115,7 +113,7 @@ def dim_products(stg_products: DataFrame, category_targets: DataFrame) -> DataFr
     """Q4: products with their category's monthly target and a price band
     (a NULL price falls through to 'premium')."""
     price = F.col("price")
-    j = stg_products.join(broadcast_if_small(category_targets), "category", "left")
+    j = stg_products.join(category_targets, "category", "left")
     return j.select(
         surrogate_key("product_id").alias("product_sk"),
         "product_id", "sku", "product_name", "category", "price",
@@ -127,7 +125,7 @@ def dim_products(stg_products: DataFrame, category_targets: DataFrame) -> DataFr
 
 def dim_stores(stg_stores: DataFrame, country_codes: DataFrame) -> DataFrame:
     """Q5: stores with country name and region."""
-    j = stg_stores.join(broadcast_if_small(country_codes), "country_code", "left")
+    j = stg_stores.join(country_codes, "country_code", "left")
     return j.select(
         surrogate_key("store_id").alias("store_sk"),
         "store_id", "store_name", "store_type", "country_code", "country_name", "region")
@@ -160,9 +158,8 @@ def fct_order_items(items_enriched: DataFrame, stg_orders: DataFrame) -> DataFra
 
 def fct_order_items_from_staged(stg_order_items: DataFrame, stg_products: DataFrame,
                                 stg_orders: DataFrame) -> DataFrame:
-    """Q7 with the order join first: when lines and orders are co-partitioned
-    on order_id (bucketed tables) that join needs no exchange, and only the
-    product join moves the lines. Same rows as ``fct_order_items`` (two
+    """Q7 with the order join first: lines that are already partitioned
+    on order_id need no exchange for it. Same rows as ``fct_order_items`` (two
     independent left joins from the lines)."""
     orders = stg_orders.select("order_id", "customer_id", "store_id", "ordered_at", "status")
     products = stg_products.select("product_id", "product_name", "category")
@@ -190,7 +187,7 @@ def _revenue_vs_target(revenue: DataFrame, category_targets: DataFrame) -> DataF
     """(category, revenue_month, revenue) joined to the monthly target: a NULL
     category matches no target; pct_of_target is NULL without a target or
     with a zero target."""
-    j = revenue.join(broadcast_if_small(category_targets), "category", "left")
+    j = revenue.join(category_targets, "category", "left")
     target = F.col("monthly_revenue_target")
     return j.select(
         "revenue_month", "category", "revenue", "monthly_revenue_target",

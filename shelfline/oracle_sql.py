@@ -49,10 +49,11 @@ select s_suppkey as store_id, concat(' ', s_name) as store_name, concat('n', cas
  case s_suppkey % 3 when 0 then 'flagship' when 1 then 'standard' else 'outlet' end as store_type from supplier""")
 
 cte("raw_orders", """
-select o_orderkey as order_id, o_custkey as customer_id, o_orderkey % 10 as store_id, o_orderdate as ordered_at,
+select case when o_custkey % 25 = 7 then -o_orderkey else o_orderkey end as order_id,
+ case when o_custkey % 25 = 7 then o_custkey + 1 else o_custkey end as customer_id, o_orderkey % 10 as store_id, o_orderdate as ordered_at,
  o_orderdate + (o_orderkey % 241) * interval '1' hour as updated_at,
  case when o_orderkey % 20 < 2 then ' Placed' when o_orderkey % 20 < 5 then 'shipped' when o_orderkey % 20 < 16 then 'COMPLETED ' when o_orderkey % 20 < 18 then 'Returned' else 'cancelled' end as status
- from orders where o_custkey % 25 <> 7""")
+ from orders""")
 
 cte("raw_order_items", """
 select concat(cast(l_orderkey as string),'-',cast(l_linenumber as string),'-',cast(l_partkey as string),'-',cast(l_suppkey as string),'-',cast(cast(l_shipdate as date) as string)) as order_item_id,
@@ -76,7 +77,7 @@ select event_id, user_id % 10 as store_id, event_id % 200 as product_id,
  case when event_type in ('purchase','error') then -1 else 1 end * (1 + cast(floor(value) as int) % 50) as quantity_change, ts as event_at from events""")
 
 cte("country_codes", """
-select concat('N', cast(n_nationkey as string)) as country_code, n_name as country_name, r_name as region from nation join region on n_regionkey = r_regionkey where n_nationkey <> 24""")
+select concat(case when n_nationkey = 24 then 'X' else 'N' end, cast(n_nationkey as string)) as country_code, n_name as country_name, r_name as region from nation join region on n_regionkey = r_regionkey""")
 
 cte("category_targets", """
 select category, cast(monthly_revenue_target as bigint) as monthly_revenue_target from (values ('STANDARD', 4500000), ('PROMO', 6000000), ('ECONOMY', 3000000), ('MEDIUM', 0), ('SMALL', 2000000)) as t(category, monthly_revenue_target)""")

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -24,65 +23,18 @@ from ..operators.scd2 import HistoryTable
 from ..operators.upsert import IncrementalTable
 from ..session import work_path
 from ..sources.schemas import RAW_SCHEMAS
-from . import fs
 from .models import RetailModels
 from .writers import read_table, write_table
 
 # Clustering of the two clustered tables.
 FCT_ORDERS_CLUSTER = ("ordered_date", "store_id")
 FCT_INVENTORY_CLUSTER = ("event_date", "store_id")
-# Raw tables joined and rolled up on order_id: written bucketed on it.
-ORDER_KEYED = ("raw_orders", "raw_order_items", "raw_payments")
-
-
-# Fixed value: the largest share of a table's bytes one bucket may hold
-# before the bucketed layout is judged skewed (see bucket_skewed).
-BUCKET_MAX_SHARE = 0.05
-
-
-def bucket_skewed(spark: SparkSession, path: str, buckets: int) -> bool:
-    """True when one bucket file holds far more than its share of the table:
-    a hash bucket cannot split a hot key, so such a table is better stored
-    plainly (AQE's skew join then splits the hot key). Decided from file
-    sizes alone (a listing, no job)."""
-    sizes = fs.file_sizes(spark, path)
-    total = sum(sizes)
-    return bool(total) and max(sizes) / total > max(BUCKET_MAX_SHARE, 2.0 / buckets)
-
-
-# Fixed value: target bytes per bucket of the order-keyed tables.
-BUCKET_TARGET_BYTES = 128 * 1024 * 1024
-
-
-def bucket_count(spark: SparkSession, df: DataFrame) -> int:
-    """Buckets for the order-keyed tables, sized from Catalyst's size estimate
-    of ``df`` (no job): about BUCKET_TARGET_BYTES each, at least the
-    cluster's default parallelism, at most the shuffle partition count."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        floor_ = int(spark.sparkContext.defaultParallelism)
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no JVM handle (e.g. Spark Connect): keep the cap
-        return cap
-    need = -(-est // BUCKET_TARGET_BYTES)
-    return max(1, min(cap, max(floor_, need)))
-
-
-def _load_raw(spark: SparkSession, name: str, df: DataFrame, path: str,
-              buckets: int | None, table_prefix: str) -> DataFrame:
-    """Write one raw table once and return the loaded copy.
-
-    Order-keyed tables are bucketed (and sorted) on order_id into ``buckets``
-    buckets, hash-partitioned first so every bucket is one file: the order
-    rollups, the order joins and the order relationship checks then read
-    co-partitioned inputs and plan no exchange for them. Bucketing needs a
-    catalog entry; the table is external (its files live at ``path``)."""
-    if buckets and name in ORDER_KEYED:
-        table = f"{table_prefix}_{name}"
-        (df.repartition(buckets, "order_id").write.mode("overwrite")
-         .bucketBy(buckets, "order_id").sortBy("order_id")
-         .option("path", path).saveAsTable(table))
-        return spark.table(table)
+
+
+def _load_raw(spark: SparkSession, name: str, df: DataFrame, path: str) -> DataFrame:
+    """Write one raw table once and return the loaded copy. No key decides where
+    a row is stored, so a hot order is spread over the files, and AQE can split
+    it in the order joins."""
     write_table(df, path)
     return read_table(spark, path, RAW_SCHEMAS[name])
 
@@ -126,14 +78,12 @@ def _layer(b: Build, tasks: dict, threads: int) -> dict:
 
 def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None = None,
               now: str | None = None, on_failure: str = "stop", run_checks: bool = True,
-              order_buckets: int | None = 0, threads: int = 4,
+              threads: int = 4,
               raw: dict[str, DataFrame] | None = None,
               seeds: dict[str, DataFrame] | None = None) -> Build:
     """Build every model; ``on_failure='stop'`` raises when a check fails,
     ``'report'`` keeps going and leaves the results in ``b.tables['dq_suite']``.
-    ``order_buckets``: bucket count of the order-keyed raw tables (0 = sized
-    from the data, see ``bucket_count``; None = no bucketing). ``threads``:
-    independent models of one layer run as concurrent jobs. ``raw`` / ``seeds``:
+    ``threads``: independent models of one layer run as concurrent jobs. ``raw`` / ``seeds``:
     the seven raw tables and two seeds to build from (e.g. typed CSV loads);
     by default they are mapped from the driver tables at ``sf_dir``.
 
@@ -142,27 +92,12 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
     out_dir = out_dir or work_path(spark, "build")
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     b = Build(spark, sf_dir, out_dir, None)
-    prefix = f"shelfline_{uuid.uuid4().hex[:12]}"
     mapped = raw if raw is not None else RetailModels(spark, sf_dir).raw
-    if order_buckets == 0:
-        order_buckets = bucket_count(spark, mapped["raw_order_items"])
 
     # layer 1 - load: the raw tables are physical tables, written once; every
     # model and check below reads the loaded copies instead of re-deriving them
-    loaded = _layer(b, {n: (lambda n=n: _load_raw(spark, n, mapped[n], f"{out_dir}/raw/{n}",
-                                                  order_buckets, prefix))
+    loaded = _layer(b, {n: (lambda n=n: _load_raw(spark, n, mapped[n], f"{out_dir}/raw/{n}"))
                         for n in mapped}, threads)
-    if order_buckets and any(bucket_skewed(spark, f"{out_dir}/raw/{n}", order_buckets)
-                             for n in ORDER_KEYED):
-        # a hot order key: store the order-keyed tables plainly instead
-        b.runs["order_buckets"] = None
-        for n in ORDER_KEYED:
-            with b.step(f"{n}_plain"):
-                path = f"{out_dir}/raw_plain/{n}"
-                write_table(loaded[n], path)
-                loaded[n] = read_table(spark, path, RAW_SCHEMAS[n])
-    else:
-        b.runs["order_buckets"] = order_buckets
     m = b.models = RetailModels(spark, sf_dir, raw=loaded, seeds=seeds)
     b.tables.update(dict(m.raw))
     b.tables.update(dict(m.stg))

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small
 from ..functions.columns import dollars_to_cents as to_cents
 from ..functions.columns import surrogate_key as sk
 from ..operators import marts, quality, scd2
@@ -136,7 +135,7 @@ def seed_category_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     seed = csv_load.load_seed(spark, path, CATEGORY_TARGETS)
     cats = m.stg["stg_products"].groupBy("category").agg(
         F.count(F.lit(1)).alias("n_products"))
-    return cats.join(broadcast_if_small(seed), "category", "left").select(
+    return cats.join(seed, "category", "left").select(
         "category", "monthly_revenue_target", "n_products")
 
 

@@ -15,7 +15,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import broadcast_if_small
 from .schemas import CATEGORY_TARGETS, RAW_SCHEMAS, conform
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -75,12 +74,14 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders. Those of one customer in 25 go to the next customer under the
+    negative key: customers without orders, orders without lines, lines without order."""
     o = read_driver(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    m = k % 20
-    df = o.where(F.col("o_custkey") % 25 != 7).select(
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    m, moved = k % 20, c % 25 == 7
+    df = o.select(
+        F.when(moved, -k).otherwise(k).alias("order_id"),
+        F.when(moved, c + 1).otherwise(c).alias("customer_id"),
         (k % 10).alias("store_id"),
         F.col("o_orderdate").alias("ordered_at"),
         (F.col("o_orderdate") + (k % 241) * F.expr("INTERVAL '1' HOUR")).alias("updated_at"),
@@ -177,13 +178,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country lookup from nation x region (25 x 5 rows, fixed by the TPC-H
-    spec at every scale factor; the region side is broadcast after a size check).
-    Nation 24 is left out on purpose: an unknown country for the checks."""
+    spec at every scale factor). Nation 24 goes under another code on purpose:
+    N24 is an unknown country for the checks."""
     n = read_driver(spark, sf_dir, "nation")
     r = read_driver(spark, sf_dir, "region")
-    j = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey, "inner")
-    return j.where(F.col("n_nationkey") != 24).select(
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("country_code"),
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
+    k = F.col("n_nationkey")
+    return j.select(
+        F.concat(F.when(k == 24, "X").otherwise("N"), k.cast("string")).alias("country_code"),
         F.col("n_name").alias("country_name"),
         F.col("r_name").alias("region"),
     )

@@ -48,30 +48,11 @@ def test_snapshots_first_run_all_open(built):
         assert snap.where("valid_to is null").count() == built.models.stg[src].count()
 
 
-def test_order_tables_are_bucketed(built):
-    from conftest import explain
-    plan = explain(built.models.int_orders_enriched)
-    assert "Bucketed: true" in plan
-
-
 def test_stop_on_failure_raises(spark):
     with pytest.raises(ValueError):
         build_all(spark, SF, now="2024-06-01 00:00:00", on_failure="stop")
 
 
-def test_bucket_skew_detection(spark, workdir):
-    from pyspark.sql import functions as F
-    from shelfline.plans.build import bucket_skewed
-    hot = spark.range(0, 200000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("order_id"))
-    flat = spark.range(0, 200000).withColumnRenamed("id", "order_id")
-    for name, df in (("hot", hot), ("flat", flat)):
-        (df.repartition(16, "order_id").write.bucketBy(16, "order_id")
-         .option("path", f"{workdir}/{name}").saveAsTable(f"skewtest_{name}"))
-    assert bucket_skewed(spark, f"{workdir}/hot", 16)
-    assert not bucket_skewed(spark, f"{workdir}/flat", 16)
-
-
 def test_cli_build_and_incremental_from_csv_drops(spark, workdir, capsys):
     import json
     import os
@@ -112,9 +93,19 @@ def test_build_rerun_into_same_folder(spark, workdir):
     assert b.tables["dq_suite"].count() == 76
 
 
-def test_bucket_count_follows_data_size(spark):
-    from shelfline.plans.build import bucket_count
+def test_no_order_is_dropped_and_hot_orders_are_spread(spark, workdir):
+    import os
+
     from shelfline.plans.models import RetailModels
-    n = bucket_count(spark, RetailModels(spark, SF).raw["raw_order_items"])
-    assert n == max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                           spark.sparkContext.defaultParallelism))
+    raw = dict(RetailModels(spark, SF).raw)
+    assert raw["raw_orders"].count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    hot = raw["raw_order_items"].first()["order_id"]
+    raw["raw_order_items"] = raw["raw_order_items"].withColumn(
+        "order_id", F.when(F.xxhash64("order_item_id") % 3 == 0, hot).otherwise(F.col("order_id")))
+    raw["raw_order_items"] = raw["raw_order_items"].repartition(8)
+    out = os.path.join(workdir, "hot")
+    b = build_all(spark, SF, out_dir=out, raw=raw, run_checks=False)
+    parts = (b.tables["raw_order_items"].where(F.col("order_id") == hot)
+             .groupBy(F.input_file_name()).count().count())
+    assert parts > 1
+    assert b.tables["fct_order_items"].count() == raw["raw_order_items"].count()

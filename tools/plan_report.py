@@ -1,7 +1,7 @@
 """Plan shapes of the main models as they would plan at scale: automatic
-broadcasts off (large sides), explicit size-checked seed broadcasts kept.
-Counts exchanges, join strategies and bucketed scans per model, over the
-lazy driver mapping and over a build's loaded (bucketed) raw tables.
+broadcasts off (large sides; the seeds' too). Counts exchanges and join
+strategies per model, over the lazy driver mapping and over a build's loaded
+raw tables.
 
 usage: python tools/plan_report.py [--sf DIR] > PLANS.md
 """
@@ -34,7 +34,6 @@ def shape(txt: str) -> dict:
         "exchanges": len(re.findall(r"\bExchange\b", tree)),
         "smj": tree.count("SortMergeJoin"),
         "bhj": tree.count("BroadcastHashJoin"),
-        "bucketed_scans": txt.count("Bucketed: true"),
         "scans": tree.count("Scan parquet"),
     }
 
@@ -52,28 +51,26 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     lazy = RetailModels(spark, a.sf)
     out = work_path(spark, "plan_report")
-    raw = {n: B._load_raw(spark, n, df, f"{out}/raw/{n}", 16, "shelfline_planreport")
+    raw = {n: B._load_raw(spark, n, df, f"{out}/raw/{n}")
            for n, df in lazy.raw.items()}
     built = RetailModels(spark, a.sf, raw=raw)
 
     print("# PLANS\n")
     print("Generated by `python tools/plan_report.py`: physical plans (`explain(\"formatted\")`)")
     print("of the main models with automatic broadcasts OFF, i.e. as they plan when every")
-    print("data-sized side is large; the seeds' explicit, size-checked broadcasts stay.")
-    print("`lazy` = over the driver mapping; `built` = over the build's loaded raw tables,")
-    print("where orders / order lines / payments are bucketed on order_id (16 buckets).\n")
-    print("| model | input | exchanges | sort-merge joins | broadcast joins | scans | bucketed scans |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("data-sized side is large (the small seeds are joined the same way here).")
+    print("`lazy` = over the driver mapping; `built` = over the build's loaded raw tables.\n")
+    print("| model | input | exchanges | sort-merge joins | broadcast joins | scans |")
+    print("| --- | --- | --- | --- | --- | --- |")
     for name in MODELS:
         for label, m in (("lazy", lazy), ("built", built)):
             s = shape(explain(getattr(m, name)))
             print(f"| {name} | {label} | {s['exchanges']} | {s['smj']} | {s['bhj']} | "
-                  f"{s['scans']} | {s['bucketed_scans']} |")
+                  f"{s['scans']} |")
     print("\nNotes: exchange counts do not show sizes. `mart_category_revenue` shuffles the")
     print("order lines once (to meet their order); every later exchange moves rows already")
     print("reduced to one per (product, month) or (category, month) by partial aggregation.")
-    print("`fct_order_items` over the built tables keeps only the product-key exchange of the")
-    print("lines; `agg_current_stock` is one partial+final aggregate.")
+    print("`agg_current_stock` is one partial+final aggregate.")
     print("\n## fct_orders over the built tables\n")
     print("```")
     print(explain(built.fct_orders).split("\n\n")[0])
