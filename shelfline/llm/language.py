@@ -6,14 +6,16 @@ else follows from that table: the lower orders of Kneser-Ney count in how many
 contexts a gram was seen, and each order keeps its discount's mass for the next
 shorter one, down to a uniform model.
 
-The model is a set of arrays, one pair for each order: sorted 64-bit hashes of
-the grams that any language has seen, and for each the log-probabilities of all
-languages, interpolated beforehand. A gram that no language has seen backs off:
-to the next order's array plus each language's log backoff weight of the
-context, which is kept in the same way. The number of grams kept is at most
-``MAX_GRAMS`` an order, the most frequent first (a documented bound of the
-model, whose broadcast is therefore bounded); what is cut falls back to shorter
-grams.
+The model is written tables, (gram, language, probability) for each order and
+(context, language, backoff weight), with every gram of every order; nothing of
+it is built in the driver. A gram that a language has not seen backs off to the
+next order's, times the weight of the context.
+
+Scoring goes by blocks of about ``BLOCK`` bytes of text, written once. Each
+block names its distinct grams; the distinct grams of all blocks get their
+log-probabilities in every language, order by order from the shortest, by joins
+on the gram, its context and its suffix; these go back to the blocks, which sum
+them by text. A task holds one block's grams, however large model and table are.
 
 A text is scored by every language over its whole length; the language with the
 lowest cross-entropy per character wins. The score is the winner's posterior
@@ -44,7 +46,6 @@ from shelfline.llm.common import col, stage
 
 ORDER = 5
 DISCOUNT = 0.75
-MAX_GRAMS = 120_000     # grams of an order in the model
 MAX_LANGUAGES = 64      # languages in the model, the most frequent first
 EVIDENCE = 20.0         # characters whose evidence the score counts in full
 REJECT_SD = 8.0
@@ -55,6 +56,8 @@ HELD_OUT = 2
 UNDETERMINED = "und"
 _BASE = 0x9E3779B97F4A7C15
 _SLICE = 2 << 20
+BLOCK = 32 << 20        # bytes of text that share a list of grams
+_CELLS = 4 << 20        # numbers of (gram or text, language) at once
 
 
 def held_out(doc_id: Column) -> Column:
@@ -81,32 +84,36 @@ def _grams(points: np.ndarray, order: int) -> np.ndarray:
     return W.mixed(W.rolling(points + np.uint64(1), order, _BASE))
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all of (lang, text)."""
+def _distinct(points: np.ndarray, offsets: np.ndarray, mark: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Hash, first end, number and text of the different ``ORDER``-grams inside
+    the texts; with ``mark`` (a number for each text) different by mark too."""
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.flatnonzero(np.arange(len(points)) - offsets[doc] >= ORDER - 1)  # whole inside its text
+    if not len(at):
+        return np.zeros(0, np.uint64), at, at, []
+    key = _grams(points, ORDER)[at - ORDER + 1]
+    if mark is not None:
+        key ^= W.mixed(mark[doc[at]].astype(np.uint64) + np.uint64(7))
+    key, first, n = np.unique(key, return_index=True, return_counts=True)
+    at = at[first]
+    text = points[at[:, None] + np.arange(1 - ORDER, 1)].astype("<u4").tobytes().decode("utf-32-le")
+    return key, at, n, [text[i:i + ORDER] for i in range(0, len(text), ORDER)]
+
+
+def gram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
+    """(lang, gram, n) over all of (lang, text); lang as its place in ``languages``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, limit=_SLICE):
                 points, offsets = _points(part["text"])
-                names = part["lang"].dictionary_encode()
-                lang = names.indices.to_numpy(zero_copy_only=False).astype(np.uint64)
-                doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                ends = np.arange(len(points))
-                real = ends - offsets[doc] >= ORDER - 1  # whole inside its text
-                at = ends[real]
-                if not len(at):
-                    continue
-                key = _grams(points, ORDER)[at - ORDER + 1] ^ W.mixed(lang[doc[at]] + np.uint64(7))
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                at = at[first]
-                text = points[at[:, None] + np.arange(1 - ORDER, 1)].astype(np.uint32)
-                gram = text.astype("<u4").tobytes().decode("utf-32-le")
-                yield pa.RecordBatch.from_arrays(
-                    [names.dictionary.take(pa.array(lang[doc[at]].astype(np.int64))),
-                     pa.array([gram[i:i + ORDER] for i in range(0, len(gram), ORDER)]), pa.array(n.astype(np.int64))],
-                    ["lang", "gram", "n"])
-
-    return labelled.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                lang = pc.index_in(part["lang"], pa.array(languages, part["lang"].type)).to_numpy(zero_copy_only=False)
+                _, at, n, gram = _distinct(points, offsets, lang)
+                own = lang[np.searchsorted(offsets, at, "right") - 1]
+                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(gram, pa.string()), pa.array(n.astype(np.int64))],
+                                                 ["lang", "gram", "n"])
+
+    return labelled.mapInArrow(count, "lang int, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _orders(counts: DataFrame) -> DataFrame:
@@ -125,52 +132,71 @@ def _orders(counts: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Sorted hash arrays of all orders; see the module text."""
-
-    def __init__(self, languages: list[str], uniform: np.ndarray, logp: list, backoff: list):
-        self.languages, self.uniform = languages, uniform
-        self.logp, self.backoff = logp, backoff      # by order: (hashes, float32[grams, languages])
-        self.limit = np.full(len(languages), np.inf)
+    """Written tables of all orders; see the module text."""
+
+    def __init__(self, languages: list[str], unseen: np.ndarray, seen: list, backoff: DataFrame):
+        self.languages, self.unseen = languages, unseen   # log-probability of a character never seen
+        self.seen, self.backoff = seen, backoff           # by order (lang, gram, p); (k, lang, context, total, weight)
+
+    def vectors(self, grams: DataFrame) -> DataFrame:
+        """(gram, f): log-probability of each (distinct) gram's last character
+        after the others, in every language, as 32-bit floats."""
+        levels = [grams.select("gram")]
+        for k in range(ORDER - 1, 0, -1):
+            levels.append(levels[-1].select(F.substring("gram", 2, k).alias("gram")).distinct())
+        size, unseen = len(self.languages), self.unseen.astype("<f4")
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, _CELLS // size)
+            for whole in batches:
+                for i in range(0, whole.num_rows, step):
+                    batch = whole.slice(i, step)
+                    if "f" in batch.schema.names:
+                        f = np.frombuffer(b"".join(batch["f"].to_pylist()), "<f4").reshape(-1, size).copy()
+                    else:
+                        f = np.tile(unseen, (batch.num_rows, 1))
+                    for name in ("back", "own"):
+                        if name in batch.schema.names:
+                            entry = pc.list_flatten(batch[name])
+                            place = (pc.list_parent_indices(batch[name]).to_numpy(), entry.field("lang").to_numpy(zero_copy_only=False))
+                            logs = np.log(entry.field("v").to_numpy(zero_copy_only=False))
+                            f[place] = logs + (f[place] if name == "back" else 0)
+                    yield pa.RecordBatch.from_arrays([batch["gram"], pa.array([r.tobytes() for r in f], pa.binary())], ["gram", "f"])
+
+        out = None
+        for k, rows in zip(range(1, ORDER + 1), reversed(levels), strict=True):
+            own = self.seen[k].groupBy("gram").agg(F.collect_list(F.struct("lang", F.col("p").alias("v"))).alias("own"))
+            rows = rows.join(own, "gram", "left")
+            if k > 1:
+                back = self.backoff.where(F.col("k") == k).groupBy("context").agg(
+                    F.collect_list(F.struct("lang", F.col("weight").alias("v"))).alias("back"))
+                rows = rows.withColumn("context", F.substring("gram", 1, k - 1)).withColumn("suffix", F.substring("gram", 2, k - 1))
+                rows = rows.join(back, "context", "left").join(out.withColumnRenamed("gram", "suffix"), "suffix")
+                rows = rows.select("gram", "own", "back", "f")
+            out = rows.mapInArrow(fill, "gram string, f binary")
+        return out
 
     def score(self, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Cross-entropy of each text in each language, in nats a character."""
-        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        at = np.flatnonzero(np.arange(len(points)) - offsets[doc] >= ORDER - 1)
-        total = np.zeros((len(offsets) - 1, len(self.languages)))
-        todo, owed = at, None
-        for k in range(ORDER, 0, -1):
-            hashes, rows = self.logp[k]
-            found, place = _lookup(hashes, _grams(points, k)[todo - k + 1])
-            gained = rows[place[found]] + (owed[found] if owed is not None else 0)
-            for j in range(len(self.languages)):
-                total[:, j] += np.bincount(doc[todo[found]], gained[:, j], len(total))
-            todo, owed = todo[~found], None if owed is None else owed[~found]
-            if not len(todo):
-                break
-            if k > 1:  # the context's weight for shorter grams; 0 where it was never seen
-                hashes, rows = self.backoff[k]
-                seen, place = _lookup(hashes, _grams(points, k - 1)[todo - k + 1])
-                more = np.zeros((len(todo), len(self.languages)))
-                more[seen] = rows[place[seen]]
-                owed = more if owed is None else owed + more
-            else:
-                for j in range(len(self.languages)):
-                    total[:, j] += np.bincount(doc[todo], self.uniform[j] + (owed[:, j] if owed is not None else np.zeros(len(todo))), len(total))
-        return -total / np.maximum(np.bincount(doc[at], minlength=len(total)), 1)[:, None]
-
-
-def _lookup(hashes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each is in the sorted array, and where."""
-    place = np.searchsorted(hashes, wanted)
-    if not len(hashes):
-        return np.zeros(len(wanted), bool), place
-    place = np.minimum(place, len(hashes) - 1)
-    return hashes[place] == wanted, place
-
-
-def _hash_text(grams: list[str], k: int) -> np.ndarray:
-    points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    return _grams(points, k)[::k] if len(points) else np.zeros(0, np.uint64)
+        """Cross-entropy of a few texts in each language, in nats a character."""
+        key, _, _, grams = _distinct(points, offsets)
+        spark = self.backoff.sparkSession
+        f = dict(self.vectors(spark.createDataFrame([(g,) for g in grams], "gram string")).collect())
+        return _entropies(points, offsets, key, np.array([np.frombuffer(f[g], "<f4") for g in grams]).reshape(-1, len(self.languages)))
+
+
+def _entropies(points: np.ndarray, offsets: np.ndarray, key: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Cross-entropy of each text in each language, in nats a character, from
+    the sorted hashes of all their grams and the grams' log-probabilities."""
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.flatnonzero(np.arange(len(points)) - offsets[doc] >= ORDER - 1)
+    total = np.zeros((len(offsets) - 1, f.shape[1]))
+    if len(at):
+        place = np.searchsorted(key, wanted := _grams(points, ORDER)[at - ORDER + 1])
+        if not len(key) or (key[np.minimum(place, len(key) - 1)] != wanted).any():
+            raise ValueError("a gram of the text is missing from its block's list")
+        for j in range(f.shape[1]):
+            total[:, j] = np.bincount(doc[at], f[:, j][place], len(total))
+    return -total / np.maximum(np.bincount(doc[at], minlength=len(total)), 1)[:, None]
 
 
 def fit(labelled: DataFrame) -> Model | None:
@@ -179,102 +205,140 @@ def fit(labelled: DataFrame) -> Model | None:
     languages = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     if not languages:
         return None
-    orders = stage(_orders(stage(gram_counts(rows.where(F.col("lang").isin(languages))), "langid-grams")), "langid-orders")
+    orders = stage(_orders(stage(gram_counts(rows.where(F.col("lang").isin(languages)), languages), "langid-grams")), "langid-orders")
     # interpolation: every gram's own share, and the mass its context hands down
     context = orders.groupBy("k", "lang", F.expr("substring(gram, 1, k - 1)").alias("context")).agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
-    # the most frequent grams of each order, over all languages
-    kept = orders.groupBy("k", "gram").agg(F.sum("n").alias("all"))
-    tables: dict[str, list] = {"logp": [None] * (ORDER + 1), "backoff": [None] * (ORDER + 1)}
-    below = None                       # order k-1: (sorted gram hashes, probability by language)
-    index = {x: i for i, x in enumerate(languages)}
-    points = orders.where("k = 1").select("gram").distinct().count()
-    uniform = 1.0 / (points + 1)
+        F.sum("n").alias("total"), (DISCOUNT * F.count(F.lit(1)) / F.sum("n")).alias("weight"))
+    backoff = stage(context, "langid-backoff")
+    uniform = 1.0 / (orders.where("k = 1").select("gram").distinct().count() + 1)
+    unseen = np.zeros(len(languages))
+    for r in backoff.where("k = 1").select("lang", "weight").collect():     # a row a language
+        unseen[r.lang] = np.log(r.weight * uniform)
+    seen: list[DataFrame | None] = [None]
     for k in range(1, ORDER + 1):
-        top = kept.where(F.col("k") == k).orderBy(F.desc("all"), "gram").limit(MAX_GRAMS).select("gram")
-        mine = orders.where(F.col("k") == k).join(top, "gram").select("lang", "gram", "n")
-        c = context.where(F.col("k") == k)
-        grams = mine.toArrow()         # at most MAX_GRAMS x MAX_LANGUAGES rows
-        near = top.select(F.expr(f"substring(gram, 1, {k - 1})").alias("context")).distinct()
-        held = c.join(near, "context").select("lang", "context", "total", "types").toArrow()
-        names, where = np.unique(np.array(grams["gram"].to_pylist(), dtype=str), return_inverse=True)
-        own = np.zeros((len(names), len(languages)))
-        own[where, [index[x] for x in grams["lang"].to_pylist()]] = np.maximum(grams["n"].to_numpy() - DISCOUNT, 0)
-        before, at = np.unique(np.array(held["context"].to_pylist(), dtype=str), return_inverse=True)
-        total, types = (np.zeros((len(before), len(languages))) for _ in range(2))
-        lang = [index[x] for x in held["lang"].to_pylist()]
-        total[at, lang], types[at, lang] = held["total"].to_numpy(), held["types"].to_numpy()
-        weight = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
-        ctx = np.searchsorted(before, np.array([g[:k - 1] for g in names], dtype=str)) if k > 1 else np.zeros(len(names), int)
+        mine = orders.where(F.col("k") == k).select("lang", "gram", "n", F.substring("gram", 1, k - 1).alias("context"),
+                                                    F.substring("gram", 2, k - 1).alias("suffix"))
+        mine = mine.join(backoff.where(F.col("k") == k).drop("k"), ["lang", "context"])
         if k == 1:
-            unseen = np.log(weight[0] * uniform)
-            rest = np.full((len(names), len(languages)), uniform)
+            mine = mine.withColumn("rest", F.lit(uniform))
         else:
-            found, place = _lookup(below[0], _hash_text([g[1:] for g in names], k - 1))
-            rest = np.full((len(names), len(languages)), uniform)
-            rest[found] = below[1][place[found]]
-        p = np.where(total[ctx] > 0, own / np.maximum(total[ctx], 1), 0) + weight[ctx] * rest
-        h = _hash_text(list(names), k)
-        order = np.argsort(h, kind="stable")
-        below = (h[order], p[order])
-        tables["logp"][k] = (h[order], np.log(p[order]).astype(np.float32))
-        if k > 1:
-            hc = _hash_text(list(before), k - 1)
-            oc = np.argsort(hc, kind="stable")
-            tables["backoff"][k] = (hc[oc], np.log(weight[oc]).astype(np.float32))
-    model = Model(languages, unseen, tables["logp"], tables["backoff"])
-    _calibrate(model, rows)
-    return model
+            mine = mine.join(seen[-1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("rest")), ["lang", "suffix"])
+        p = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("rest")
+        seen.append(stage(mine.select("lang", "gram", p.alias("p")), f"langid-order-{k}"))
+    return Model(languages, unseen, seen, backoff)
 
 
-def _calibrate(model: Model, rows: DataFrame) -> None:
-    """Rejection limits, from the winning cross-entropies of labelled texts."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(block, body): written; a body holds the rows of about ``BLOCK`` bytes of
+    text (a longer text whole) as a compressed Arrow stream."""
 
-    def entropies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for part in W.slices(batch, limit=_SLICE):
-                h = shared.value.score(*_points(part["text"]))
-                win = h.argmin(1)
-                yield pa.RecordBatch.from_arrays([pa.array(win.astype(np.int32)), pa.array(h.min(1))], ["win", "h"])
+                held.append(part)
+                size += (pc.sum(pc.binary_length(part["text"])).as_py() or 0) + 64 * part.num_rows
+                if size >= BLOCK:
+                    yield body(held)
+                    held, size = [], 0
+        if held:
+            yield body(held)
+
+    def body(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
+        with pa.ipc.new_stream(sink, held[0].schema, options=options) as out:
+            for part in held:
+                out.write_batch(part)
+        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["body"])
+
+    return stage(rows.mapInArrow(run, "body binary").withColumn("block", F.monotonically_increasing_id()), "langid-blocks")
 
-    some = rows.select("text").where("length(text) >= 20").orderBy(F.xxhash64("text")).limit(CALIBRATION)
-    found = some.repartition(8).mapInArrow(entropies, "win int, h double").groupBy("win").agg(
-        F.avg("h").alias("mean"), F.coalesce(F.stddev_pop("h"), F.lit(0.0)).alias("sd")).collect()
-    for r in found:
-        model.limit[r.win] = r["mean"] + max(REJECT_SD * r.sd, REJECT_NATS)
-    shared.unpersist()
 
+def _parts(body: pa.Scalar, rows: int) -> Iterator[pa.RecordBatch]:
+    """The record batches of a block, of at most so many rows."""
+    with pa.ipc.open_stream(body.as_buffer()) as stream:
+        for part in stream:
+            for i in range(0, part.num_rows, rows):
+                yield part.slice(i, rows)
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:
-    """Struct (lang_pred, score) of a text column, whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+def _block_grams(blocks: DataFrame) -> DataFrame:
+    """(block, gram): the distinct grams of each block, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, body in zip(batch["block"], batch["body"], strict=True):
+                known = np.zeros(0, np.uint64)
+                for part in _parts(body, 1 << 30):
+                    key, _, _, gram = _distinct(*_points(part["text"]))
+                    new = ~np.isin(key, known, assume_unique=True)
+                    known = np.union1d(known, key)
+                    own = pa.array(gram, pa.string()).filter(pa.array(new))
+                    yield pa.RecordBatch.from_arrays([pa.repeat(block, len(own)), own], ["block", "gram"])
+
+    return stage(blocks.select("block", "body").mapInArrow(run, "block long, gram string"), "langid-block-grams")
+
+
+def scores(rows: DataFrame, model: Model) -> DataFrame:
+    """All columns of ``rows`` but the text, and of each the winning language's
+    place, its cross-entropy, its share, whether it has letters, and its length.
+    Written."""
+    blocks = _blocks(rows)
+    grams = _block_grams(blocks)
+    found = grams.join(model.vectors(grams.select("gram").distinct()), "gram")
+    # a block's grams come before its texts
+    both = found.select("block", "gram", "f", F.lit(None).cast("binary").alias("body")).unionByName(
+        blocks.select("block", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("binary").alias("f"), "body"))
+    both = both.repartition("block").sortWithinPartitions("block", F.col("body").isNotNull())
+    size = len(model.languages)
+    kept = [c for c in rows.columns if c != "text"]
+    schema = rows.select(*kept).schema.add("win", "integer").add("best", "double").add("share", "double").add(
+        "letters", "boolean").add("length", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, tables = [], []
         for batch in batches:
-            out_l, out_s = [], []
-            for part in W.slices(pa.RecordBatch.from_arrays([batch], ["text"]), limit=_SLICE):
-                text = part["text"]
-                letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-                if model is None:
-                    out_l += [UNDETERMINED] * len(text)
-                    out_s += [0.0] * len(text)
-                    continue
-                points, offsets = _points(text)
-                h = model.score(points, offsets)
-                win = h.argmin(1)
-                best = h[np.arange(len(h)), win]
-                heard = np.minimum(np.diff(offsets) - ORDER + 1, EVIDENCE)
-                share = 1 / np.exp((best[:, None] - h) * heard[:, None]).sum(1)
-                ok = letters & ((best <= model.limit[win]) | (np.diff(offsets) < 20 + ORDER))
-                out_l += [model.languages[w] if o else UNDETERMINED for w, o in zip(win, ok, strict=True)]
-                out_s += np.where(ok, share, 0.0).tolist()
-            yield pa.StructArray.from_arrays([pa.array(out_l, pa.string()), pa.array(out_s, pa.float64())],
-                                             ["lang_pred", "score"])
-
-    return of(col(text_col))
+            start = 0
+            ends = np.flatnonzero(batch["body"].is_valid().to_numpy(zero_copy_only=False))
+            for end in [*ends, batch.num_rows]:
+                if end > start:
+                    some = batch.slice(start, end - start)
+                    points = np.frombuffer("".join(some["gram"].to_pylist()).encode("utf-32-le"), np.uint32).astype(np.uint64)
+                    keys.append(_grams(points, ORDER)[::ORDER])
+                    tables.append(np.frombuffer(b"".join(some["f"].to_pylist()), "<f4").reshape(-1, size))
+                start = end + 1
+                if end < batch.num_rows:
+                    key = np.concatenate([np.zeros(0, np.uint64), *keys])
+                    order = np.argsort(key)
+                    f = np.asfortranarray(np.concatenate([np.zeros((0, size), "<f4"), *tables])[order])
+                    keys, tables = [], []
+                    for part in _parts(batch["body"][int(end)], max(1, _CELLS // size)):
+                        yield judged(part, key[order], f)
+
+    def judged(part: pa.RecordBatch, key: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        text = part["text"]
+        letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False)
+        points, offsets = _points(text)
+        h = _entropies(points, offsets, key, f)
+        win = h.argmin(1)
+        best = h[np.arange(len(h)), win]
+        heard = np.minimum(np.diff(offsets) - ORDER + 1, EVIDENCE)
+        share = 1 / np.exp((best[:, None] - h) * heard[:, None]).sum(1)
+        return pa.RecordBatch.from_arrays(
+            [*[part[c] for c in kept], pa.array(win.astype(np.int32)), pa.array(best), pa.array(share), letters,
+             pa.array(np.diff(offsets) - ORDER)], [*kept, "win", "best", "share", "letters", "length"])
+
+    return stage(both.mapInArrow(run, schema), "langid-scores")
+
+
+def _limits(scored: DataFrame, size: int) -> np.ndarray:
+    """Rejection limits, from the winning cross-entropies of labelled texts."""
+    some = scored.where("learned and length >= 20").orderBy("hash").limit(CALIBRATION)
+    limit = np.full(size, np.inf)
+    for r in some.groupBy("win").agg(F.avg("best").alias("mean"), F.stddev_pop("best").alias("sd")).collect():
+        limit[r.win] = r["mean"] + max(REJECT_SD * r.sd, REJECT_NATS)
+    return limit
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -282,5 +346,14 @@ def report(docs: DataFrame) -> DataFrame:
     that are not held out."""
     rows = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"), col("lang").alias("lang"))
     model = fit(rows.where(~held_out(F.col("doc_id"))))
-    out = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict(rows, model).alias("p"))
-    return out.select("doc_id", "held_out", F.col("p.lang_pred").alias("lang_pred"), F.col("p.score").alias("score"))
+    rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
+    if model is None:
+        return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    learned = F.expr("lang is not null and text is not null and not held_out")
+    scored = scores(rows.select("doc_id", "held_out", "text", learned.alias("learned"), F.xxhash64("text").alias("hash")), model)
+    limits = _limits(scored, len(model.languages)).tolist()
+    names = scored.sparkSession.createDataFrame([(i, x, limits[i]) for i, x in enumerate(model.languages)], "win int, name string, most double")
+    out = scored.join(F.broadcast(names), "win")    # a row a language
+    ok = F.col("letters") & ((F.col("best") <= F.col("most")) | (F.col("length") < 20))
+    return out.select("doc_id", "held_out", F.when(ok, F.col("name")).otherwise(UNDETERMINED).alias("lang_pred"),
+                      F.when(ok, F.col("share")).otherwise(0.0).alias("score"))

@@ -48,3 +48,14 @@ def test_edges(docs_of):
 def test_nothing_to_learn(docs_of):
     assert language.report(docs_of([])).collect() == []
     assert [r.lang_pred for r in language.report(docs_of([(1, "text here", "s", None)])).collect()] == ["und"]
+
+
+def test_every_gram_is_in_the_model(docs_of):
+    # far more different 5-grams than the 120,000 an order that were kept once
+    chars = [chr(0x4E00 + i) for i in range(20000)]
+    texts = ["".join(chars[(i * 37 + j * (101 + 2 * i)) % 20000] for j in range(10000)) for i in range(16)]
+    docs = docs_of([(i, t, "s", "x" if i % 2 else "y") for i, t in enumerate(texts)])
+    model = language.fit(docs)
+    want = {tuple(["\x01" * 4 + t + "\x01"][0][j:j + 5]) for t in texts for j in range(len(t) + 1)}
+    assert len(want) > 120_000
+    assert model.seen[5].select("gram").distinct().count() == len(want)
