@@ -46,7 +46,6 @@ from shelfline.llm.common import col, stage
 
 ORDER = 5
 DISCOUNT = 0.75
-MAX_LANGUAGES = 64      # languages in the model, the most frequent first
 EVIDENCE = 20.0         # characters whose evidence the score counts in full
 REJECT_SD = 8.0
 REJECT_NATS = 1.5       # least margin of the rejection limit above the mean
@@ -202,10 +201,10 @@ def _entropies(points: np.ndarray, offsets: np.ndarray, key: np.ndarray, f: np.n
 def fit(labelled: DataFrame) -> Model | None:
     """The model of (lang, text) rows; None if there is nothing to learn from."""
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
-    languages = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    languages = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]   # a name a language
     if not languages:
         return None
-    orders = stage(_orders(stage(gram_counts(rows.where(F.col("lang").isin(languages)), languages), "langid-grams")), "langid-orders")
+    orders = stage(_orders(stage(gram_counts(rows, languages), "langid-grams")), "langid-orders")
     # interpolation: every gram's own share, and the mass its context hands down
     context = orders.groupBy("k", "lang", F.expr("substring(gram, 1, k - 1)").alias("context")).agg(
         F.sum("n").alias("total"), (DISCOUNT * F.count(F.lit(1)) / F.sum("n")).alias("weight"))
@@ -228,9 +227,11 @@ def fit(labelled: DataFrame) -> Model | None:
     return Model(languages, unseen, seen, backoff)
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, languages: int) -> DataFrame:
     """(block, body): written; a body holds the rows of about ``BLOCK`` bytes of
-    text (a longer text whole) as a compressed Arrow stream."""
+    text (a longer text whole) as a compressed Arrow stream. With many languages
+    blocks are smaller, as a task holds the numbers of its block's grams."""
+    limit = min(BLOCK, max(_SLICE // 8, 16 * BLOCK // languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -238,7 +239,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
             for part in W.slices(batch, limit=_SLICE):
                 held.append(part)
                 size += (pc.sum(pc.binary_length(part["text"])).as_py() or 0) + 64 * part.num_rows
-                if size >= BLOCK:
+                if size >= limit:
                     yield body(held)
                     held, size = [], 0
         if held:
@@ -284,7 +285,7 @@ def scores(rows: DataFrame, model: Model) -> DataFrame:
     """All columns of ``rows`` but the text, and of each the winning language's
     place, its cross-entropy, its share, whether it has letters, and its length.
     Written."""
-    blocks = _blocks(rows)
+    blocks = _blocks(rows, len(model.languages))
     grams = _block_grams(blocks)
     found = grams.join(model.vectors(grams.select("gram").distinct()), "gram")
     # a block's grams come before its texts

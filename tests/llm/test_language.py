@@ -59,3 +59,18 @@ def test_every_gram_is_in_the_model(docs_of):
     want = {tuple(["\x01" * 4 + t + "\x01"][0][j:j + 5]) for t in texts for j in range(len(t) + 1)}
     assert len(want) > 120_000
     assert model.seen[5].select("gram").distinct().count() == len(want)
+
+
+def test_every_language_is_learned(docs_of):
+    # 70 labels; the rarest were beyond the 64 that were kept once
+    rows = []
+    for i in range(70):
+        word = "".join(chr(0x4E00 + 40 * i + j) for j in range(30))
+        rows += [(1000 * i + j, word, "s", f"l{i:02}") for j in range(8 if i < 64 else 4)]
+    got = language.report(docs_of(rows)).collect()
+    lang = {r[0]: r[3] for r in rows}
+    learned = {lang[r.doc_id] for r in got if not r.held_out}
+    assert len(learned) > 64
+    for r in got:
+        if lang[r.doc_id] in learned:
+            assert r.lang_pred == lang[r.doc_id]
