@@ -16,8 +16,10 @@ sum of token counts) gives its pieces.
 
 Sources with less than 1/``window`` of all tokens cannot fill a token a window
 and share one queue; so there are at most ``window`` queues, which is the bound
-on what the driver holds. Running sums go by part of the written token table,
-so that no source meets in one task.
+on what the driver holds. That queue is ordered by each document's relative place
+in its own source (tokens before its middle, of the source's tokens), so every
+small source is spread evenly over the windows. Running sums go by part of the
+written token table, or of the ordered queue, so that no source meets in one task.
 
 Text is cut where a single space or line end stands between two other
 characters; no token of a byte-level BPE with this pre-tokenizer reaches over
@@ -39,7 +41,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
@@ -176,39 +178,62 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
     return stage(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
 
 
-def _queues(tokens: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
-    """Tokens with their queue, and the tokens of each queue (at most ``window``)."""
+def _queues(tokens: DataFrame, window: int) -> tuple[DataFrame, list[int], int | None]:
+    """Tokens with their queue and their source's number and tokens, the tokens
+    of each queue (at most ``window``), and the queue that sources share, if any."""
     spark = tokens.sparkSession
-    totals = stage(tokens.groupBy("source").agg(F.sum("n").alias("total")), "pack-totals")
+    totals = stage(tokens.groupBy("source").agg(F.sum("n").alias("total")).withColumn("number", F.monotonically_increasing_id()), "pack-totals")
     total = totals.agg(F.sum("total")).first()[0] or 0
     large = totals.where(F.col("total") * window >= total).orderBy(F.col("source").asc_nulls_last()).collect()
     sizes = [r.total for r in large]
     pool = total - sum(sizes)
+    shared = None
     if not sizes or pool * window >= total:
         sizes.append(pool)
         shared = len(sizes) - 1
-    else:  # too little for a queue of its own
+    elif pool:  # too little for a queue of its own
         sizes[0] += pool
         shared = 0
-    names = spark.createDataFrame([(r.source, i) for i, r in enumerate(large)], totals.select("source").schema.add("queue", "integer"))
+    schema = totals.select("source").schema.add("queue", "integer").add("number", "long").add("total", "long")
+    names = spark.createDataFrame([(r.source, i, r.number, r.total) for i, r in enumerate(large)], schema)
     names = F.broadcast(names.withColumnRenamed("source", "name"))  # at most ``window`` rows
-    joined = tokens.join(names, tokens["source"].eqNullSafe(F.col("name")), "left")
-    return joined.withColumn("queue", F.coalesce("queue", F.lit(shared))).drop("name"), sizes
+    joined = tokens.join(names, tokens["source"].eqNullSafe(F.col("name")), "left").drop("name")
+    if shared is None:
+        return joined, sizes, None
+    rest = totals.where(F.col("total") * window < total).withColumnRenamed("source", "name")
+    small = joined.where("queue is null").drop("queue", "number", "total")
+    small = small.join(rest, small["source"].eqNullSafe(F.col("name"))).select(
+        *tokens.columns, F.lit(shared).alias("queue"), "number", "total")
+    return joined.where("queue is not null").unionByName(small), sizes, shared
 
 
-def _places(slim: DataFrame) -> DataFrame:
+def _places(slim: DataFrame, part: Column | None = None, order: tuple[str, ...] = ("row",)) -> DataFrame:
     """(row, queue, before): tokens of the queue before each row, in table order.
     Parts of the table are summed first; one window runs over the parts, the
-    other inside a part."""
-    part = F.shiftright("row", 33)
+    other inside a part. Another order comes with its parts."""
+    part = F.shiftright("row", 33) if part is None else part
     sums = slim.groupBy("queue", part.alias("part")).agg(F.sum("n").alias("n"))
     past = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("queue", "part", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("queue", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("queue", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = slim.withColumn("part", part).withColumn("run", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     return rows.join(sums, ["queue", "part"]).select("row", "queue", (F.col("base") + F.col("run")).alias("before"))
 
 
+def _all_places(placed: DataFrame, shared: int | None) -> DataFrame:
+    """The places of all queues; the shared one ordered by the documents'
+    relative places in their sources."""
+    if shared is None:
+        return _places(placed.select("row", "queue", "n"))
+    mixed = placed.where(F.col("queue") == shared)
+    own = _places(mixed.select("row", F.col("number").alias("queue"), "n")).select("row", "before")
+    rank = mixed.select("row", "n", "total").join(own, "row").select(
+        "row", F.lit(shared).alias("queue"), "n", ((F.col("before") + F.col("n") / 2) / F.col("total")).alias("place"))
+    ranked = stage(rank.repartitionByRange("place", "row").withColumn("part", F.spark_partition_id()), "pack-shared")
+    return _places(placed.where(F.col("queue") != shared).select("row", "queue", "n")).unionByName(
+        _places(ranked, F.col("part"), ("place", "row")))
+
+
 class Rounds:
     """The round robin's state at any window."""
 
@@ -250,8 +275,8 @@ def pack(docs: DataFrame, window: int = WINDOW_TOKENS, vocabulary: str | None =
     """Pieces of all documents: doc_id, start, length, doc_tokens, sequence_id,
     offset and the piece's ids (unsigned 32 bits each, little-endian)."""
     tokens = tokenized(docs, vocabulary, end_id)
-    placed, sizes = _queues(tokens.select("row", "source", "n"), window)
-    rows = tokens.select("row", "doc_id", "n", "ids").join(_places(placed.select("row", "queue", "n")), "row")
+    placed, sizes, shared = _queues(tokens.select("row", "source", "n"), window)
+    rows = tokens.select("row", "doc_id", "n", "ids").join(_all_places(placed, shared), "row")
     rows = rows.select("doc_id", "n", "ids", "queue", "before")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

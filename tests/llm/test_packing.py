@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -92,3 +93,19 @@ def test_ids_of_pieces(docs_of, model):
         ids[r.doc_id][r.start] = np.frombuffer(r.ids, "<u4").tolist()
     joined = {d: sum((p[s] for s in sorted(p)), []) for d, p in ids.items()}
     assert joined == {d: [*model.encode(t, add_special_tokens=False).ids, 1] for d, t in ((1, "hello there"), (2, "other text"))}
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_small_sources_are_spread(docs_of, model, large):
+    # 40 sources too small for a queue of their own, in a table sorted by source
+    rows = [(100 * s + i, "the word and", f"s{s:02}") for s in range(40) for i in range(20)]
+    rows += [(10000 + i, "the word and " * 20, "z") for i in range(20 * large)]
+    docs = docs_of(rows)
+    window = 32
+    got = packing.pack(docs, window=window).collect()
+    check([SimpleNamespace(**r.asDict(), ids_crc32=zlib.crc32(r.ids)) for r in got], docs.collect(), model, window)
+    source = {r[0]: r[2] for r in rows}
+    last = max(r.sequence_id for r in got) + 1
+    for s in range(40):
+        at = sorted(r.sequence_id / last for r in got if source[r.doc_id] == f"s{s:02}" and r.start == 0)
+        assert len(at) == 20 and all(abs(x - (i + 0.5) / 20) < 0.06 for i, x in enumerate(at))
