@@ -1,4 +1,4 @@
-"""Exact top-k search: BM25 over sharded inverted indexes with block-max WAND.
+"""Exact top-k search: BM25 over sharded inverted indexes, pruned by block maxima.
 
 The corpus is searched where it lies: every task turns its documents into shards
 of a bounded number of words, each with an inverted index (terms to postings
@@ -8,7 +8,8 @@ block's maxima bounds every document in it. Blocks are taken in order of that
 bound; the pivot is the first block whose bound does not exceed the k-th best
 score so far, and everything from there on is skipped unread. What is left is
 scored in full, so the result is exact, and the shards' best ``k`` are merged by
-score. Document frequencies, the number of documents and their mean length are
+score. This is not WAND: no list is stepped through by its current document, and
+no pivot term is chosen; whole blocks suit array operations. Document frequencies, the number of documents and their mean length are
 global, so scores do not depend on the shards.
 
 Queries are given to the tasks in blocks of at most ``QUERIES`` (a bound on what
