@@ -23,7 +23,7 @@ from the evidence of at most ``EVIDENCE`` characters, so that a text is not
 certain merely by its length. Texts without a letter are ``und``, and so are
 texts whose cross-entropy lies above the winner's rejection limit: the mean plus
 the larger of ``REJECT_SD`` standard deviations and ``REJECT_NATS``, measured on
-``CALIBRATION`` labelled texts (a seeded sample; only this uses a sample).
+all labelled texts of 20 characters or more that were learned from.
 
 Defined results: null, empty or letterless text is ``und`` with score 0; null
 lang is not learned from; equal rows get equal results; with nothing to learn
@@ -49,7 +49,6 @@ DISCOUNT = 0.75
 EVIDENCE = 20.0         # characters whose evidence the score counts in full
 REJECT_SD = 8.0
 REJECT_NATS = 1.5       # least margin of the rejection limit above the mean
-CALIBRATION = 2000      # labelled texts that the limits are measured on
 FOLDS = 4
 HELD_OUT = 2
 UNDETERMINED = "und"
@@ -334,8 +333,8 @@ def scores(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def _limits(scored: DataFrame, size: int) -> np.ndarray:
-    """Rejection limits, from the winning cross-entropies of labelled texts."""
-    some = scored.where("learned and length >= 20").orderBy("hash").limit(CALIBRATION)
+    """Rejection limits, from the winning cross-entropies of all learned texts."""
+    some = scored.where("learned and length >= 20")
     limit = np.full(size, np.inf)
     for r in some.groupBy("win").agg(F.avg("best").alias("mean"), F.stddev_pop("best").alias("sd")).collect():
         limit[r.win] = r["mean"] + max(REJECT_SD * r.sd, REJECT_NATS)
@@ -351,7 +350,7 @@ def report(docs: DataFrame) -> DataFrame:
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     learned = F.expr("lang is not null and text is not null and not held_out")
-    scored = scores(rows.select("doc_id", "held_out", "text", learned.alias("learned"), F.xxhash64("text").alias("hash")), model)
+    scored = scores(rows.select("doc_id", "held_out", "text", learned.alias("learned")), model)
     limits = _limits(scored, len(model.languages)).tolist()
     names = scored.sparkSession.createDataFrame([(i, x, limits[i]) for i, x in enumerate(model.languages)], "win int, name string, most double")
     out = scored.join(F.broadcast(names), "win")    # a row a language

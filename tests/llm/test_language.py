@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from shelfline.llm import language
@@ -74,3 +75,16 @@ def test_every_language_is_learned(docs_of):
     for r in got:
         if lang[r.doc_id] in learned:
             assert r.lang_pred == lang[r.doc_id]
+
+
+def test_limits_come_from_all_labelled_texts(docs_of):
+    # more texts than the 2,000 that limits were measured on once; one of a rare language
+    rows = [(i, f"the cat and the dog {i} sat on the mat", "s", "en") for i in range(3000)]
+    # the last in the order of the sample's hash
+    rare = max((f"наша кошка {x} сидит на окне и смотрит" for x in range(5000)),
+               key=lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64))
+    rows += [(5000 + i, rare, "s", "ru") for i in range(3)]
+    rows += [(9000, "щщщщщ ъъъъъ ыыыыы эээээ ююююю яяяяя", "s", None)]
+    got = {r.doc_id: r for r in language.report(docs_of(rows)).collect()}
+    assert [got[5000 + i].lang_pred for i in range(3)] == ["ru"] * 3
+    assert got[9000].lang_pred == "und"     # had no limit while no text of ru was in the sample
