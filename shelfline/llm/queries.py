@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import htmltext, infill, language, merkle, mixing, packing, perspectives, quality, search, simhash, substrings
+from shelfline.llm import bestfit, htmltext, infill, language, maxscore, merkle, mixing, packing, perspectives, quality, search, simhash, substrings
 from shelfline.llm.common import read_table
 
 
@@ -62,6 +62,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.report(read_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -69,4 +77,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_source_mixing": mixing.MIXING_SQL, "op2_merkle_fixity": merkle.MERKLE_SQL,
             "op8_perspective_rotation": perspectives.PERSPECTIVES_SQL, "op4_substring_dedup": substrings.SUBSTRINGS_SQL,
-            "op9_quality_rules": quality.QUALITY_SQL, "op11_fill_in_middle": infill.INFILL_SQL}
+            "op9_quality_rules": quality.QUALITY_SQL, "op11_fill_in_middle": infill.INFILL_SQL,
+            "op12_ranked_search": maxscore.MAXSCORE_SQL}
