@@ -1,11 +1,12 @@
 """Incremental table with a watermark filter and a key upsert on plain
 Parquet (I1-I5), the replacement for a MERGE on a transactional table.
 
-Layout under ``root``:
-  data/<partition_col>=<value>/   the table readers use
-  _control/                       one appended row per committed run
-                                  (run_id, watermark, mode)
-  _staging/run-<id>/              the run's materialised batch and result
+Layout under ``root`` (see ``live``: run folders, published by a control file):
+  data/run=<n>/<partition_col>=<value>/   rows that run n wrote
+  index/run=<m>/bucket=<b>/               (key, partition) of rows, sorted by key
+  _control/run-<n>.json                   what run n committed: live folders of every
+                                          partition and bucket, watermark, schema
+  _staging/run-<n>/                       the run's materialised batch
 
 One run (``merge``):
  1. Read the committed watermark W (no committed run -> first run: write all
@@ -15,31 +16,31 @@ One run (``merge``):
     a lost executor recomputes from the staged files, not the source.
  3. A key occurring twice in the batch is rejected (a re-run after a crash
     could not tell a duplicate from a re-sent row).
- 4. touched = partitions of the batch rows U partitions of target rows whose
-    key is in the batch (a re-sent row may move to another partition).
- 5. result = target rows of the touched partitions anti-joined with the batch
-    keys, plus the batch, written once (partitioned) to staging; a manifest
-    records the touched partitions, those present in the result and the new
-    watermark.
- 6. Apply: each touched partition folder is replaced by its staged folder (a
-    move, no second write); touched partitions with no row left are deleted.
-    Untouched partitions are never rewritten.
- 7. The new watermark is appended last. A crash before the manifest leaves
-    the table untouched and the re-run recomputes; a crash after it is
-    resumed from the manifest (moves are idempotent), so no row is lost.
-A changed column set (schema sync) rewrites the whole table aligned to the
-batch's columns: new columns are NULL on old rows, dropped ones disappear;
-the staged table then replaces the old one.
-
-Limits: a single writer; readers may see a moved key twice while a run is in
-flight. Step 4 scans the key and partition columns of the target (pruned);
-that lookup is linear in the table and is the scaling limit.
+ 4. Partitions that hold a key of the batch are found in the key index: only the
+    buckets of the batch's keys are read, in them only the row groups that the
+    range of its keys meets, so the lookup does not grow with the table when
+    new keys follow old ones, and never reads the data.
+ 5. Those partitions are written anew (their rows without the batch's keys, plus
+    the batch); a partition that only gets new keys is added to. Both go to the
+    run's own folder, in one write. Other partitions are not touched.
+ 6. The batch's keys are added to the index.
+ 7. The control file is written: the commit. A run that ends anywhere before
+    has changed nothing, in a merge, a schema sync or a full refresh alike; the
+    next one overwrites what it left.
+A changed column set (schema sync) is a new schema over the same files: a new
+column is NULL on old rows, a dropped one is not read any more. Only a column
+that changes its type, or comes back after it was dropped, makes the run write the
+whole table anew. The index is built by the first run that needs it, and again,
+with more buckets, when the table has outgrown it.
+
+Limits: a single writer. The driver holds one entry a partition, and one an
+index bucket. ``vacuum`` deletes folders that no kept commit names; until then
+readers of an older commit go on undisturbed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -48,14 +49,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import fs
+from . import live
 
 # Fixed value: the watermark used when the target holds no row.
 EMPTY_WATERMARK = "1900-01-01 00:00:00"
 
-CONTROL_SCHEMA = T.StructType([
-    T.StructField("run_id", T.LongType()), T.StructField("watermark", T.TimestampType()),
-    T.StructField("mode", T.StringType()), T.StructField("schema", T.StringType())])
-
 
 def watermark_filter(source: DataFrame, col: str, watermark, lookback: str | None = None
                      ) -> DataFrame:
@@ -83,6 +81,29 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
                       .alias(f.name) for f in schema.fields])
 
 
+@dataclass(frozen=True)
+class StreamEpoch:
+    """One micro-batch of a stream: its query, its number, and the watermark (in
+    microseconds) that was committed when the stream's run began; ``whole`` if
+    there was no table then, so that no row is filtered."""
+    query: str
+    epoch: int
+    since: int | None = None
+    whole: bool = False
+
+
+def _time(micros: int | None) -> dt.datetime | None:
+    """Stored microseconds as Spark collects a timestamp."""
+    return None if micros is None else T.TimestampType().fromInternal(micros)
+
+
+def _streams(old: dict, stream: StreamEpoch | None) -> dict:
+    """The streams' last epochs after this run."""
+    if stream is None:
+        return old["streams"]
+    return old["streams"] | {stream.query: {"epoch": stream.epoch, "since": stream.since, "whole": stream.whole, "open": True}}
+
+
 @dataclass
 class IncrementalTable:
     spark: SparkSession
@@ -92,54 +113,68 @@ class IncrementalTable:
     partition_col: str
     partition_of: Callable[[Column], Column] = lambda c: c.cast("date")
     cluster_by: tuple[str, ...] = ()
-    # schema of the last run this instance committed or read (single writer)
-    _known_schema: T.StructType | None = field(default=None, init=False, repr=False)
+    index_rows: int = 1 << 20       # keys of an index bucket, about
+    max_runs: int = 8               # folders of a partition or bucket before it is written anew
+    _state: dict | None = field(default=None, init=False, repr=False)
 
-    def _layout(self, df: DataFrame) -> DataFrame:
-        """Write layout: AQE rebalances rows by partition value (a few files
-        per partition instead of one per task and value; a hot partition is
-        split across tasks), then rows are sorted by the clustering columns
-        inside each file so Parquet statistics skip row groups."""
-        df = df.hint("rebalance", self.partition_col)
-        return df.sortWithinPartitions(self.partition_col, *self.cluster_by)
+    def __post_init__(self) -> None:
+        self._commits = live.Commits(self.spark, self.root)
 
     @property
     def data_path(self) -> str:
         return f"{self.root}/data"
 
     @property
-    def control_path(self) -> str:
-        return f"{self.root}/_control"
+    def index_path(self) -> str:
+        return f"{self.root}/index"
 
     # ---------------------------------------------------------- state --
+    def state(self) -> dict | None:
+        """What the last commit says (None before the first)."""
+        numbers = self._commits.numbers()
+        if not numbers:
+            return None
+        if self._state is None or self._state["run"] != numbers[-1]:
+            self._state = self._commits.load(numbers[-1])
+        return self._state
+
     def committed(self) -> tuple[int, dt.datetime | None] | None:
         """(last run id, watermark) of the last committed run, or None."""
-        if not fs.exists(self.spark, self.control_path):
-            return None
-        row = (self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
-               .agg(F.max("run_id").alias("r"), F.max_by("watermark", "run_id").alias("w"),
-                    F.max_by("schema", "run_id").alias("s"))
-               .first())
-        if row is None or row["r"] is None:
-            return None
-        if row["s"]:
-            self._known_schema = T.StructType.fromJson(json.loads(row["s"]))
-        return int(row["r"]), row["w"]
+        s = self.state()
+        return None if s is None else (s["run"], _time(s["watermark"]))
 
-    def _schema(self) -> T.StructType | None:
-        """Table schema of the last committed run (None before the first)."""
-        if not fs.exists(self.spark, self.control_path):
-            return None
-        s = (self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
-             .agg(F.max_by("schema", "run_id")).first()[0])
-        return T.StructType.fromJson(json.loads(s)) if s else None
+    def partitions(self) -> list[str]:
+        """Folder values of the table's partitions."""
+        s = self.state()
+        return sorted(s["live"]) if s else []
+
+    def schema(self) -> T.StructType | None:
+        s = self.state()
+        return T.StructType.fromJson(s["schema"]) if s else None
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
-        """The table. Read with the committed schema (no inference; a table
-        without rows reads empty)."""
-        schema = schema or self._known_schema or self._schema()
-        r = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return r.parquet(self.data_path)
+    def read(self, partitions: list[str] | None = None) -> DataFrame:
+        """The table as last committed, or some of its partitions."""
+        s = self.state()
+        if s is None:
+            raise FileNotFoundError(f"no committed run under {self.root}")
+        return live.read(self.spark, self.data_path, self.partition_col, self.schema(), s["live"], partitions)
+
+    def _commit(self, state: dict) -> None:
+        self._commits.add(state)
+        self._state = state
+
+    def _layout(self, df: DataFrame) -> DataFrame:
+        """Write layout: AQE rebalances rows by partition value (a few files
+        per partition instead of one per task and value; a hot partition is
+        split across tasks), then rows are sorted by the clustering columns
+        inside each file so Parquet statistics skip row groups."""
+        df = df.hint("rebalance", self.partition_col)
+        return df.sortWithinPartitions(self.partition_col, *self.cluster_by)
+
+    @staticmethod
+    def _write(df: DataFrame, column: str, folder: str) -> None:
+        """One run's folder, whole: what a run that did not end left there goes."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(folder)
 
     def _table_schema(self, df: DataFrame) -> T.StructType:
         """``df``'s schema as the table reads it: partition column last."""
@@ -147,12 +182,6 @@ class IncrementalTable:
         return T.StructType([f for f in df.schema.fields if f.name != pc]
                             + [df.schema[pc]])
 
-    def _commit(self, run_id: int, watermark, mode: str, schema: T.StructType) -> None:
-        row = self.spark.createDataFrame([(run_id, watermark, mode, schema.json())],
-                                         CONTROL_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.control_path)
-        self._known_schema = schema
-
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.partition_col, self.partition_of(F.col(self.watermark_col)))
 
@@ -167,120 +196,199 @@ class IncrementalTable:
         return str(jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
                    .escapePathName(str(value)))
 
-    def _partition_path(self, value) -> str:
-        return f"{self.data_path}/{self.partition_col}={self._partition_name(value)}"
-
-    def _max_watermark(self, df: DataFrame):
-        return df.agg(F.max(self.watermark_col)).first()[0]
-
     # ------------------------------------------------------------ run --
-    def merge(self, source: DataFrame, full_refresh: bool = False,
-              lookback: str | None = None, filter_watermark: bool = True) -> dict:
-        """One run. ``filter_watermark=False`` upserts the whole source (the
-        key upsert alone, I3)."""
-        state = self.committed()
-        run_id = 1 if state is None else state[0] + 1
-        staging = f"{self.root}/_staging/run-{run_id}"
-        if state is None or full_refresh:
-            # run ids keep rising across a full refresh: the committed
-            # watermark is always the one of the highest run id
-            return self._full(source, run_id)
-        if fs.exists(self.spark, f"{staging}/_manifest/_SUCCESS"):
-            # a crashed apply: finish it, then go on with this call's source
-            done = self._apply(run_id, staging, resumed=True)
-            own = self.merge(source, full_refresh, lookback, filter_watermark)
-            return (done if own["mode"] == "noop" else own) | {"resumed": True}
-
-        _, wm = state
-        batch_path = f"{staging}/batch"
-        src = (watermark_filter(source, self.watermark_col, wm, lookback)
-               if filter_watermark else source)
-        (self._with_partition(src)
-         .write.mode("overwrite").parquet(batch_path))
-        batch = self.spark.read.parquet(batch_path)
-        # one job: row count, newest watermark and the largest per-key count
-        stats = (batch.groupBy(self.key)
-                 .agg(F.count(F.lit(1)).alias("c"), F.max(self.watermark_col).alias("w"))
-                 .agg(F.sum("c").alias("n"), F.max("c").alias("dup"), F.max("w").alias("w"))
-                 .first())
-        if not stats["n"]:
-            self._commit(run_id, wm, "noop", self._known_schema or self._schema())
+    def merge(self, source: DataFrame, full_refresh: bool = False, lookback: str | None = None,
+              filter_watermark: bool = True, stream: StreamEpoch | None = None) -> dict:
+        """One run. ``filter_watermark=False`` upserts the whole source (the key
+        upsert alone, I3). ``stream``: the run is one epoch of a stream, filtered
+        by the watermark of the stream's start; an epoch committed before is
+        recognised and changes nothing."""
+        old = self.state()
+        since = _time(old["watermark"]) if old else None
+        if stream is not None and old is not None:
+            known = old["streams"].get(stream.query)
+            if known and known["epoch"] >= stream.epoch:
+                return {"run_id": old["run"], "mode": "replayed", "batch_rows": 0, "watermark": since}
+            since = _time(stream.since)
+            filter_watermark = filter_watermark and not stream.whole
+        if old is None or full_refresh:
+            return self._full(source, old, stream)
+        run = old["run"] + 1
+        staging = f"{self.root}/_staging/run-{run}"
+        if filter_watermark:
+            source = watermark_filter(source, self.watermark_col, since, lookback)
+        try:
+            return self._merge(old, run, self._with_partition(source), staging, stream)
+        finally:
             fs.delete(self.spark, staging)
-            return {"run_id": run_id, "mode": "noop", "batch_rows": 0, "watermark": wm}
+
+    def _merge(self, old: dict, run: int, source: DataFrame, staging: str, stream: StreamEpoch | None) -> dict:
+        source.write.mode("overwrite").parquet(f"{staging}/batch")
+        batch = self.spark.read.schema(source.schema).parquet(f"{staging}/batch")
+        stats = self._stats(batch)
+        if not stats["n"]:
+            self._commit(old | {"run": run, "mode": "noop", "streams": _streams(old, stream)})
+            return {"run_id": run, "mode": "noop", "batch_rows": 0, "touched_partitions": 0, "watermark": _time(old["watermark"])}
         if stats["dup"] > 1:
             raise ValueError(f"batch has a key occurring more than once ({self.key})")
-        new_wm = max(wm, stats["w"]) if wm is not None else stats["w"]
 
-        target = self.read()
-        pc = self.partition_col
-        new_schema = self._table_schema(batch)
-        if set(target.columns) != set(batch.columns):
-            # columns changed: rewrite the whole table in the batch's columns
-            mode = "schema_sync"
-            result = upsert(align(target, batch.schema), batch, self.key).select(*batch.columns)
-            touched = [None]
+        before, schema = self.schema(), self._table_schema(batch)
+        kinds, kinds_before = ({f.name: f.dataType for f in s.fields} for s in (schema, before))
+        retired = set(old["retired"])
+        mode = "incremental" if set(kinds) == set(kinds_before) else "schema_sync"
+        # old files serve a changed column set as they are (a new column is NULL there), unless
+        # a column changes its type or comes back after it was dropped
+        anew = any(kinds[c] != kinds_before[c] for c in kinds if c in kinds_before) or bool(retired & (set(kinds) - set(kinds_before)))
+        if mode == "incremental" and not anew:
+            schema = before
+        index = old["index"] or self._build_index(old)
+        at, buckets = self._spread(batch, index)
+        arriving = {self._partition_name(v) for v in at}
+        if anew:
+            replaced = set(old["live"])
         else:
-            mode = "incremental"
-            matched = (target.select(self.key, pc)
-                       .join(batch.select(self.key), self.key, "left_semi"))
-            touched = [r[0] for r in
-                       batch.select(pc).union(matched.select(pc)).distinct().collect()]
-            in_touched = F.col(pc).isin([v for v in touched if v is not None])
-            if None in touched:
-                in_touched = in_touched | F.col(pc).isNull()
-            result = upsert(target.where(in_touched), batch, self.key).select(*target.columns)
-        self._layout(result).write.mode("overwrite").partitionBy(pc) \
-            .parquet(f"{staging}/result")
-        present = fs.partition_values(self.spark, f"{staging}/result", pc)
-        manifest = [(mode, "touched", self._partition_name(v)) for v in touched if v is not None]
-        manifest += [(mode, "touched", self._partition_name(None))] if None in touched else []
-        manifest += [(mode, "present", v) for v in present]
-        manifest += [(mode, "watermark", "" if new_wm is None else new_wm.isoformat(sep=" ")),
-                     (mode, "batch_rows", str(stats["n"])), (mode, "schema", new_schema.json())]
-        (self.spark.createDataFrame(manifest, "mode string, kind string, value string")
-         .coalesce(1).write.mode("overwrite").parquet(f"{staging}/_manifest"))
-        return self._apply(run_id, staging)
-
-    def _apply(self, run_id: int, staging: str, resumed: bool = False) -> dict:
-        """Move the staged result into the table, then commit. Driven by the
-        manifest written after the result was complete, so it is idempotent:
-        a re-run after a crash anywhere in here replays it and loses nothing
-        (a partition is deleted only while its staged replacement still
-        exists, and a partition with no staged replacement only when the
-        result has no rows for it)."""
-        rows = self.spark.read.parquet(f"{staging}/_manifest").collect()
-        mode = rows[0]["mode"]
-        touched = [r["value"] for r in rows if r["kind"] == "touched"]
-        present = {r["value"] for r in rows if r["kind"] == "present"}
-        info = {r["kind"]: r["value"] for r in rows
-                if r["kind"] in ("watermark", "batch_rows", "schema")}
-        pc = self.partition_col
-        if mode == "schema_sync":
-            if fs.exists(self.spark, f"{staging}/result"):
-                fs.delete(self.spark, self.data_path)
-                fs.rename(self.spark, f"{staging}/result", self.data_path)
-        else:
-            for value in touched:
-                part = f"{self.data_path}/{pc}={value}"
-                staged = f"{staging}/result/{pc}={value}"
-                if value in present:
-                    if fs.exists(self.spark, staged):       # not moved yet
-                        fs.delete(self.spark, part)
-                        fs.rename(self.spark, staged, part)
-                else:                                        # emptied by the run
-                    fs.delete(self.spark, part)
-        new_wm = dt.datetime.fromisoformat(info["watermark"]) if info["watermark"] else None
-        schema = T.StructType.fromJson(json.loads(info["schema"]))
-        self._commit(run_id, new_wm, mode, schema)
-        fs.delete(self.spark, staging)   # committed: the staged copies are spent
-        return {"run_id": run_id, "mode": mode, "batch_rows": int(info["batch_rows"]),
-                "touched_partitions": len(touched), "watermark": new_wm,
-                "resumed": resumed}
-
-    def _full(self, source: DataFrame, run_id: int) -> dict:
-        df = self._layout(self._with_partition(source))
-        df.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.data_path)
+            replaced = {self._partition_name(v) for v in self._found(batch, index, buckets, stats)} & set(old["live"])
+            # a partition that only gets new keys is added to, until it has too many folders
+            replaced |= {p for p in arriving if len(old["live"].get(p, ())) >= self.max_runs}
+        target = live.read(self.spark, self.data_path, self.partition_col, before, old["live"], replaced)
+        if anew or mode == "schema_sync":
+            target = align(target, schema)
+        result = upsert(target, batch, self.key).select(*schema.names)
+        folder = f"{self.data_path}/run={run}"
+        self._write(self._layout(result), self.partition_col, folder)
+        written = fs.partition_values(self.spark, folder, self.partition_col)
+
+        newest = stats["w"] if old["watermark"] is None else max(old["watermark"], stats["w"] or old["watermark"])
+        grown = self._extend_index(index, batch, buckets, stats["n"])
+        state = {"run": run, "mode": mode, "watermark": newest, "schema": schema.jsonValue(),
+                 "live": live.extended(old["live"], run, written, replaced),
+                 "index": grown if not anew else None, "index_seq": (grown or index)["seq"],
+                 "retired": [] if anew else sorted((retired | set(kinds_before)) - set(kinds)),
+                 "streams": _streams(old, stream)}
+        self._commit(state)
+        return {"run_id": run, "mode": mode, "batch_rows": stats["n"], "touched_partitions": len(replaced | set(written)),
+                "rewritten_partitions": len(replaced), "partitions": sorted(replaced | set(written)), "watermark": _time(newest)}
+
+    def _full(self, source: DataFrame, old: dict | None, stream: StreamEpoch | None) -> dict:
+        """All source rows, in a folder of their own; the old table stays whole
+        until the commit. Run ids keep rising."""
+        run = 1 if old is None else old["run"] + 1
+        df = self._with_partition(source)
         schema = self._table_schema(df)
-        wm = self._max_watermark(self.read(schema))
-        self._commit(run_id, wm, "full", schema)
-        return {"run_id": run_id, "mode": "full", "watermark": wm}
+        folder = f"{self.data_path}/run={run}"
+        self._write(self._layout(df), self.partition_col, folder)
+        parts = {name: [run] for name in fs.partition_values(self.spark, folder, self.partition_col)}
+        rows = live.read(self.spark, self.data_path, self.partition_col, schema, parts)
+        newest = rows.agg(F.unix_micros(F.max(F.col(self.watermark_col).cast("timestamp")))).first()[0]
+        self._commit({"run": run, "mode": "full", "watermark": newest, "schema": schema.jsonValue(), "live": parts,
+                      "index": None, "index_seq": old["index_seq"] if old else 0, "retired": [], "streams": _streams(old or {"streams": {}}, stream)})
+        return {"run_id": run, "mode": "full", "watermark": _time(newest), "partitions": sorted(parts)}
+
+    def _stats(self, batch: DataFrame):
+        """One job: rows, newest watermark, rows of the most frequent key, least
+        and greatest key."""
+        per_key = batch.groupBy(self.key).agg(F.count(F.lit(1)).alias("c"), F.max(F.col(self.watermark_col).cast("timestamp")).alias("w"))
+        return per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.max("c").alias("dup"), F.unix_micros(F.max("w")).alias("w"),
+                           F.min(self.key).alias("low"), F.max(self.key).alias("high")).first()
+
+    def _spread(self, batch: DataFrame, index: dict) -> tuple[list, list[str]]:
+        """Partitions and index buckets that the batch meets: at most as many as
+        there are."""
+        r = batch.agg(F.collect_set(F.struct(F.col(self.partition_col).alias("v"))).alias("at"),
+                      F.collect_set(self._bucket(index["buckets"])).alias("buckets")).first()
+        return [x["v"] for x in r["at"]], [str(b) for b in sorted(r["buckets"])]
+
+    # ---------------------------------------------------------- index --
+    def _index_schema(self) -> T.StructType:
+        s = self.schema()
+        return T.StructType([T.StructField("key", s[self.key].dataType), T.StructField("at", s[self.partition_col].dataType),
+                             T.StructField("bucket", T.IntegerType())])
+
+    def _bucket(self, n: int) -> Column:
+        """Bucket of a table row's key; a NULL key is in none, as none is looked up."""
+        return F.when(F.col(self.key).isNotNull(), F.pmod(F.xxhash64(F.col(self.key)), F.lit(n)).cast("int"))
+
+    def _entries(self, df: DataFrame, n: int) -> DataFrame:
+        """Index rows of table rows."""
+        rows = df.select(F.col(self.key).alias("key"), F.col(self.partition_col).alias("at"), self._bucket(n).alias("bucket"))
+        return rows.where(F.col("bucket").isNotNull())
+
+    def _write_index(self, entries: DataFrame, seq: int) -> list[str]:
+        """Files sorted by key in each bucket, so that their statistics tell
+        which of them a range of keys can meet."""
+        folder = f"{self.index_path}/run={seq}"
+        self._write(entries.hint("rebalance", "bucket").sortWithinPartitions("bucket", "key"), "bucket", folder)
+        return fs.partition_values(self.spark, folder, "bucket")
+
+    def _build_index(self, old: dict) -> dict:
+        """The index of the whole table as committed."""
+        rows = live.read(self.spark, self.data_path, self.partition_col, self.schema(), old["live"]).select(self.key, self.partition_col)
+        n, total, seq = 8, rows.count(), old["index_seq"] + 1
+        while n * self.index_rows < total:
+            n *= 2
+        written = self._write_index(self._entries(rows, n).distinct(), seq)
+        return {"buckets": n, "rows": total, "seq": seq, "live": {b: [seq] for b in written}}
+
+    def _index_rows(self, index: dict, buckets: list[str]) -> DataFrame:
+        return live.read(self.spark, self.index_path, "bucket", self._index_schema(), index["live"], buckets, with_run=True)
+
+    def lookup(self, batch: DataFrame, index: dict, buckets: list[str], low, high) -> DataFrame:
+        """(key, bucket, at) where the batch's keys stand in the table: a scan of
+        their buckets within their range."""
+        rows = self._index_rows(index, buckets).where(F.col("key").between(F.lit(low), F.lit(high)))
+        return self._newest(rows.join(batch.select(F.col(self.key).alias("key")), "key", "left_semi"))
+
+    def _found(self, batch: DataFrame, index: dict, buckets: list[str], stats) -> list:
+        if stats["low"] is None or not any(b in index["live"] for b in buckets):
+            return []
+        return [r[0] for r in self.lookup(batch, index, buckets, stats["low"], stats["high"]).select("at").distinct().collect()]
+
+    def _extend_index(self, index: dict, batch: DataFrame, buckets: list[str], n: int) -> dict | None:
+        """The index after the batch: its entries are added to their buckets, and
+        buckets of too many folders are written anew. An index that has outgrown
+        its buckets is dropped, and built again by the next run."""
+        rows, seq = index["rows"] + n, index["seq"] + 1
+        if rows > 4 * index["buckets"] * self.index_rows:
+            return None
+        entries, old = self._entries(batch, index["buckets"]), index["live"]
+        full = [b for b in buckets if len(old.get(b, ())) >= self.max_runs]
+        if full:
+            past = self._index_rows(index, full).join(entries.select("key"), "key", "left_anti")
+            entries = entries.unionByName(self._newest(past).select("key", "at", "bucket"))
+        written = self._write_index(entries, seq)
+        return {"buckets": index["buckets"], "rows": rows, "seq": seq, "live": live.extended(old, seq, written, full)}
+
+    @staticmethod
+    def _newest(rows: DataFrame) -> DataFrame:
+        """(key, bucket, at): of a key's entries those of the newest run. A first
+        load may have left it in several partitions."""
+        sets = rows.groupBy("key", "bucket", "run").agg(F.collect_set(F.struct(F.col("at").alias("v"))).alias("at"))
+        last = sets.groupBy("key", "bucket").agg(F.max_by("at", "run").alias("at"))
+        return last.select("key", "bucket", F.explode("at").alias("e")).select("key", "bucket", F.col("e.v").alias("at"))
+
+    # --------------------------------------------------------- streams --
+    def begin_stream(self, query: str) -> tuple[int | None, bool]:
+        """(watermark, whole) for a run of a stream: as committed now, or as
+        they were when a run of it began that did not end."""
+        s = self.state()
+        known = s["streams"].get(query) if s else None
+        if known and known["open"]:
+            return known["since"], known["whole"]
+        return (s["watermark"], False) if s else (None, True)
+
+    def end_stream(self, query: str) -> None:
+        """The stream's run is over: its next one filters by the watermark then."""
+        s = self.state()
+        known = s["streams"].get(query) if s else None
+        if known and known["open"]:
+            self._commit(s | {"run": s["run"] + 1, "mode": "stream_end", "streams": s["streams"] | {query: known | {"open": False}}})
+
+    # ---------------------------------------------------------- vacuum --
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete the folders that none of the last ``keep`` commits names; how many."""
+        numbers = self._commits.numbers()[-keep:]
+        states = [self._commits.load(n) for n in numbers]
+        if not states:
+            return 0
+        gone = live.sweep(self.spark, self.data_path, self.partition_col, [s["live"] for s in states], numbers[-1])
+        return gone + live.sweep(self.spark, self.index_path, "bucket", [(s["index"] or {"live": {}})["live"] for s in states], states[-1]["index_seq"])

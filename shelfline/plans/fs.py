@@ -28,14 +28,34 @@ def delete(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def file_sizes(spark: SparkSession, path: str) -> list[int]:
-    """Sizes in bytes of the data files directly under ``path`` (hidden
-    files such as _SUCCESS excluded)."""
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path``; none if it does not exist."""
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [int(st.getLen()) for st in fs.listStatus(p)
-            if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file (control data) whole."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (control data), under its name only once it is complete. One
+    that is there already is an error."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    part = p.suffix(".part")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(part, p):
+        raise OSError(f"could not write {path}")
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:

@@ -8,21 +8,25 @@ each run process what is there and stop: a batch job with exactly-once file
 tracking.
 
 ``incremental_stream`` (I6): the same landing source feeding the incremental
-table through ``foreachBatch``; every micro-batch goes through
-``IncrementalTable.merge`` and so applies the same watermark rule as the batch
-job (max watermark committed in the target, strict), not Spark's
-``withWatermark`` late-data rule. A replayed micro-batch is a no-op: its rows
-are at or below the watermark its first attempt committed.
+table through ``foreachBatch``; every micro-batch is one run of
+``IncrementalTable.merge``. All micro-batches of a stream's run are filtered by
+the watermark that the table had when the run began (strict, not Spark's
+``withWatermark`` rule), so that it does not matter how the files are dealt to
+micro-batches: an older row in a later file is no late row. Each commit names the
+query and the epoch; a replayed micro-batch is known by them, whatever the times of
+its rows, and changes nothing. A run that ended early is taken up again with
+the watermark of its start.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.upsert import IncrementalTable
+from ..operators.upsert import IncrementalTable, StreamEpoch
 from ..sources.csv_load import cast_to, string_schema
 
 
@@ -52,13 +56,20 @@ def incremental_stream(spark: SparkSession, landing: str, schema: T.StructType,
                        transform: Callable[[DataFrame], DataFrame], table: IncrementalTable,
                        checkpoint: str, max_files_per_trigger: int | None = None) -> None:
     """Merge every new landing file into ``table`` (one run per micro-batch)."""
+    started, run = threading.Event(), {}
 
-    def merge_batch(batch: DataFrame, _epoch_id: int) -> None:
-        table.merge(transform(batch))
+    def merge_batch(batch: DataFrame, epoch: int) -> None:
+        started.wait()
+        if "since" not in run:
+            run["since"], run["whole"] = table.begin_stream(run["query"])
+        table.merge(transform(batch), stream=StreamEpoch(run["query"], epoch, run["since"], run["whole"]))
 
     q = (landing_stream(spark, landing, schema, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
+    run["query"] = str(q.id)            # the checkpoint's, the same after a restart
+    started.set()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    table.end_stream(run["query"])

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from shelfline.operators.upsert import IncrementalTable
@@ -32,7 +33,7 @@ def state(t):
 
 
 def partitions(t):
-    return sorted(d for d in os.listdir(t.data_path) if d.startswith("event_date="))
+    return [f"{t.partition_col}={p}" for p in t.partitions()]
 
 
 def test_first_run_keeps_null_watermark_rows(spark, workdir):
@@ -145,39 +146,132 @@ def test_watermark_filter_reaches_parquet_scan(spark, workdir):
     assert "PushedFilters: [IsNotNull(event_at), GreaterThan(event_at" in plan
 
 
-def test_crash_between_delete_and_move_loses_nothing(spark, workdir, monkeypatch):
-    from shelfline.plans import fs
+def crash_at(monkeypatch, name, on=IncrementalTable):
+    """The named step fails once it is reached."""
+    def boom(*a, **k):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(on, name, boom)
+
+
+@pytest.mark.parametrize("step", ["_stats", "_build_index", "_found", "_write", "_extend_index", "_commit"])
+@pytest.mark.parametrize("kind", ["merge", "schema_sync", "full"])
+def test_a_crash_anywhere_leaves_the_old_table_whole(spark, workdir, monkeypatch, step, kind):
+    """Two rows share day 2, one of them is sent again; nothing of a run shows
+    before its commit, and the next run does it all."""
     t = table(spark, workdir)
-    # two rows share day 2; only one of them is re-sent (newer than the
-    # watermark, same day)
     t.merge(ev(spark, [(1, 1, T(2, 1)), (2, 1, T(2, 5)), (3, 1, T(1))]))
+    before = rows(t.read())
     batch = ev(spark, [(1, 7, T(2, 6)), (4, 1, T(3))])
-    real = fs.rename
-    calls = {"n": 0}
-
-    def flaky(spark_, src, dst):
-        # fail the move of day 2 once: its old folder is already deleted
-        if dst.endswith("event_date=2024-01-02") and not calls["n"]:
-            calls["n"] += 1
-            assert not os.path.exists(dst)
-            raise RuntimeError("executor lost")
-        return real(spark_, src, dst)
-
-    monkeypatch.setattr(fs, "rename", flaky)
+    if kind == "schema_sync":
+        batch = batch.drop("event_type").selectExpr("*", "1 AS direction")
+    if kind == "full" and step not in ("_write", "_commit"):
+        pytest.skip("not a step of a full refresh")
+    crash_at(monkeypatch, step)
     with pytest.raises(RuntimeError):
-        t.merge(batch)
-    monkeypatch.setattr(fs, "rename", real)
-    assert calls["n"] == 1
-    r = t.merge(batch)                      # resumed from the manifest
-    assert r["resumed"] and r["mode"] == "incremental"
-    s = state(t)
-    assert sorted(s) == [1, 2, 3, 4]
-    assert s[1][0] == 7 and s[2][0] == 1    # the untouched row of day 2 survived
-    assert t.read().count() == 4
+        t.merge(batch, full_refresh=kind == "full")
+    monkeypatch.undo()
+    again = table(spark, workdir)               # another driver
+    assert rows(again.read()) == before and again.committed() == (1, T(2, 5))
+    r = again.merge(batch, full_refresh=kind == "full")
+    s = state(again)
+    assert r["run_id"] == 2 and s[1][0] == 7 and s[4][0] == 1
+    assert sorted(s) == ([1, 4] if kind == "full" else [1, 2, 3, 4])
+    assert again.read().count() == len(s)
+
+
+def test_a_half_written_run_does_not_show(spark, workdir, monkeypatch):
+    t = table(spark, workdir)
+    t.merge(ev(spark, [(1, 1, T(1)), (2, 1, T(2))]))
+    crash_at(monkeypatch, "_commit")
+    with pytest.raises(RuntimeError):
+        t.merge(ev(spark, [(1, 9, T(8)), (5, 1, T(9))]))        # all files written, no commit
+    monkeypatch.undo()
+    assert os.path.isdir(f"{t.data_path}/run=2") and sorted(state(t)) == [1, 2]
+    t.merge(ev(spark, [(6, 1, T(7))]))                          # another batch, the same run number
+    assert sorted(state(t)) == [1, 2, 6] and state(t)[1][0] == 1
+
+
+def test_a_reader_keeps_its_commit(spark, workdir):
+    """A table resolved before a run shows neither half of a moved key."""
+    t = table(spark, workdir)
+    t.merge(ev(spark, [(1, 1, T(1)), (2, 1, T(2))]))
+    old = t.read()
+    t.merge(ev(spark, [(1, 5, T(9))]))
+    assert sorted((r.event_id, r.quantity_change) for r in old.collect()) == [(1, 1), (2, 1)]
+    assert t.vacuum(keep=2) == 0 and old.count() == 2
+    assert t.vacuum() == 1                                      # the folder of day 1
+    assert sorted(state(t)) == [1, 2]
+    t.merge(ev(spark, [(2, 8, T(10))]))
+    assert state(t)[2][0] == 8 and len(state(t)) == 2
+
+
+def test_all_times_null(spark, workdir):
+    t = table(spark, workdir)
+    t.merge(ev(spark, [(1, 1, T(1))]))
+    t.merge(ev(spark, [(2, 1, None), (1, 4, None)]), filter_watermark=False)
+    assert state(t) == {1: (4, None, None), 2: (1, None, None)} and t.committed()[1] == T(1)
+
+
+def test_a_column_that_comes_back_or_changes_type(spark, workdir):
+    t = table(spark, workdir)
+    old = ev(spark, [(1, 1, T(1)), (2, 1, T(2))])
+    t.merge(old)
+    assert t.merge(ev(spark, [(3, 1, T(3))]).drop("event_type"))["rewritten_partitions"] == 0
+    t.merge(ev(spark, [(4, 1, T(4))]))                          # event_type again: old values stay gone
+    assert {r.event_id: r.event_type for r in t.read().collect()} == {1: None, 2: None, 3: None, 4: "sale"}
+    t.merge(ev(spark, [(5, 1, T(5))]).withColumn("quantity_change", F.col("quantity_change").cast("bigint")))
+    assert dict(t.read().dtypes)["quantity_change"] == "bigint" and sum(r.quantity_change for r in t.read().collect()) == 5
+
+
+def test_lookup_reads_only_the_buckets_and_ranges_of_the_batch(spark, workdir):
+    """The index of many keys, a batch of few: pruned buckets, pushed range, and
+    new keys beyond the old ones leave every row group unread."""
+    from conftest import explain
+    t = IncrementalTable(spark, os.path.join(workdir, "t"), "event_id", "event_at", "event_date", index_rows=500)
+    many = spark.range(20_000).selectExpr("id * 3 AS event_id", "1 AS quantity_change",
+                                          "timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 40)) AS event_at")
+    t.merge(many)
+    few = spark.createDataFrame([(9, 5, T(28, 1)), (60_001, 5, T(28, 2))], "event_id bigint, quantity_change int, event_at timestamp")
+    r = t.merge(few, filter_watermark=False)
+    assert r["rewritten_partitions"] == 1 and r["touched_partitions"] == 2      # day of key 9, and day 28
+    index = t.state()["index"]
+    assert index["buckets"] == 64 and len(index["live"]) == 64
+    batch = few.withColumn("event_date", F.col("event_at").cast("date"))
+    at, buckets = t._spread(batch, index)
+    found = t.lookup(batch, index, buckets, 9, 60_001)
+    assert len(buckets) <= 2 and {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()} == set(buckets)
+    plan = explain(found)
+    assert "GreaterThanOrEqual(key,9)" in plan and "LessThanOrEqual(key,60001)" in plan
+    assert sorted((r.key, str(r["at"])) for r in found.collect()) == [(9, "2024-01-28"), (60_001, "2024-01-28")]
+    rows_read = spark.read.parquet(*found.inputFiles()).count()
+    assert rows_read < 20_000 * 3 / 64
+    assert t.read().count() == 20_001 and t.read().where("event_id = 9").count() == 1
+
+
+def test_many_small_runs_equal_one_table(spark, workdir):
+    """Folders and buckets are put together again, keys move back and forth."""
+    import random
+    rng = random.Random(4)
+    t = IncrementalTable(spark, os.path.join(workdir, "t"), "event_id", "event_at", "event_date", index_rows=4, max_runs=3)
+    want, ids = {}, 0
+    for run in range(9):
+        batch = {}
+        for _ in range(6):
+            new = rng.random() < 0.5 or not want
+            ids += new
+            key = ids if new else rng.choice(sorted(want))
+            batch[key] = (rng.randrange(99), T(1 + rng.randrange(4), run))
+        t.merge(ev(spark, [(k, q, at) for k, (q, at) in batch.items()]), filter_watermark=False)
+        want |= batch
+        s = t.state()
+        assert all(len(v) <= 4 for v in s["live"].values())
+        assert s["index"] is None or all(len(v) <= 4 for v in s["index"]["live"].values())
+    assert {k: v[:2] for k, v in state(t).items()} == want and t.read().count() == len(want)
+    t.vacuum()
+    assert {k: v[:2] for k, v in state(t).items()} == want
 
 
 def test_string_partitions_with_escaped_names(spark, workdir):
-    from pyspark.sql import functions as F
     t = IncrementalTable(spark, os.path.join(workdir, "s"), "event_id", "event_at", "bucket",
                          partition_of=lambda c: F.date_format(c, "yyyy-MM-dd HH:mm"))
     t.merge(ev(spark, [(1, 1, T(1, 1)), (2, 1, T(1, 1)), (3, 1, T(2))]))
@@ -185,8 +279,7 @@ def test_string_partitions_with_escaped_names(spark, workdir):
     got = {r["event_id"]: (r["quantity_change"], r["bucket"]) for r in t.read().collect()}
     assert got == {1: (5, "2024-01-03 04:00"), 2: (1, "2024-01-01 01:00"),
                    3: (1, "2024-01-02 00:00"), 4: (1, "2024-01-03 04:00")}
-    names = sorted(d for d in os.listdir(t.data_path) if d.startswith("bucket="))
-    assert names == ["bucket=2024-01-01 01%3A00", "bucket=2024-01-02 00%3A00",
+    assert partitions(t) == ["bucket=2024-01-01 01%3A00", "bucket=2024-01-02 00%3A00",
                      "bucket=2024-01-03 04%3A00"]
 
 
