@@ -47,22 +47,27 @@ class Commits:
         fs.write_new(self.spark, f"{self.path}/run-{state['run']:010d}.json", json.dumps(state))
 
 
-def paths(base: str, column: str, live: Live, names: Iterable[str] | None = None) -> list[str]:
-    """Live folders of all partitions, or of those named."""
+def paths(base: str, column: str, live: Live, names: Iterable[str] | None = None, inner: str = "") -> list[str]:
+    """Live folders of all partitions, or of those named. ``inner`` stands between
+    the folders of run and partition."""
     chosen = live if names is None else [x for x in names if x in live]
-    return [f"{base}/run={r}/{column}={name}" for name in sorted(chosen) for r in live[name]]
+    return [f"{base}/run={r}{inner}/{column}={name}" for name in sorted(chosen) for r in live[name]]
 
 
 def read(spark: SparkSession, base: str, column: str, schema: T.StructType, live: Live,
-         names: Iterable[str] | None = None, with_run: bool = False) -> DataFrame:
+         names: Iterable[str] | None = None, with_run: bool = False, inner: str = "") -> DataFrame:
     """Rows of the live folders in ``schema`` (columns that older files lack are
     NULL), ``column`` among them; ``run`` is the run that wrote a row."""
     out = [f.name for f in schema.fields] + (["run"] if with_run else [])
     full = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
-    found = paths(base, column, live, names)
-    if not found:
-        return spark.createDataFrame([], full).select(*out)
-    return spark.read.schema(full).option("basePath", base).parquet(*found).select(*out)
+    return read_folders(spark, base, paths(base, column, live, names, inner), full).select(*out)
+
+
+def read_folders(spark: SparkSession, base: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of some folders below ``base``; none of no folder."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.names)
 
 
 def extended(live: Live, run: int, written: Iterable[str], replaced: Iterable[str]) -> Live:
@@ -72,7 +77,7 @@ def extended(live: Live, run: int, written: Iterable[str], replaced: Iterable[st
     return out | {k: [*out.get(k, []), run] for k in written}
 
 
-def sweep(spark: SparkSession, base: str, column: str, kept: list[Live], last_run: int) -> int:
+def sweep(spark: SparkSession, base: str, column: str, kept: list[Live], last_run: int, inner: str = "") -> int:
     """Delete the folders of runs up to ``last_run`` that no kept commit names;
     how many."""
     named = {(r, name) for live in kept for name, runs in live.items() for r in runs}
@@ -81,12 +86,13 @@ def sweep(spark: SparkSession, base: str, column: str, kept: list[Live], last_ru
         run = int(folder[4:]) if folder.startswith("run=") and folder[4:].isdigit() else None
         if run is None or run > last_run:
             continue
-        found = fs.partition_values(spark, f"{base}/{folder}", column)
+        folder = f"{base}/{folder}{inner}"
+        found = fs.partition_values(spark, folder, column)
         dead = [x for x in found if (run, x) not in named]
         if len(dead) == len(found):
-            fs.delete(spark, f"{base}/{folder}")
+            fs.delete(spark, folder)
         else:
             for x in dead:
-                fs.delete(spark, f"{base}/{folder}/{column}={x}")
+                fs.delete(spark, f"{folder}/{column}={x}")
         gone += len(dead)
     return gone

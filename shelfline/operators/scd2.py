@@ -17,15 +17,13 @@ Strategies
 Closing sets valid_to to the new version's change time. Keys that vanish
 from the source stay open. New keys open a version.
 
-``snapshot_step`` is one full outer join of the open versions with the
-current rows on the key (both sides are unique per key, so no key can be
-hot), emitting up to two rows per key (the closed old version and the new
-one) from a single pass.
+The source is joined to the open versions from its own side (both are unique per
+key, so no key can be hot): a key that vanished needs no row. Only changed rows go
+on from there.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -35,7 +33,8 @@ from pyspark.sql import types as T
 
 from ..functions.columns import null_safe_differs
 from ..plans import fs
-from .skew import next_value
+from . import live
+from .skew import next_value, running_max
 
 # Fixed value: separator of the version-id hash parts.
 SCD_ID_SEPARATOR = "|"
@@ -70,6 +69,57 @@ def first_snapshot(current: DataFrame, key: str, strategy: str, updated_at: str
     return current.select(_version(c, current.columns, key, ts).alias("v")).select("v.*")
 
 
+def _changes(open_versions: DataFrame | None, current: DataFrame, key: str, strategy: str,
+             check_cols: Sequence[str] | None, updated_at: str | None, run_ts: str | None) -> DataFrame:
+    """(k, c, ts, new): the current rows that open a version: their key, row and
+    change time, and whether the key had no open version."""
+    c, o = F.col("c"), F.col("o")
+    rows = current.select(F.col(key).alias("k"), F.struct(*[F.col(x) for x in current.columns]).alias("c"))
+    ts = _change_time(strategy, c, updated_at, run_ts)
+    if open_versions is None:
+        return rows.select("k", "c", ts.alias("ts"), F.lit(True).alias("new"))
+    # only what is compared is read of the open versions; a watched column that they do not have is NULL
+    have = set(open_versions.columns)
+    watched = [F.col(x) if x in have else F.lit(None).cast(current.schema[x].dataType).alias(x) for x in check_cols or ()]
+    old = open_versions.select(F.col(key).alias("ok"), F.struct("valid_from", *watched).alias("o"))
+    if strategy == "timestamp":
+        differs = o["valid_from"] < ts
+    else:
+        differs = reduce(lambda a, b: a | b, [null_safe_differs(o[x], c[x]) for x in check_cols])
+    joined = rows.join(old, F.col("k") == F.col("ok"), "left")
+    return joined.where(o.isNull() | differs).select("k", "c", ts.alias("ts"), o.isNull().alias("new"))
+
+
+def _opened(changes: DataFrame, key: str, schema: T.StructType) -> DataFrame:
+    """The versions that the changes open, in ``schema``."""
+    c = F.col("c")
+    new = changes.select(_version(c, changes.schema["c"].dataType.names, key, F.col("ts")).alias("v")).select("v.*")
+    return aligned(new, schema)
+
+
+def _closed(open_versions: DataFrame, changes: DataFrame, key: str, schema: T.StructType) -> DataFrame:
+    """The open versions, closed where their key changed."""
+    closing = changes.where(~F.col("new")).select("k", "ts")
+    old = open_versions.join(closing, F.col(key) == F.col("k"), "left")
+    return aligned(old.withColumn("valid_to", F.coalesce("ts", "valid_to")), schema)
+
+
+def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``schema``'s columns of ``df``; those it does not have are NULL."""
+    have = set(df.columns)
+    return df.select([(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def version_schema(current: T.StructType, before: T.StructType | None = None) -> T.StructType:
+    """Columns of the versions: those known before, in their types, then new ones
+    of the source, then the four of the history."""
+    own = [T.StructField("scd_id", T.StringType()), *[T.StructField(c, T.TimestampType()) for c in ("scd_updated_at", "valid_from", "valid_to")]]
+    kinds = {f.name: f.dataType for f in before.fields} if before else {}
+    kinds |= {f.name: f.dataType for f in current.fields if f.name not in kinds}
+    names = {f.name for f in own}
+    return T.StructType([T.StructField(c, t) for c, t in kinds.items() if c not in names] + own)
+
+
 def snapshot_step(open_versions: DataFrame | None, current: DataFrame, key: str,
                   strategy: str, check_cols: Sequence[str] | None = None,
                   updated_at: str | None = None, run_ts: str | None = None) -> DataFrame:
@@ -77,56 +127,29 @@ def snapshot_step(open_versions: DataFrame | None, current: DataFrame, key: str,
     (closed when its key changed) plus the versions opened by this run."""
     if open_versions is None:
         return first_snapshot(current, key, strategy, updated_at, run_ts)
-    cols = current.columns
-    o_df = open_versions.select(F.col(key).alias("_k"),
-                                F.struct(*[F.col(x) for x in open_versions.columns]).alias("o"))
-    c_df = current.select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols]).alias("c"))
-    j = o_df.join(c_df, "_k", "full_outer")
-    o, c = F.col("o"), F.col("c")
-    ts = _change_time(strategy, c, updated_at, run_ts)
-    if strategy == "timestamp":
-        differs = o["valid_from"] < ts
-    else:
-        differs = reduce(lambda a, b: a | b,
-                         [null_safe_differs(o[x], c[x]) for x in check_cols])
-    changed = o.isNotNull() & c.isNotNull() & differs
-    old = F.when(o.isNotNull(), F.struct(
-        *[o[x].alias(x) for x in cols], o["scd_id"].alias("scd_id"),
-        o["scd_updated_at"].alias("scd_updated_at"), o["valid_from"].alias("valid_from"),
-        F.when(changed, ts).otherwise(o["valid_to"]).alias("valid_to")))
-    new = F.when(c.isNotNull() & (o.isNull() | changed), _version(c, cols, key, ts))
-    return (j.select(F.explode(F.array(old, new)).alias("v"))
-            .where(F.col("v").isNotNull()).select("v.*"))
-
-
-def snapshot(history: DataFrame | None, current: DataFrame, key: str, strategy: str,
-             check_cols: Sequence[str] | None = None, updated_at: str | None = None,
-             run_ts: str | None = None) -> DataFrame:
-    """Full new history: closed versions pass through, open ones go through
-    ``snapshot_step``."""
-    if history is None:
-        return first_snapshot(current, key, strategy, updated_at, run_ts)
-    closed = history.where(F.col("valid_to").isNotNull())
-    opened = history.where(F.col("valid_to").isNull())
-    step = snapshot_step(opened, current, key, strategy, check_cols, updated_at, run_ts)
-    return closed.unionByName(step)
+    changes = _changes(open_versions, current, key, strategy, check_cols, updated_at, run_ts)
+    schema = version_schema(current.schema, open_versions.schema)
+    return _closed(open_versions, changes, key, schema).unionByName(_opened(changes, key, schema))
 
 
 def history_from_log(log: DataFrame, key: str, updated_at: str, seq: str | None = None
                      ) -> DataFrame:
-    """All versions in one pass from a log of row states (H3), timestamp
-    semantics: per (key, updated_at) the first logged state is kept (a later
-    state without a newer updated_at is not a change), valid_to is the next
-    version's updated_at. The dedup is a partial aggregate and the 'next
-    version' lookup is skew-safe (``skew.next_value``), so a key holding a
-    large share of the log is split across tasks."""
+    """All versions in one pass from a log of row states (H3), with the result of
+    one timestamp snapshot after each state. ``seq`` orders the states of a key: a
+    state opens a version if its ``updated_at`` is newer than that of every state
+    before it (one that goes back, stands still or is NULL records nothing; a key
+    whose first state has none never changes). Without ``seq`` the log has no order
+    but ``updated_at``. valid_to is the next version's updated_at. The running
+    maximum and the next version are found over chunks of the log
+    (``skew.running_max``, ``skew.next_value``), so a key holding a large share of
+    the log is split across tasks."""
     cols = [c for c in log.columns if c != seq]
-    if seq is not None:
-        firsts = (log.groupBy(key, updated_at)
-                  .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(seq)).alias("r"))
-                  .select("r.*"))
-    else:
+    if seq is None:
         firsts = log.dropDuplicates([key, updated_at])
+    else:
+        at, past, first = "_at", "_past", "_first"
+        states = running_max(log.withColumn(at, F.col(updated_at).cast("timestamp")), key, seq, at, past, first)
+        firsts = states.where(F.col(first) | (F.col(at) > F.col(past))).select(*cols)
     nxt = next_value(firsts, key, updated_at, "valid_to")
     ts = F.col(updated_at).cast("timestamp")
     return nxt.select(*cols, scd_id(F.col(key), ts).alias("scd_id"),
@@ -143,90 +166,104 @@ def as_of(history: DataFrame, ts: str) -> DataFrame:
 
 
 class HistoryTable:
-    """SCD2 history persisted as one folder per committed run:
-    ``runs/run=<n>/kind=closed`` holds the versions run n closed (written once:
-    append-only history) and ``runs/run=<n>/kind=open`` the full open set after
-    run n (one row per key). The history is every closed version of committed
-    runs plus the open set of the last one; ``vacuum`` deletes superseded open
-    sets, so storage is the closed history plus one open set. A crashed run
-    leaves an uncommitted folder that the re-run overwrites."""
+    """SCD2 history in run folders (see ``live``):
+    ``versions/run=<n>/kind=closed|open/part=<p>``. The closed versions of a run are
+    written once and never again. The open versions, one row a key, are dealt to
+    ``parts`` by a hash of the key; a run writes anew only the parts that hold a key
+    it changes, and its commit says in which run's folder each part is. So a run
+    compares the source with the columns that it watches, stages what changed, and
+    reads whole only the parts to be written.
+
+    A column that the source gained is NULL on older versions; one that it lost
+    stays, NULL on newer versions; a column keeps the type it came with. A key
+    occurring twice in the source is an error before anything is written, as a MERGE
+    with several source rows per target row would be. A run that ends before its
+    commit has changed nothing. ``vacuum`` deletes superseded open parts."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, strategy: str,
-                 check_cols: Sequence[str] | None = None, updated_at: str | None = None):
+                 check_cols: Sequence[str] | None = None, updated_at: str | None = None, parts: int = 64):
         self.spark, self.root, self.key, self.strategy = spark, root, key, strategy
-        self.check_cols, self.updated_at = check_cols, updated_at
-
-    @property
-    def runs_path(self) -> str:
-        return f"{self.root}/runs"
+        self.check_cols, self.updated_at, self.parts = check_cols, updated_at, parts
+        self._commits = live.Commits(spark, root)
 
     @property
-    def control_path(self) -> str:
-        return f"{self.root}/_control"
-
-    def _state(self) -> tuple[int, T.StructType] | None:
-        """(last committed run, schema of the versions) or None."""
-        if not fs.exists(self.spark, self.control_path):
-            return None
-        row = (self.spark.read.parquet(self.control_path)
-               .agg(F.max("run_id").alias("r"), F.max_by("schema", "run_id").alias("s"))
-               .first())
-        if row is None or row["r"] is None:
-            return None
-        return int(row["r"]), T.StructType.fromJson(json.loads(row["s"]))
+    def versions_path(self) -> str:
+        return f"{self.root}/versions"
 
     def last_run(self) -> int | None:
-        state = self._state()
-        return None if state is None else state[0]
+        numbers = self._commits.numbers()
+        return numbers[-1] if numbers else None
+
+    def _open(self, state: dict, parts: list[str] | None = None) -> DataFrame:
+        return live.read(self.spark, self.versions_path, "part", T.StructType.fromJson(state["schema"]), state["open"], parts, inner="/kind=open")
 
     def read(self) -> DataFrame | None:
-        state = self._state()
+        """All versions as last committed; None before the first run."""
+        state = self._commits.last()
         if state is None:
             return None
-        last, schema = state
-        # explicit schema: no inference, and a history without rows reads empty
-        full = T.StructType(schema.fields + [T.StructField("run", T.IntegerType()),
-                                             T.StructField("kind", T.StringType())])
-        runs = (self.spark.read.schema(full).option("basePath", self.runs_path)
-                .parquet(self.runs_path))
-        # partition filters only: prunes to closed folders + the last open set
-        keep = (F.col("run") <= last) & ((F.col("kind") == "closed") | (F.col("run") == last))
-        return runs.where(keep).drop("run", "kind")
-
-    def open_versions(self, last: int | None = None) -> DataFrame | None:
-        last = self.last_run() if last is None else last
-        path = f"{self.runs_path}/run={last}/kind=open"
-        if last is None or not fs.exists(self.spark, path):
-            return None
-        return self.spark.read.parquet(path)
+        closed = [f"{self.versions_path}/run={r}/kind=closed" for r in state["closed"]]
+        opened = live.paths(self.versions_path, "part", state["open"], inner="/kind=open")
+        return live.read_folders(self.spark, self.versions_path, closed + opened, T.StructType.fromJson(state["schema"]))
+
+    def open_versions(self) -> DataFrame | None:
+        state = self._commits.last()
+        return None if state is None else self._open(state)
+
+    def _commit(self, state: dict) -> None:
+        self._commits.add(state)
 
     def run(self, current: DataFrame, run_ts: str | None = None) -> int:
-        """Snapshot ``current`` (unique per key: a duplicate key raises, as a
-        MERGE with several source rows per target row would)."""
-        last = self.last_run()
-        n = 1 if last is None else last + 1
-        opened = None if last is None else self.open_versions(last)
-        step = snapshot_step(opened, current, self.key, self.strategy,
-                             self.check_cols, self.updated_at, run_ts)
-        kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
-        (step.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind")
-         .parquet(f"{self.runs_path}/run={n}"))
-        # a duplicate source key shows as two open versions of one key; the
-        # check reads the written open set, not the source again, and a
-        # failing run stays uncommitted
-        written = self.open_versions(n)
-        if written is not None and \
-                (written.groupBy(self.key).count().agg(F.max("count")).first()[0] or 0) > 1:
+        """Snapshot ``current``; the number of the committed run."""
+        old = self._commits.last()
+        n = 1 if old is None else old["run"] + 1
+        parts = old["parts"] if old else self.parts
+        if current.groupBy(self.key).count().where("count > 1").limit(1).count():
             raise ValueError(f"snapshot source has a key occurring more than once ({self.key})")
-        (self.spark.createDataFrame([(n, step.schema.json())], "run_id bigint, schema string")
-         .coalesce(1).write.mode("append").parquet(self.control_path))
+        schema = version_schema(current.schema, T.StructType.fromJson(old["schema"]) if old else None)
+        opened = self._open(old) if old else None
+        changes = _changes(opened, current, self.key, self.strategy, self.check_cols, self.updated_at, run_ts)
+        state = {"run": n, "schema": schema.jsonValue(), "parts": parts, "closed": [], "open": {}}
+        if old is None:
+            state["open"] = live.extended({}, n, self._write(_opened(changes, self.key, schema), n, parts)[0], ())
+        else:
+            state |= {"closed": old["closed"], "open": old["open"]} | self._step(old, n, changes, schema, parts)
+        self._commit(state)
         return n
 
-    def vacuum(self) -> int:
-        """Delete open sets superseded by a later committed run; returns how
-        many folders were removed. Closed versions are never touched."""
-        last = self.last_run()
-        removed = 0
-        for n in range(1, last or 0):
-            removed += fs.delete(self.spark, f"{self.runs_path}/run={n}/kind=open")
-        return removed
+    def _step(self, old: dict, n: int, changes: DataFrame, schema: T.StructType, parts: int) -> dict:
+        """Write what changed; the live folders then."""
+        staging = f"{self.root}/_staging/run-{n}"
+        staged = changes.withColumn("part", self._part("k", parts))
+        try:
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(staging)
+            touched = fs.partition_values(self.spark, staging, "part")          # at most ``parts``
+            if not touched:
+                return {}
+            changes = self.spark.read.schema(staged.schema).parquet(staging).drop("part")
+            rows = _closed(self._open(old, touched), changes, self.key, schema)
+            opened, closed = self._write(rows.unionByName(_opened(changes, self.key, schema)), n, parts)
+        finally:
+            fs.delete(self.spark, staging)
+        return {"open": live.extended(old["open"], n, opened, touched), "closed": old["closed"] + [n] * bool(closed)}
+
+    @staticmethod
+    def _part(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)).cast("int")
+
+    def _write(self, rows: DataFrame, n: int, parts: int) -> tuple[list[str], list[str]]:
+        """Write a run's versions; the parts with open ones and with closed ones."""
+        folder = f"{self.versions_path}/run={n}"
+        kind = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+        rows = rows.withColumns({"kind": kind, "part": self._part(self.key, parts)}).hint("rebalance", "part")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("kind", "part").parquet(folder)
+        return tuple(fs.partition_values(self.spark, f"{folder}/kind={k}", "part") for k in ("open", "closed"))
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete open parts that none of the last ``keep`` commits names; how
+        many. Closed versions are never touched."""
+        numbers = self._commits.numbers()[-keep:]
+        states = [self._commits.load(n) for n in numbers]
+        if not states:
+            return 0
+        return live.sweep(self.spark, self.versions_path, "part", [s["open"] for s in states], numbers[-1], inner="/kind=open")
