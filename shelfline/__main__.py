@@ -30,18 +30,23 @@ def _session(args) -> SparkSession:
 
 
 def _inputs(spark, args):
-    """(raw tables, seeds) from --landing CSV drops, or (None, None) for the
-    driver mapping at --sf."""
-    if not args.landing:
-        return None, None
+    """(raw tables, seeds) from --raw (tables that ``load`` wrote) or --landing
+    (CSV drops), or (None, None) for the driver mapping at --sf. A seed that is
+    not there is an error."""
     from .plans import fs
     from .sources.csv_load import load_seed, load_typed_csv
     from .sources.schemas import RAW_SCHEMAS, SEED_SCHEMAS
-    raw = {n: load_typed_csv(spark, os.path.join(args.landing, n), s)
-           for n, s in RAW_SCHEMAS.items()}
-    seeds = {n: load_seed(spark, os.path.join(args.landing, n), s)
-             for n, s in SEED_SCHEMAS.items()
-             if fs.exists(spark, os.path.join(args.landing, n))}
+    root = args.raw or args.landing
+    if not root:
+        return None, None
+    absent = [n for n in (*RAW_SCHEMAS, *SEED_SCHEMAS) if not fs.exists(spark, os.path.join(root, n))]
+    if absent:
+        raise FileNotFoundError(f"{root} has no {', '.join(absent)}")
+    if args.raw:
+        read = {n: spark.read.schema(s).parquet(os.path.join(root, n)) for n, s in (RAW_SCHEMAS | SEED_SCHEMAS).items()}
+        return {n: read[n] for n in RAW_SCHEMAS}, {n: read[n] for n in SEED_SCHEMAS}
+    raw = {n: load_typed_csv(spark, os.path.join(root, n), s) for n, s in RAW_SCHEMAS.items()}
+    seeds = {n: load_seed(spark, os.path.join(root, n), s) for n, s in SEED_SCHEMAS.items()}
     return raw, seeds
 
 
@@ -60,12 +65,13 @@ def main(argv=None) -> None:
         src = p.add_mutually_exclusive_group(required=True)
         src.add_argument("--sf", help="folder of the driver parquet tables")
         src.add_argument("--landing", help="folder of CSV drops, one sub-folder per table")
+        src.add_argument("--raw", help="folder of tables written by load, one sub-folder per table")
         if name in ("build", "incremental", "snapshot"):
             p.add_argument("--out", required=True, help="shared output folder")
         if name in ("build", "snapshot", "freshness"):
             p.add_argument("--now", default=None, help="run time 'YYYY-MM-DD HH:MM:SS'")
     sub.choices["build"].add_argument("--on-failure", default="stop",
-                                      choices=("stop", "report"))
+                                      choices=("stop", "skip", "report"))
     sub.choices["incremental"].add_argument("--full-refresh", action="store_true")
     sub.choices["incremental"].add_argument("--lookback", default=None)
     p = sub.add_parser("load")
@@ -77,12 +83,22 @@ def main(argv=None) -> None:
     spark = _session(args)
 
     if args.cmd == "build":
-        from .plans.build import build_all
+        from .plans.build import ChecksFailed, build_all
+        from .plans.publish import Published
         raw, seeds = _inputs(spark, args)
-        b = build_all(spark, args.sf, out_dir=args.out, now=args.now,
-                      on_failure=args.on_failure, raw=raw, seeds=seeds)
+        try:
+            b = build_all(spark, args.sf, out_dir=args.out, now=args.now,
+                          on_failure=args.on_failure, raw=raw, seeds=seeds)
+        except ChecksFailed as e:
+            print(json.dumps({"out": args.out, "published": False,
+                              "failed_checks": [r.asDict() for r in e.failures]}, default=str))
+            raise SystemExit(1) from e
         failed = b.tables["dq_suite"].where("not passed").collect()
-        print(json.dumps({"out": args.out, "seconds": b.seconds,
+        pub = Published(spark, args.out)
+        pub.sweep()
+        print(json.dumps({"out": args.out, "published": True, "seconds": b.seconds, "blocked": b.blocked,
+                          "tables": {n: pub.path(n) for n, t in pub.tables().items() if "run" in t},
+                          "freshness": [r.asDict() for r in b.tables["source_freshness"].collect()],
                           "failed_checks": [r.asDict() for r in failed]}, default=str))
     elif args.cmd == "incremental":
         from .operators.upsert import IncrementalTable
@@ -90,6 +106,7 @@ def main(argv=None) -> None:
                              cluster_by=("store_id",))
         r = t.merge(_models(spark, args).stg["stg_inventory_events"],
                     full_refresh=args.full_refresh, lookback=args.lookback)
+        t.vacuum(keep=2)
         print(json.dumps(r, default=str))
     elif args.cmd == "snapshot":
         import datetime as dt
@@ -105,6 +122,8 @@ def main(argv=None) -> None:
         print(json.dumps({"snap_products": p.run(snap_products_source(m.stg["stg_products"]),
                                                  run_ts=now),
                           "snap_orders": o.run(snap_orders_source(m.stg["stg_orders"]))}))
+        p.vacuum(keep=2)
+        o.vacuum(keep=2)
     elif args.cmd == "freshness":
         import datetime as dt
 
@@ -121,9 +140,9 @@ def main(argv=None) -> None:
         for r in run_suite(_models(spark, args).tables()).collect():
             print(json.dumps(r.asDict(), default=str))
     elif args.cmd == "load":
-        from .sources.schemas import RAW_SCHEMAS
+        from .sources.schemas import RAW_SCHEMAS, SEED_SCHEMAS
         from .streaming.file_ingest import load_once
-        load_once(spark, args.landing, RAW_SCHEMAS[args.table], args.sink, args.checkpoint)
+        load_once(spark, args.landing, (RAW_SCHEMAS | SEED_SCHEMAS)[args.table], args.sink, args.checkpoint)
         print(json.dumps({"sink": args.sink,
                           "rows": spark.read.parquet(args.sink).count()}))
 

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """UNION ALL by name as a balanced tree: each union re-analyses its
     inputs, so a left-deep chain of n parts costs O(n^2) analysis."""
@@ -212,6 +213,10 @@ SUITE: list[Check] = [
     *_nn("agg_current_stock", "store_id"), *_nn("agg_current_stock", "product_id"),
 ]
 
+#: Columns of a suite's result.
+RESULT_SCHEMA = "model string, column_name string, test string, failures bigint, passed boolean"
+
+# The names under which the two singular checks are reported.
 SINGULAR = ["assert_order_amount_non_negative", "assert_payments_reconcile_to_orders"]
 
 

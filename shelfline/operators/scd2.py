@@ -185,6 +185,7 @@ class HistoryTable:
         self.spark, self.root, self.key, self.strategy = spark, root, key, strategy
         self.check_cols, self.updated_at, self.parts = check_cols, updated_at, parts
         self._commits = live.Commits(spark, root)
+        self._pending: dict | None = None
 
     @property
     def versions_path(self) -> str:
@@ -197,9 +198,10 @@ class HistoryTable:
     def _open(self, state: dict, parts: list[str] | None = None) -> DataFrame:
         return live.read(self.spark, self.versions_path, "part", T.StructType.fromJson(state["schema"]), state["open"], parts, inner="/kind=open")
 
-    def read(self) -> DataFrame | None:
-        """All versions as last committed; None before the first run."""
-        state = self._commits.last()
+    def read(self, pending: bool = False, run: int | None = None) -> DataFrame | None:
+        """All versions as last committed (or as ``run`` committed them, or as they
+        will be once what ``prepare`` wrote is); None before the first run."""
+        state = self._pending if pending else self._commits.last() if run is None else self._commits.load(run)
         if state is None:
             return None
         closed = [f"{self.versions_path}/run={r}/kind=closed" for r in state["closed"]]
@@ -215,6 +217,17 @@ class HistoryTable:
 
     def run(self, current: DataFrame, run_ts: str | None = None) -> int:
         """Snapshot ``current``; the number of the committed run."""
+        self.prepare(current, run_ts)
+        return self.publish()
+
+    def publish(self) -> int:
+        """Commit what ``prepare`` wrote; the run's number."""
+        state, self._pending = self._pending, None
+        self._commit(state)
+        return state["run"]
+
+    def prepare(self, current: DataFrame, run_ts: str | None = None) -> None:
+        """A run but for its commit: without ``publish`` nothing has changed."""
         old = self._commits.last()
         n = 1 if old is None else old["run"] + 1
         parts = old["parts"] if old else self.parts
@@ -228,8 +241,7 @@ class HistoryTable:
             state["open"] = live.extended({}, n, self._write(_opened(changes, self.key, schema), n, parts)[0], ())
         else:
             state |= {"closed": old["closed"], "open": old["open"]} | self._step(old, n, changes, schema, parts)
-        self._commit(state)
-        return n
+        self._pending = state
 
     def _step(self, old: dict, n: int, changes: DataFrame, schema: T.StructType, parts: int) -> dict:
         """Write what changed; the live folders then."""

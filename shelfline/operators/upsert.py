@@ -116,6 +116,8 @@ class IncrementalTable:
     index_rows: int = 1 << 20       # keys of an index bucket, about
     max_runs: int = 8               # folders of a partition or bucket before it is written anew
     _state: dict | None = field(default=None, init=False, repr=False)
+    _pending: dict | None = field(default=None, init=False, repr=False)
+    _holding: bool = field(default=False, init=False, repr=False)
 
     def __post_init__(self) -> None:
         self._commits = live.Commits(self.spark, self.root)
@@ -152,17 +154,39 @@ class IncrementalTable:
         s = self.state()
         return T.StructType.fromJson(s["schema"]) if s else None
 
-    def read(self, partitions: list[str] | None = None) -> DataFrame:
-        """The table as last committed, or some of its partitions."""
-        s = self.state()
+    def read(self, partitions: list[str] | None = None, pending: bool = False, run: int | None = None) -> DataFrame:
+        """The table as last committed (or as ``run`` committed it, or as it will
+        be once what ``prepare`` wrote is committed), or some of its partitions."""
+        s = self._pending if pending else self.state() if run is None else self._commits.load(run)
         if s is None:
             raise FileNotFoundError(f"no committed run under {self.root}")
-        return live.read(self.spark, self.data_path, self.partition_col, self.schema(), s["live"], partitions)
+        return live.read(self.spark, self.data_path, self.partition_col, T.StructType.fromJson(s["schema"]), s["live"], partitions)
 
     def _commit(self, state: dict) -> None:
         self._commits.add(state)
         self._state = state
 
+    def prepare(self, source: DataFrame, **how) -> dict:
+        """A run but for its commit: ``read(pending=True)`` is the table that
+        ``publish`` would commit; without that nothing has changed."""
+        self._holding = True
+        try:
+            return self.merge(source, **how)
+        finally:
+            self._holding = False
+
+    def publish(self) -> int:
+        """Commit what ``prepare`` wrote; the run's number."""
+        state, self._pending = self._pending, None
+        self._commit(state)
+        return state["run"]
+
+    def _finish(self, state: dict) -> None:
+        if self._holding:
+            self._pending = state
+        else:
+            self._commit(state)
+
     def _layout(self, df: DataFrame) -> DataFrame:
         """Write layout: AQE rebalances rows by partition value (a few files
         per partition instead of one per task and value; a hot partition is
@@ -227,7 +251,7 @@ class IncrementalTable:
         batch = self.spark.read.schema(source.schema).parquet(f"{staging}/batch")
         stats = self._stats(batch)
         if not stats["n"]:
-            self._commit(old | {"run": run, "mode": "noop", "streams": _streams(old, stream)})
+            self._finish(old | {"run": run, "mode": "noop", "streams": _streams(old, stream)})
             return {"run_id": run, "mode": "noop", "batch_rows": 0, "touched_partitions": 0, "watermark": _time(old["watermark"])}
         if stats["dup"] > 1:
             raise ValueError(f"batch has a key occurring more than once ({self.key})")
@@ -265,7 +289,7 @@ class IncrementalTable:
                  "index": grown if not anew else None, "index_seq": (grown or index)["seq"],
                  "retired": [] if anew else sorted((retired | set(kinds_before)) - set(kinds)),
                  "streams": _streams(old, stream)}
-        self._commit(state)
+        self._finish(state)
         return {"run_id": run, "mode": mode, "batch_rows": stats["n"], "touched_partitions": len(replaced | set(written)),
                 "rewritten_partitions": len(replaced), "partitions": sorted(replaced | set(written)), "watermark": _time(newest)}
 
@@ -280,7 +304,7 @@ class IncrementalTable:
         parts = {name: [run] for name in fs.partition_values(self.spark, folder, self.partition_col)}
         rows = live.read(self.spark, self.data_path, self.partition_col, schema, parts)
         newest = rows.agg(F.unix_micros(F.max(F.col(self.watermark_col).cast("timestamp")))).first()[0]
-        self._commit({"run": run, "mode": "full", "watermark": newest, "schema": schema.jsonValue(), "live": parts,
+        self._finish({"run": run, "mode": "full", "watermark": newest, "schema": schema.jsonValue(), "live": parts,
                       "index": None, "index_seq": old["index_seq"] if old else 0, "retired": [], "streams": _streams(old or {"streams": {}}, stream)})
         return {"run_id": run, "mode": "full", "watermark": _time(newest), "partitions": sorted(parts)}
 

@@ -50,6 +50,11 @@ class RetailModels:
         self._raw = raw
         self._seeds = seeds or {}
 
+    def _seed(self, name: str) -> DataFrame:
+        if name not in self._seeds:
+            raise KeyError(f"no seed {name} was given")
+        return self._seeds[name]
+
     # raw + seeds
     @cached_property
     def raw(self) -> Mapping[str, DataFrame]:
@@ -60,14 +65,14 @@ class RetailModels:
 
     @cached_property
     def country_codes(self) -> DataFrame:
-        if "country_codes" in self._seeds:
-            return self._seeds["country_codes"]
+        if "country_codes" in self._seeds or self.sf_dir is None:
+            return self._seed("country_codes")
         return drv.country_codes(self.spark, self.sf_dir)
 
     @cached_property
     def category_targets(self) -> DataFrame:
-        if "category_targets" in self._seeds:
-            return self._seeds["category_targets"]
+        if "category_targets" in self._seeds or self.sf_dir is None:
+            return self._seed("category_targets")
         return drv.category_targets(self.spark)
 
     # staging

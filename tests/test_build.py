@@ -72,7 +72,8 @@ def test_cli_build_and_incremental_from_csv_drops(spark, workdir, capsys):
           "--on-failure", "report"])
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["out"] == out and res["failed_checks"]
-    built = spark.read.parquet(os.path.join(out, "fct_orders"))
+    assert res["published"] and {r["source"] for r in res["freshness"]} == {"raw_orders", "raw_inventory_events"}
+    built = spark.read.parquet(res["tables"]["fct_orders"])
     assert built.exceptAll(m.fct_orders).count() == 0
     assert m.fct_orders.exceptAll(built).count() == 0
 
@@ -93,6 +94,122 @@ def test_build_rerun_into_same_folder(spark, workdir):
     assert b.tables["dq_suite"].count() == 76
 
 
+def clean(spark):
+    """Raw tables and seeds on which every check passes: the planted dirt left out."""
+    from shelfline.plans.models import RetailModels
+    m = RetailModels(spark, SF)
+    raw = dict(m.raw)
+    orders = raw["raw_orders"].where("customer_id IS NOT NULL")
+    codes = m.country_codes.select(F.upper("country_code").alias("c"))
+    raw["raw_customers"] = raw["raw_customers"].join(codes, F.upper(F.trim("country_code")) == F.col("c"), "left_semi")
+    orders = orders.join(raw["raw_customers"], "customer_id", "left_semi")
+    raw["raw_orders"] = orders
+    for name in ("raw_order_items", "raw_payments"):
+        raw[name] = raw[name].join(orders, "order_id", "left_semi")
+    paid = raw["raw_order_items"].groupBy("order_id").agg(F.sum("line_total").alias("due"))
+    first = raw["raw_payments"].groupBy("order_id").agg(F.min("payment_id").alias("payment_id"))
+    pays = raw["raw_payments"].join(first, ["order_id", "payment_id"], "left_semi").join(paid, "order_id")
+    kind = raw["raw_payments"].schema["amount"].dataType
+    raw["raw_payments"] = pays.withColumn("amount", F.col("due").cast(kind)).select(*raw["raw_payments"].columns)
+    raw["raw_orders"] = raw["raw_orders"].join(pays, "order_id", "left_semi")
+    raw["raw_order_items"] = raw["raw_order_items"].join(pays, "order_id", "left_semi")
+    seeds = {"country_codes": m.country_codes, "category_targets": m.category_targets}
+    return raw, seeds
+
+
+def contents(spark, out):
+    """Everything that is published below ``out``."""
+    from shelfline.operators.scd2 import HistoryTable
+    from shelfline.operators.upsert import IncrementalTable
+    from shelfline.plans.publish import Published
+    pub = Published(spark, out)
+    got = {}
+    for name, entry in pub.tables().items():
+        if name == "dq_suite":
+            continue
+        if "run" in entry:
+            df = pub.read(name)
+        elif name == "fct_inventory_events":
+            df = IncrementalTable(spark, f"{out}/{name}", "event_id", "event_at", "event_date").read(run=entry["commit"])
+        else:
+            df = HistoryTable(spark, f"{out}/{name}", "", "check").read(run=entry["commit"])
+        got[name] = sorted(map(repr, df.collect()))
+    return got
+
+
+def test_a_bad_row_under_stop_leaves_every_published_table_unchanged(spark, workdir):
+    import os
+
+    from shelfline.operators.upsert import IncrementalTable
+    from shelfline.plans.build import ChecksFailed
+    raw, seeds = clean(spark)
+    out = os.path.join(workdir, "gated")
+    first = build_all(spark, out_dir=out, raw=raw, seeds=seeds, now="2024-06-01 00:00:00", on_failure="stop")
+    assert first.blocked == {} and first.tables["dq_suite"].where("not passed").count() == 0
+    assert first.tables["dq_suite"].count() == 76 and first.tables["source_freshness"].count() == 2
+    before = contents(spark, out)
+    assert len(before) == 7 + 2 + 11
+    # one stock movement of an unknown kind among new ones: known as soon as it is staged
+    event = raw["raw_inventory_events"].limit(1)
+    newer = event.withColumns({"event_id": F.lit(10**9).cast("bigint"), "event_type": F.lit("lost"),
+                               "event_at": F.lit("2030-01-01 00:00:00").cast("timestamp")})
+    bad = raw | {"raw_inventory_events": raw["raw_inventory_events"].unionByName(newer)}
+    with pytest.raises(ChecksFailed, match="accepted_values.stg_inventory_events.event_type"):
+        build_all(spark, out_dir=out, raw=bad, seeds=seeds, now="2024-06-02 00:00:00", on_failure="stop")
+    assert contents(spark, out) == before
+    # a line total below zero shows in the written facts only
+    kind = raw["raw_order_items"].schema["line_total"].dataType
+    bad = raw | {"raw_order_items": raw["raw_order_items"].withColumn("line_total", (-F.col("line_total")).cast(kind)),
+                 "raw_inventory_events": raw["raw_inventory_events"].unionByName(newer.withColumn("event_type", F.lit("sale")))}
+    with pytest.raises(ChecksFailed):
+        build_all(spark, out_dir=out, raw=bad, seeds=seeds, now="2024-06-02 00:00:00", on_failure="stop")
+    assert contents(spark, out) == before
+    inv = IncrementalTable(spark, f"{out}/fct_inventory_events", "event_id", "event_at", "event_date")
+    assert inv.committed()[0] == 1 and inv.read().where("event_id = 1000000000").count() == 0
+    # skipped instead: what depends on the failed models stays, the rest is published
+    b = build_all(spark, out_dir=out, raw=bad, seeds=seeds, now="2024-06-02 00:00:00", on_failure="skip")
+    assert {"fct_orders", "dim_customers"} <= set(b.blocked) and "fct_inventory_events" not in b.blocked
+    after = contents(spark, out)
+    assert {n for n in before if after[n] != before[n]} & {"fct_orders", "dim_customers"} == set()
+    assert any("1000000000" in r for r in after["fct_inventory_events"]) and after["agg_current_stock"] != before["agg_current_stock"]
+
+
+def test_jobs_read_loaded_tables_and_need_their_seeds(spark, workdir, capsys):
+    import json
+    import os
+
+    from shelfline.__main__ import main
+    from shelfline.plans.models import RetailModels
+    from shelfline.sources.csv_load import write_landing_csv
+    m = RetailModels(spark, SF)
+    landing, loaded = os.path.join(workdir, "landing"), os.path.join(workdir, "raw")
+    for name, df in m.raw.items():
+        write_landing_csv(df, os.path.join(landing, name))
+        main(["load", "--landing", os.path.join(landing, name), "--table", name, "--sink", os.path.join(loaded, name),
+              "--checkpoint", os.path.join(workdir, "ckpt", name)])
+    out = os.path.join(workdir, "out")
+    with pytest.raises(FileNotFoundError, match="country_codes"):
+        main(["build", "--raw", loaded, "--out", out, "--on-failure", "report"])
+    with pytest.raises(FileNotFoundError, match="category_targets"):
+        main(["check", "--landing", landing])
+    for name in ("country_codes", "category_targets"):
+        write_landing_csv(getattr(m, name), os.path.join(landing, name))
+        main(["load", "--landing", os.path.join(landing, name), "--table", name, "--sink", os.path.join(loaded, name),
+              "--checkpoint", os.path.join(workdir, "ckpt", name)])
+    capsys.readouterr()
+    main(["build", "--raw", loaded, "--out", out, "--now", "2024-06-01 00:00:00", "--on-failure", "report"])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    built = spark.read.parquet(res["tables"]["fct_payments"])
+    assert built.exceptAll(m.fct_payments).count() == 0 and m.fct_payments.exceptAll(built).count() == 0
+    assert spark.read.parquet(res["tables"]["country_codes"]).count() == m.country_codes.count()
+    inc = os.path.join(workdir, "inc")
+    main(["incremental", "--raw", loaded, "--out", inc])
+    main(["snapshot", "--raw", loaded, "--out", os.path.join(workdir, "snap"), "--now", "2024-06-01 00:00:00"])
+    with pytest.raises(SystemExit):
+        main(["build", "--raw", loaded, "--out", out, "--now", "2024-06-01 00:00:00", "--on-failure", "stop"])
+    assert not json.loads(capsys.readouterr().out.strip().splitlines()[-1])["published"]
+
+
 def test_no_order_is_dropped_and_hot_orders_are_spread(spark, workdir):
     import os
 
