@@ -43,7 +43,8 @@ def _inputs(spark, args):
     if absent:
         raise FileNotFoundError(f"{root} has no {', '.join(absent)}")
     if args.raw:
-        read = {n: spark.read.schema(s).parquet(os.path.join(root, n)) for n, s in (RAW_SCHEMAS | SEED_SCHEMAS).items()}
+        from .streaming.file_ingest import read_loaded
+        read = {n: read_loaded(spark, os.path.join(root, n), s) for n, s in (RAW_SCHEMAS | SEED_SCHEMAS).items()}
         return {n: read[n] for n in RAW_SCHEMAS}, {n: read[n] for n in SEED_SCHEMAS}
     raw = {n: load_typed_csv(spark, os.path.join(root, n), s) for n, s in RAW_SCHEMAS.items()}
     seeds = {n: load_seed(spark, os.path.join(root, n), s) for n, s in SEED_SCHEMAS.items()}

@@ -44,6 +44,28 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file (compressed or not); None if it has none."""
+    fs, p = _fs(spark, path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stream = fs.open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        data = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Give every file directly under ``path`` the present as its time."""
+    fs, p = _fs(spark, path)
+    now = spark.sparkContext._jvm.java.lang.System.currentTimeMillis()
+    for st in fs.listStatus(p):
+        if st.isFile():
+            fs.setTimes(st.getPath(), now, -1)
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> None:
     """A small file (control data), under its name only once it is complete. One
     that is there already is an error."""

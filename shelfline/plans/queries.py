@@ -8,8 +8,10 @@ table read back."""
 from __future__ import annotations
 
 from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import dollars_to_cents as to_cents
 from ..functions.columns import surrogate_key as sk
@@ -21,6 +23,8 @@ from ..sources import csv_load
 from ..sources.schemas import CATEGORY_TARGETS, COUNTRY_CODES, RAW_SCHEMAS
 from ..streaming.file_ingest import incremental_stream as run_incremental_stream
 from ..streaming.file_ingest import load_once as run_load_once
+from ..streaming.file_ingest import read_loaded
+from . import fs
 from . import scenarios as sc
 from .build import build_all
 from .models import RetailModels
@@ -81,17 +85,24 @@ def _land(spark: SparkSession, df: DataFrame, name: str, root: str) -> str:
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 round trip: raw_customers written as a CSV drop and loaded back
-    typed (padding kept, blank email read as NULL)."""
+    """S1 round trip of all seven raw tables: written as CSV drops and loaded back
+    typed (padding kept, a blank email read as NULL); a row's columns, in their
+    order, as one text."""
     root = work_path(spark, "load_raw")
     m = RetailModels(spark, sf_dir)
-    path = _land(spark, m.raw["raw_customers"], "raw_customers", root)
-    return csv_load.load_typed_csv(spark, path, RAW_SCHEMAS["raw_customers"])
+    parts = []
+    for name, schema in RAW_SCHEMAS.items():
+        loaded = csv_load.load_typed_csv(spark, _land(spark, m.raw[name], name, root), schema)
+        texts = [F.coalesce((F.unix_micros(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).cast("string"), F.lit("NULL"))
+                 for f in schema.fields]
+        parts.append(loaded.select(F.lit(name).alias("tbl"), F.concat_ws("|", *texts).alias("row_text")))
+    return quality.union_all(parts)
 
 
 def raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 x7 + S11: all seven raw tables landed as CSV, loaded typed, and the
-    load sanity report (table, row count) as a UNION ALL of global counts."""
+    """S11: all seven raw tables landed as CSV and loaded, and the load sanity
+    report (table, row count) as a UNION ALL of global counts. A count reads no
+    column; what the columns hold is ``load_raw``'s matter."""
     root = work_path(spark, "raw_row_counts")
     m = RetailModels(spark, sf_dir)
     parts = []
@@ -104,17 +115,18 @@ def raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2: the inventory-event drop is loaded by a file stream; the stream is
-    run twice and the file is offered again under the same name; the sink
-    holds every row once."""
+    """S2: the inventory-event drop is loaded by a file stream; then its files are
+    offered again (same names, new times) and the stream runs once more: every row
+    is there once."""
     root = work_path(spark, "load_once")
     m = RetailModels(spark, sf_dir)
     landing = _land(spark, m.raw["raw_inventory_events"], "raw_inventory_events", root)
     schema = RAW_SCHEMAS["raw_inventory_events"]
     sink, ckpt = f"{root}/sink", f"{root}/_checkpoint"
     run_load_once(spark, landing, schema, sink, ckpt)
+    fs.touch(spark, landing)
     run_load_once(spark, landing, schema, sink, ckpt)
-    return spark.read.schema(schema).parquet(sink)
+    return read_loaded(spark, sink, schema)
 
 
 def seed_country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
