@@ -157,10 +157,20 @@ class IncrementalTable:
     def read(self, partitions: list[str] | None = None, pending: bool = False, run: int | None = None) -> DataFrame:
         """The table as last committed (or as ``run`` committed it, or as it will
         be once what ``prepare`` wrote is committed), or some of its partitions."""
-        s = self._pending if pending else self.state() if run is None else self._commits.load(run)
+        s = self.snapshot(pending) if run is None else self._commits.load(run)
+        return live.read(self.spark, self.data_path, self.partition_col, T.StructType.fromJson(s["schema"]), s["live"], partitions)
+
+    def snapshot(self, pending: bool = False) -> dict:
+        """What the last commit says, or what ``publish`` would commit."""
+        s = self._pending if pending else self.state()
         if s is None:
             raise FileNotFoundError(f"no committed run under {self.root}")
-        return live.read(self.spark, self.data_path, self.partition_col, T.StructType.fromJson(s["schema"]), s["live"], partitions)
+        return s
+
+    def read_folders(self, folders: live.Live, pending: bool = False) -> DataFrame:
+        """Rows of some run folders of the table: those named, by partition."""
+        schema = T.StructType.fromJson(self.snapshot(pending)["schema"])
+        return live.read(self.spark, self.data_path, self.partition_col, schema, folders)
 
     def _commit(self, state: dict) -> None:
         self._commits.add(state)

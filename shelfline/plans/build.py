@@ -13,8 +13,8 @@ does is the caller's choice:
 
 Marts are written once and read back by their consumers instead of being
 recomputed (dim_customers is derived from the written fct_orders,
-mart_category_revenue from the written fct_order_items, agg_current_stock from
-the incremental table). Writes go under ``out_dir``, which on a cluster is a
+mart_category_revenue from the written fct_order_items, agg_current_stock from the
+stock partials of the days that the incremental table has touched). Writes go under ``out_dir``, which on a cluster is a
 shared folder (by default a fresh folder under the session's checkpoint dir).
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, quality
 from ..operators.scd2 import HistoryTable
+from ..operators.stock import StockTable
 from ..operators.upsert import IncrementalTable
 from ..session import work_path
 from ..sources.schemas import RAW_SCHEMAS
@@ -197,6 +198,7 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
     from .scenarios import snap_orders_source, snap_products_source
     inv = IncrementalTable(spark, f"{out_dir}/fct_inventory_events", "event_id", "event_at",
                            "event_date", cluster_by=FCT_INVENTORY_CLUSTER[1:])
+    stock = StockTable(spark, f"{out_dir}/stock_by_day")
     snap_p = HistoryTable(spark, f"{out_dir}/snap_products", "product_id", "check",
                           check_cols=("price", "product_name", "category"))
     snap_o = HistoryTable(spark, f"{out_dir}/snap_orders", "order_id", "timestamp",
@@ -237,8 +239,8 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
         "mart_category_revenue": lambda: write("mart_category_revenue",
                                                marts.mart_category_revenue(
                                                    out["fct_order_items"], m.category_targets)),
-        "agg_current_stock": lambda: write("agg_current_stock",
-                                           marts.current_stock(out["fct_inventory_events"])),
+        "agg_current_stock": lambda: (stock.prepare(inv, pending=True),
+                                      write("agg_current_stock", stock.read(pending=True)))[1],
     }, threads))
 
     if run_checks:
@@ -257,6 +259,8 @@ def build_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | Non
         for name, df in b.tables.items():
             if name in b.blocked or name.startswith("stg_"):
                 continue
+            if name == "agg_current_stock":
+                stock.publish()
             entries[name] = {"commit": stateful[name].publish()} if name in stateful else {"run": run, "schema": df.schema.jsonValue()}
         published.publish(run, entries)
     if freshness:

@@ -17,6 +17,7 @@ from ..functions.columns import dollars_to_cents as to_cents
 from ..functions.columns import surrogate_key as sk
 from ..operators import marts, quality, scd2
 from ..operators.staging import stg_inventory_events
+from ..operators.stock import StockTable
 from ..operators.upsert import IncrementalTable, watermark_filter
 from ..session import work_path
 from ..sources import csv_load
@@ -231,6 +232,17 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read()
 
 
+def current_stock_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + Q11 over a changing table: stock is refreshed after each of the two
+    runs, the second time from the days that the merge touched."""
+    stg = RetailModels(spark, sf_dir).stg["stg_inventory_events"]
+    t, stock = _inventory_table(spark, "stock_events"), StockTable(spark, work_path(spark, "stock"))
+    for source in (sc.inventory_run1(stg), sc.inventory_run2(stg)):
+        t.merge(source)
+        stock.refresh(t)
+    return stock.read()
+
+
 # ---------------------------------------------------------------- history --
 
 def scd2_check_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,6 +337,7 @@ def registry() -> dict[str, Query]:
     q["incremental_merge_two_runs"] = incremental_merge_two_runs
     q["incremental_schema_sync"] = incremental_schema_sync
     q["incremental_stream"] = incremental_stream
+    q["current_stock_two_runs"] = current_stock_two_runs
     q["scd2_check_two_runs"] = scd2_check_two_runs
     q["scd2_timestamp_two_runs"] = scd2_timestamp_two_runs
     q["scd2_from_change_log"] = scd2_from_change_log
