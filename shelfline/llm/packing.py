@@ -282,17 +282,22 @@ def pack(docs: DataFrame, window: int = WINDOW_TOKENS, vocabulary: str | None =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds = Rounds(sizes, window)
         for batch in batches:
-            for part in W.slices(batch, "ids"):
-                out = {k: [] for k in ("row", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")}
-                for i, (n, ids, queue, before) in enumerate(zip(*(part[c].to_pylist() for c in ("n", "ids", "queue", "before")), strict=True)):
-                    wide = memoryview(np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4").tobytes())
-                    for start, length, k, offset in rounds.pieces(queue, before, n):
-                        for name, v in zip(out, (i, start, length, n, k, offset, wide[4 * start:4 * (start + length)]), strict=True):
-                            out[name].append(v)
-                row = out.pop("row")
+            for part in W.slices(batch, "ids", _SLICE):
+                row, out = array("q"), array("q")       # pieces: start, length, window, offset
+                for i, (n, queue, before) in enumerate(zip(*(part[c].to_pylist() for c in ("n", "queue", "before")), strict=True)):
+                    for piece in rounds.pieces(queue, before, n):
+                        row.append(i)
+                        out.extend(piece)
+                row, n = np.frombuffer(row, np.int64), part["n"].to_numpy()
+                start, length, k, offset = np.frombuffer(out, np.int64).reshape(-1, 4).T
+                # a document's pieces follow each other, so their ids do too
+                wide = [np.frombuffer(ids.as_buffer(), f"<u{ids.as_buffer().size // m}").astype("<u4") for ids, m in zip(part["ids"], n.tolist(), strict=True)]
+                at = np.concatenate([[0], np.cumsum(length)]) * 4
+                ids = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at.astype(np.int32).tobytes()),
+                                                                    pa.py_buffer(np.concatenate(wide))])
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(row, pa.int64())),
-                     *[pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in out.items()]], ["doc_id", *out])
+                    [part["doc_id"].take(pa.array(row)), *[pa.array(np.ascontiguousarray(v)) for v in (start, length, n[row], k, offset)], ids],
+                    schema.names)
 
     schema = rows.select("doc_id").schema
     for field in _PIECES.split(", "):

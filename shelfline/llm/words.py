@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+_MMAP_THRESHOLD = -3    # the C library's number of that setting (fixed value)
 SLICE_BYTES = 6 << 20  # text taken up at once; a longer document comes alone
 
 
+@cache
+def freed_memory_goes_back() -> None:
+    """Have arrays of a worker go back to the system when they are freed: the C
+    library otherwise raises the size from which it maps memory by itself, keeps
+    ever larger blocks, and a worker that serves many tasks grows. Nothing to do
+    on a system without it."""
+    try:
+        ctypes.CDLL(None).mallopt(_MMAP_THRESHOLD, 1 << 18)
+    except (AttributeError, OSError):
+        pass
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with a bounded amount of text each."""
+    freed_memory_goes_back()
     sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for i, n in enumerate(sizes):
