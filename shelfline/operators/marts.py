@@ -156,24 +156,6 @@ def fct_order_items(items_enriched: DataFrame, stg_orders: DataFrame) -> DataFra
     )
 
 
-def fct_order_items_from_staged(stg_order_items: DataFrame, stg_products: DataFrame,
-                                stg_orders: DataFrame) -> DataFrame:
-    """Q7 with the order join first: lines that are already partitioned
-    on order_id need no exchange for it. Same rows as ``fct_order_items`` (two
-    independent left joins from the lines)."""
-    orders = stg_orders.select("order_id", "customer_id", "store_id", "ordered_at", "status")
-    products = stg_products.select("product_id", "product_name", "category")
-    j = (stg_order_items.join(orders, "order_id", "left")
-         .join(products, "product_id", "left"))
-    return j.select(
-        surrogate_key("order_item_id").alias("order_item_sk"),
-        "order_item_id", "order_id", "customer_id", "store_id", "product_id",
-        "product_name", "category", "ordered_at",
-        F.col("ordered_at").cast("date").alias("ordered_date"),
-        "status", "quantity", "unit_price", "line_total",
-    )
-
-
 def fct_payments(stg_payments: DataFrame, stg_orders: DataFrame) -> DataFrame:
     """Q8: one row per payment with customer and store."""
     orders = stg_orders.select("order_id", "customer_id", "store_id")

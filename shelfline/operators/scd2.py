@@ -62,13 +62,6 @@ def _version(row: Column, cols: Sequence[str], key: str, change_ts: Column) -> C
                     F.lit(None).cast("timestamp").alias("valid_to"))
 
 
-def first_snapshot(current: DataFrame, key: str, strategy: str, updated_at: str | None = None,
-                   run_ts: str | None = None) -> DataFrame:
-    c = F.struct(*[F.col(x) for x in current.columns])
-    ts = _change_time(strategy, c, updated_at, run_ts)
-    return current.select(_version(c, current.columns, key, ts).alias("v")).select("v.*")
-
-
 def _changes(open_versions: DataFrame | None, current: DataFrame, key: str, strategy: str,
              check_cols: Sequence[str] | None, updated_at: str | None, run_ts: str | None) -> DataFrame:
     """(k, c, ts, new): the current rows that open a version: their key, row and
@@ -120,18 +113,6 @@ def version_schema(current: T.StructType, before: T.StructType | None = None) ->
     return T.StructType([T.StructField(c, t) for c, t in kinds.items() if c not in names] + own)
 
 
-def snapshot_step(open_versions: DataFrame | None, current: DataFrame, key: str,
-                  strategy: str, check_cols: Sequence[str] | None = None,
-                  updated_at: str | None = None, run_ts: str | None = None) -> DataFrame:
-    """New state of the versions that were open: every previously open version
-    (closed when its key changed) plus the versions opened by this run."""
-    if open_versions is None:
-        return first_snapshot(current, key, strategy, updated_at, run_ts)
-    changes = _changes(open_versions, current, key, strategy, check_cols, updated_at, run_ts)
-    schema = version_schema(current.schema, open_versions.schema)
-    return _closed(open_versions, changes, key, schema).unionByName(_opened(changes, key, schema))
-
-
 def history_from_log(log: DataFrame, key: str, updated_at: str, seq: str | None = None
                      ) -> DataFrame:
     """All versions in one pass from a log of row states (H3), with the result of

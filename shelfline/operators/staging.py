@@ -95,8 +95,3 @@ STAGING = {
     "stg_payments": ("raw_payments", stg_payments),
     "stg_inventory_events": ("raw_inventory_events", stg_inventory_events),
 }
-
-
-def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven staging views from the raw tables (lazy)."""
-    return {name: fn(raw[src]) for name, (src, fn) in STAGING.items()}

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from .schemas import CATEGORY_TARGETS, RAW_SCHEMAS, conform
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
-                 "lineitem", "events")
-
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -169,11 +166,6 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven raw tables as lazy DataFrames over the driver tables."""
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
-
-
 # ---------------------------------------------------------------- seeds ----
 
 def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,20 @@ def test_suite_counts():
     assert {t: tests.count(t) for t in set(tests)} == {
         "unique": 25, "not_null": 31, "accepted_values": 6, "relationships": 6,
         "accepted_range": 5, "row_count": 1}
+
+
+def test_counts_come_from_the_footers(spark, workdir):
+    import os
+
+    from conftest import explain
+    from shelfline.operators.quality import footer_counts
+    sizes = {"a": 0, "b": 1, "c": 70_000}
+    paths = {n: os.path.join(workdir, n) for n in sizes}
+    for n, k in sizes.items():
+        spark.range(k).selectExpr("id", "id % 7 AS x").repartition(3).write.parquet(paths[n])
+    was = spark.conf.get("spark.sql.sources.useV1SourceList")
+    got = footer_counts(spark, paths)
+    assert {r.tbl: r.row_count for r in got.collect()} == sizes
+    plan = explain(got)
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 3
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == was       # the caller's session is as it was
