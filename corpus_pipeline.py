@@ -14,14 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import mixing, packing, quality, simhash, substrings
-from shelfline.llm.common import col, fresh, read_table, stage
+from shelfline.llm.common import fresh, read_table, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps."""
-    name, = fresh(docs, "ledger")
-    rows = quality.stored_ledger(docs, name)
-    return rows.where(~quality.fails_policy(col(name)["failed"], quality.DEFAULT_POLICY)).drop(name)
+    return quality.passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

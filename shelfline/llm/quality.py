@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import SPACE, WORD, col, fresh, stage
+from shelfline.llm.common import SPACE, WORD, col, fresh
 
 WINDOW_WORDS = 5
 #: Characters counted as symbols (fixed value).
@@ -36,10 +36,11 @@ RULES = ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_le
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
     "v1": ("few_words", "repeated_windows", "symbols"),
-    "v2": ("few_words", "repeated_windows", "symbols", "word_length", "upper_case"),
+    "v2": ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_length", "upper_case"),
+    "v3": ("few_words", "repeated_windows", "symbols", "word_length", "upper_case"),
     "strict": ("few_words", "repeated_windows", "duplicate_lines", "symbols", "word_length", "upper_case"),
 }
-DEFAULT_POLICY = "v2"
+DEFAULT_POLICY = "v3"
 
 
 @dataclass(frozen=True)
@@ -129,11 +130,14 @@ def ledger(docs: DataFrame, text_col: str = "text", out_col: str = "ledger",
     return step.select(*keep, F.struct(*[v.alias(k) for k, v in x.items()], failed.alias("failed")).alias(out_col))
 
 
-def stored_ledger(docs: DataFrame, out_col: str = "ledger") -> DataFrame:
-    """The ledger as a written table: what policies are applied to. (A filter on
-    an unwritten ledger would be moved below the measurements by the optimizer,
-    which then evaluates them anew for each use.)"""
-    return stage(ledger(docs, out_col=out_col), "quality-ledger")
+def passing(docs: DataFrame, policy: tuple[str, ...] | str = DEFAULT_POLICY) -> DataFrame:
+    """The rows of ``docs`` that the policy keeps. The optimizer would move the
+    filter below the measurements and evaluate them anew for each use; a column
+    that is not a function of the row holds it above them."""
+    name, number = fresh(docs, "__ledger", "__number")
+    rows = ledger(docs, out_col=name).withColumn(number, F.monotonically_increasing_id())
+    good = ~fails_policy(col(name)["failed"], policy) & (col(number) >= 0)
+    return rows.where(good).select(*[col(c) for c in docs.columns])
 
 
 def fails_policy(failed: Column, policy: tuple[str, ...] | str) -> Column:

@@ -31,6 +31,7 @@ extra columns cannot clash.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +40,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import col, fresh, stage
+from shelfline.llm.common import col, fresh, release, stage
 
 WINDOW = 35
 GRAM = 6
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 ROWS = 2            # rows of the sketch
 CELLS_PER_ANCHOR = 8
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd multipliers of the rolling hashes
@@ -153,7 +155,7 @@ _RESULT = ("key", "key2", "n_words", "n_removed", "kept_sha256", "kept")
 def removals(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row a distinct text (key, key2 as text_key() gives them): n_words,
     n_removed, kept_sha256 (of the kept words joined by a space) and ``kept``,
-    those words, where something was removed (else null)."""
+    the text without the removed words, where there are any (else null)."""
     a, b = text_key(col(text_col))
     slim = docs.select(F.coalesce(col(text_col), F.lit("")).alias("text"), a.alias("key"), b.alias("key2"))
     texts = slim.groupBy("key", "key2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
@@ -189,6 +191,8 @@ def removals(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> D
                     ["key", "key2", "copies", "n_words", "n_removed", "kept_sha256", "kept", "text", "runs"])
 
     judged = stage(texts.select("key", "key2", "text", "copies", "dead").mapInArrow(judge, _JUDGED), "substr-texts")
+    del slim, texts
+    release(docs.sparkSession)      # the first pass is spent
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +217,8 @@ def removals(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> D
         for batch in batches:
             rows = []
             for row in zip(*(batch[c] for c in ("text", "runs", "alone")), strict=True):
-                words = row[0].as_py().encode().split()
+                text = row[0].as_py().encode()
+                words = text.split()
                 starts = np.zeros(len(words), bool)
                 starts[_between(row[1].values.to_numpy())] = True
                 if row[2].is_valid:
@@ -222,7 +227,7 @@ def removals(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> D
                 gone = ends - np.concatenate([np.zeros(min(window, len(ends)), np.int64), ends[:-window]]) > 0
                 kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
                 n = int(gone.sum())
-                rows.append((n, hashlib.sha256(kept).hexdigest(), kept.decode() if n else None))
+                rows.append((n, hashlib.sha256(kept).hexdigest(), _left(text, gone).decode() if n else None))
             n, sha, kept = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["key"], batch["key2"], batch["n_words"], pa.array(n, pa.int64()), pa.array(sha, pa.string()),
@@ -232,6 +237,21 @@ def removals(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> D
     return judged.where("n_removed is not null").select(*_RESULT).unionAll(removed)
 
 
+def _left(text: bytes, gone: np.ndarray) -> bytes:
+    """The text without the words that are gone: what is kept in a row stays as it
+    was written; where words went, a line break is left if one stood there, else a
+    space."""
+    at = [m.span() for m in _WORDS.finditer(text)]
+    edges = _runs(~gone)
+    parts, end = [], 0
+    for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        if parts:
+            parts.append(b"\n" if b"\n" in text[end:at[s][0]] else b" ")
+        end = at[e - 1][1]
+        parts.append(text[at[s][0]:end])
+    return b"".join(parts)
+
+
 def _between(runs: np.ndarray) -> np.ndarray:
     """All positions of the runs given by alternating starts and ends."""
     s, n = runs[::2].astype(np.int64), (runs[1::2] - runs[::2]).astype(np.int64)
@@ -248,14 +268,14 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated passages removed; texts that lose nothing stay as
     they are, and so do the other columns."""
-    k1, k2, n = fresh(docs, "__key", "__key2", "__removed")
+    k1, k2, kept, was = fresh(docs, "__key", "__key2", "__kept", "__was")
     a, b = text_key(col("text"))
     gone = removals(docs, window=window).where("n_removed > 0").select(
-        F.col("key").alias(k1), F.col("key2").alias(k2), F.col("n_removed").alias(n), F.col("kept").alias("__kept"))
+        F.col("key").alias(k1), F.col("key2").alias(k2), F.col("kept").alias(kept))
     rows = docs.withColumns({k1: a, k2: b}).select(*[col(c) for c in docs.columns if c != "text"],
-                                                   col("text").alias("__was"), col(k1), col(k2))
+                                                   col("text").alias(was), col(k1), col(k2))
     joined = rows.join(gone, [k1, k2], "left")
-    return joined.select(*[F.coalesce("__kept", "__was").alias("text") if c == "text" else col(c) for c in docs.columns])
+    return joined.select(*[F.coalesce(col(kept), col(was)).alias("text") if c == "text" else col(c) for c in docs.columns])
 
 
 SUBSTRINGS_SQL = r"""

@@ -61,10 +61,17 @@ def test_policies_and_ablations(spark):
             assert r.n_only_this_rule == sum(x & mask == b for x in bits)
 
 
-def test_filter_on_stored_ledger(docs_of):
-    docs = docs_of([(1, "few words"), (2, " ".join(f"word{i}" for i in range(40)))])
-    kept = quality.stored_ledger(docs).where(~quality.fails_policy(F.col("ledger.failed"), "v2"))
-    assert [r.doc_id for r in kept.collect()] == [2]
+def test_passing_measures_once(docs_of):
+    docs = docs_of([(1, "few words"), (2, " ".join(f"word{i}" for i in range(40))), (None, None), (3, "")], extra=("__ledger", "__number"))
+    kept = quality.passing(docs)
+    assert [r.doc_id for r in kept.collect()] == [2] and kept.columns == docs.columns
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+
+
+def test_versions_of_the_policy_stay():
+    mask = {k: quality.policy_mask(k) for k in quality.POLICIES}
+    assert mask == {"base": 3, "v1": 11, "v2": 63, "v3": 59, "strict": 63} and quality.DEFAULT_POLICY == "v3"
 
 
 def test_oracle(spark):

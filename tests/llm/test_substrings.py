@@ -68,4 +68,16 @@ def test_documents_without_repeats(docs_of):
     docs = docs_of(rows, extra=("__key",))
     got = substrings.without_repeats(docs)
     assert got.columns == docs.columns
-    assert {r.doc_id: r.text for r in got.collect()} == {1: "first end", 2: "second", 3: " kept \n as it is ", 4: None}
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "first\nend", 2: "second", 3: " kept \n as it is ", 4: None}
+
+
+def test_pipeline_form_keeps_lines_and_columns(docs_of):
+    """What stays is as it was written, whatever the columns are called."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, f"title  one\n\nfirst line\tof it\n{passage}\nlast  line\n"), (2, f"a {passage} b"), (3, passage), (4, None), (5, "x\n  y"),
+            (6, f"{passage} end"), (7, f"head\n{passage}")]
+    docs = docs_of(rows, extra=("__kept", "__was", "__key", "__removed"))
+    got = substrings.without_repeats(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "title  one\n\nfirst line\tof it\nlast  line", 2: "a b", 3: "", 4: None, 5: "x\n  y",
+                                                          6: "end", 7: "head"}
