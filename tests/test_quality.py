@@ -91,3 +91,35 @@ def test_counts_come_from_the_footers(spark, workdir):
     plan = explain(got)
     assert plan.count("PushedAggregation: [COUNT(*)]") == 3
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == was       # the caller's session is as it was
+
+
+def test_unique_strings_are_grouped_by_their_hashes_first(spark, workdir):
+    # a column without a repeated hash is done with that; the others are counted by value, NULL passes
+    rows = [("a", "x", 1), ("b", "x", 1), ("c", "y", 2), ("d", "y", 3), (None, None, None), (None, "z", None)]
+    df = spark.createDataFrame(rows, "k string, v string, n bigint")
+    checks = [Q.Check("t", c, "unique") for c in ("k", "v", "n")]
+    assert Q.repeated_hashes({"k": (df, "k"), "v": (df, "v"), "none": (df.where("false"), "k")}) == {"v"}
+    out = Q.run_suite({"t": df}, checks, singular=False)
+    assert {(r["column_name"], r["failures"], r["passed"]) for r in out.collect()} == {("k", 0, True), ("v", 2, False), ("n", 1, False)}
+    assert Q.run_suite({"t": df.where("false")}, checks, singular=False).where("passed").count() == 3
+
+
+def test_ids_made_of_other_columns_are_not_shuffled(spark, workdir):
+    import glob
+
+    from shelfline.operators import marts
+    from shelfline.operators.scd2 import HistoryTable
+    from shelfline.plans.writers import write_table
+
+    df = spark.range(50).selectExpr("id AS order_id", "id % 7 AS store_id", "cast(id AS timestamp) AS updated_at")
+    write_table(df, f"{workdir}/t", cluster_by=("store_id",), tiebreak="order_id",
+                finish=lambda d: d.select(marts.surrogate_key("order_id").alias("order_sk"), "order_id", "store_id"))
+    got = spark.read.parquet(f"{workdir}/t")
+    want = df.select(marts.surrogate_key("order_id").alias("order_sk"), "order_id", "store_id")
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    h = HistoryTable(spark, f"{workdir}/h", "order_id", "timestamp", updated_at="updated_at")
+    h.run(df)
+    assert h.read().count() == 50 and h.read().select("scd_id").distinct().count() == 50
+    for folder in ("t", "h"):
+        files = glob.glob(f"{workdir}/{folder}/**/*.parquet", recursive=True)
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
