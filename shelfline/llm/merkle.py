@@ -28,34 +28,43 @@ FANOUT = 16
 
 
 def warc_records(pages: DataFrame, per_archive: int = 1000) -> DataFrame:
-    """(archive, offset, length, record): a WARC response record for each page,
-    ``per_archive`` pages by id in an archive, in order of id, url and content.
-    Offsets follow from the lengths before a record in its archive."""
-    from pyspark.sql import Window
-
+    """(archive, page_id, length, record): a WARC response record for each page,
+    ``per_archive`` pages by id in an archive."""
     body = F.encode(F.coalesce(col("html"), F.lit("")), "UTF-8")
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce(col("url"), F.lit("")),
                     F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
     record = F.concat(F.encode(head, "UTF-8"), body, F.lit("\r\n\r\n").cast("binary"))
     rows = pages.select(F.floor(col("page_id") / per_archive).cast("long").alias("archive"), col("page_id").alias("page_id"),
-                        F.sha2(record, 256).alias("digest"), record.alias("record"))
-    rows = rows.withColumn("length", F.octet_length("record").cast("long"))
+                        record.alias("record"))
+    return rows.select("archive", "page_id", F.octet_length("record").cast("long").alias("length"), "record")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """(archive, page_id, length, digest, ...) with the offset of each record, in
+    order of id, url and content: the lengths before it in its archive. Rows are
+    sorted here, so they hold digests and no records."""
+    from pyspark.sql import Window
+
     before = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "digest").rowsBetween(
         Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(
-        "archive", "offset", "length", "record")
+    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 
 
 def _leaf() -> Column:
     return F.sha2(F.concat_ws("|", F.col("offset").cast("string"), F.col("length").cast("string"),
-                              F.coalesce(F.sha2(F.col("record"), 256), F.lit("null"))), 256)
+                              F.coalesce(F.col("digest"), F.lit("null"))), 256)
+
+
+def digests(records: DataFrame) -> DataFrame:
+    """(archive, offset, length, digest) of (archive, offset, length, record)."""
+    return records.select(col("archive"), col("offset"), col("length"), F.sha2(col("record"), 256).alias("digest"))
 
 
-def leaves(records: DataFrame) -> DataFrame:
+def leaves(digested: DataFrame) -> DataFrame:
     """(archive, offset, n, hash): one row an offset."""
     h = _leaf()
     part = [F.sum(F.conv(F.substring(h, 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)")).cast("string") for i in range(5)]
-    return records.select(col("archive"), col("offset"), col("length"), col("record")).groupBy("archive", "offset").agg(
+    return digested.groupBy("archive", "offset").agg(
         F.count(F.lit(1)).alias("n"), F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), *part), 256).alias("hash"))
 
 
@@ -87,6 +96,11 @@ def _differing(rows: DataFrame, keys: list[str]) -> DataFrame:
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """archive, offset and state (``changed``, ``missing`` in the second replica,
     or ``extra`` there) of every record in which the replicas differ."""
+    return audit_digests(digests(first), digests(second))
+
+
+def audit_digests(first: DataFrame, second: DataFrame) -> DataFrame:
+    """``audit`` of replicas whose records are hashed already (see ``digests``)."""
     leaf = stage(leaves(first).withColumn("replica", F.lit(0)).unionByName(leaves(second).withColumn("replica", F.lit(1))),
                  "merkle-leaves")
     most = leaf.agg(F.max(F.abs("offset"))).first()[0] or 0
@@ -108,19 +122,22 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     return found.select("archive", "offset", state.alias("state"))
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A second replica in which some records have rotted, by their digest: the
-    last byte of one in 97 is overwritten, and one in 101 is gone."""
-    draw = F.conv(F.substring(F.sha2(F.col("record"), 256), 1, 12), 16, 10).cast("long")
+def damaged() -> Column:
+    """A record in a second replica in which some have rotted, by the digest: the
+    last byte of one in 97 is overwritten, and one in 101 is gone (null)."""
+    draw = F.conv(F.substring(F.col("digest"), 1, 12), 16, 10).cast("long")
     cut = F.concat(F.expr("substring(record, 1, length - 1)"), F.lit("X").cast("binary"))
-    rows = records.withColumn("draw", draw).where("draw % 101 <> 0")
-    return rows.withColumn("record", F.when(F.col("draw") % 97 == 0, cut).otherwise(F.col("record"))).drop("draw")
+    return F.when(draw % 101 != 0, F.when(draw % 97 == 0, cut).otherwise(F.col("record")))
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """The audit of a sound and a damaged replica of the pages' archives."""
-    records = warc_records(pages)
-    return audit(records, damaged(records))
+    """The audit of a sound and a damaged replica of the pages' archives. Records
+    are hashed where they are read; from there on only digests move."""
+    hashed = warc_records(pages).withColumn("digest", F.sha2("record", 256)).withColumn("second", F.sha2(damaged(), 256))
+    rows = stage(placed(hashed.drop("record")), "merkle-records")
+    first = rows.select("archive", "offset", "length", "digest")
+    second = rows.where("second is not null").select("archive", "offset", "length", F.col("second").alias("digest"))
+    return audit_digests(first, second)
 
 
 MERKLE_SQL = r"""
