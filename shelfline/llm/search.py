@@ -7,18 +7,20 @@ with the largest score of every term in every block. For a query, the sum of a
 block's maxima bounds every document in it. Blocks are taken in order of that
 bound; the pivot is the first block whose bound does not exceed the k-th best
 score so far, and everything from there on is skipped unread. What is left is
-scored in full, so the result is exact, and the shards' best ``k`` are merged by
-score. This is not WAND: no list is stepped through by its current document, and
+scored in full, so the result is exact. A task keeps the best ``k`` of each query
+over its shards, so that the pivot of a shard counts what the earlier ones found;
+the tasks' best are merged by score. This is not WAND: no list is stepped through by its current document, and
 no pivot term is chosen; whole blocks suit array operations. Document frequencies, the number of documents and their mean length are
 global, so scores do not depend on the shards.
 
 Queries are given to the tasks in blocks of at most ``QUERIES`` (a bound on what
 is broadcast); the corpus is read once a block for the frequencies of its terms
-and once for the search.
+(and the documents' number and length) and once for the search.
 
 Terms are words lower-cased A-Z without punctuation at their ends. A query is a
 whole text: its distinct terms, each counted once. Within a shard, documents
-are ordered by length, so that blocks hold alike documents and bounds are near.
+are ordered by which of its ``COMMON`` commonest terms they hold, then by length,
+so that blocks hold alike documents and bounds are near.
 
 Defined results: null or empty texts are documents without terms, found by no
 query; a query without terms has no result; only documents with a score above 0
@@ -40,39 +42,62 @@ from shelfline.llm.common import col, stage
 
 K = 10
 K1, B = 1.2, 0.75
-BLOCK = 32              # documents of a block
+BLOCK = 64              # documents of a block
+COMMON = 12             # terms by which documents are put side by side
 QUERIES = 4096          # queries of a broadcast block
 QUERY_EVERY = 100       # queries are the rows whose id it divides
 _ENDS = ".,;:!?\"'()[]{}<>*#"
 _SLICE = 12 << 20       # bytes of text of a shard
+_DOCS, _WORDS = -1, -2  # numbers counted along with the frequencies of terms
 
 
-def _terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Term hashes of all texts (0 for words of punctuation only) and offsets."""
+def _terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts as places in a list of term hashes (0 for words of
+    punctuation only), offsets by text, and that list; it may repeat a term."""
     codes, offsets, names = W.split(text)
     clean = [w.strip(_ENDS).encode().lower() for w in names]
-    each = np.array([W.xxhash.xxh64_intdigest(w) | 1 if w else 0 for w in clean], np.uint64)
-    return each[codes] if len(each) else np.zeros(0, np.uint64), offsets
+    return codes, offsets, np.array([W.xxhash.xxh64_intdigest(w) | 1 if w else 0 for w in clean], np.uint64)
+
+
+def _places(each: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each term in ``wanted`` (sorted), -1 if it is not there."""
+    place = np.searchsorted(wanted, each)
+    place[place == len(wanted)] = 0
+    return np.where(wanted[place] == each, place, -1) if len(wanted) else np.full(len(each), -1)
+
+
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of ``n`` numbers from ``start`` on, one after the other."""
+    start, n = start[n > 0], n[n > 0]
+    if not len(n):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(n)
+    out = np.ones(ends[-1], np.int64)
+    out[0] = start[0]
+    out[ends[:-1]] = start[1:] - start[:-1] - n[:-1] + 1
+    return np.cumsum(out)
 
 
 class Shard:
     """Inverted index of some documents; impacts need the global statistics."""
 
-    def __init__(self, terms: np.ndarray, offsets: np.ndarray, wanted: np.ndarray, idf: np.ndarray, mean: float):
+    def __init__(self, codes: np.ndarray, offsets: np.ndarray, each: np.ndarray, wanted: np.ndarray, idf: np.ndarray, mean: float):
         size = np.diff(offsets)
         doc = np.repeat(np.arange(len(size)), size)
-        real = terms != 0
-        size = np.bincount(doc[real], minlength=len(size))
-        self.order = np.argsort(size, kind="stable")          # documents by length
+        size = np.bincount(doc[(each != 0)[codes]], minlength=len(size))
+        place = _places(each, wanted)[codes]
+        real = place >= 0
+        key, tf = np.unique(place[real].astype(np.int64) * len(size) + doc[real], return_counts=True)
+        term, doc = np.divmod(key, max(1, len(size)))
+        # documents with the same of the commonest terms side by side (of a language, mostly), by length
+        bit = np.zeros(len(wanted), np.int64)
+        common = np.argsort(-np.bincount(term, minlength=len(wanted)), kind="stable")[:COMMON]
+        bit[common] = 1 << np.arange(len(common))[::-1]
+        self.order = np.lexsort((size, np.bincount(doc, bit[term], len(size))))
         at = np.empty(len(size), np.int64)
         at[self.order] = np.arange(len(size))
-        place = np.searchsorted(wanted, terms)
-        place[place == len(wanted)] = 0
-        real &= wanted[place] == terms if len(wanted) else False
-        key = place[real].astype(np.int64) * len(size) + at[doc[real]]
-        key, tf = np.unique(key, return_counts=True)          # by term, then document
-        self.doc = (key % max(1, len(size))).astype(np.int64)
-        term = key // max(1, len(size))
+        by = np.argsort(term * len(size) + at[doc])           # by term, then document
+        self.doc, term, tf = at[doc[by]], term[by], tf[by]
         long = K1 * (1 - B + B * size[self.order][self.doc] / mean) if mean else np.ones(len(key))
         self.score = idf[term] * tf * (K1 + 1) / (tf + long)
         block = term * (len(size) // BLOCK + 1) + self.doc // BLOCK
@@ -83,35 +108,36 @@ class Shard:
         self.of_term = np.searchsorted(term[self.start], np.arange(len(wanted) + 1))
         self.n, self.n_blocks = len(size), len(size) // BLOCK + 1
 
-    def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) of the best k, ties at the k-th place included."""
-        lists = np.concatenate([np.arange(self.of_term[t], self.of_term[t + 1]) for t in query]) if len(query) else query
-        block = self.block[lists]
-        bound = np.bincount(block, self.most[lists], self.n_blocks)
-        by_block = np.argsort(block, kind="stable")
-        lists, edge = lists[by_block], np.searchsorted(block[by_block], np.arange(self.n_blocks + 1))
+    def top(self, query: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, scores) of the best k, ties at the k-th place included, of
+        those that reach ``least``."""
+        floor = max(least, 1e-300)
+        lists = _spread(self.of_term[query], self.of_term[query + 1] - self.of_term[query])
+        block = self.block.take(lists)
+        bound = np.bincount(block, self.most.take(lists), self.n_blocks) * (1 + 1e-9)    # room for rounding
         turn = np.argsort(-bound, kind="stable")
-        scores, least, at, step = np.zeros(self.n), 0.0, 0, 2
+        scores, least, at, step = np.zeros(self.n), floor, 0, 8
         seen = np.zeros(0, np.int64)
         while at < len(turn):
-            # the pivot: blocks from here on cannot reach the k-th best (with room for rounding)
+            # the pivot: blocks from here on cannot reach the k-th best
             now = turn[at:at + step]
-            now = now[bound[now] * (1 + 1e-9) >= max(least, 1e-300)]
+            now = now[bound[now] >= least]
             if not len(now):
                 break
-            own = np.concatenate([lists[edge[b]:edge[b + 1]] for b in now])
-            n = self.end[own] - self.start[own]
-            post = np.arange(n.sum()) + np.repeat(self.start[own] - (np.cumsum(n) - n), n)
-            order = np.argsort(post, kind="stable")    # a document's terms in one order, so that sums agree
-            np.add.at(scores, self.doc[post[order]], self.score[post[order]])
+            taken = np.zeros(self.n_blocks, bool)
+            taken[now] = True
+            own = lists.compress(taken.take(block))    # a document's terms in one order, so that sums agree
+            start = self.start.take(own)
+            post = _spread(start, self.end.take(own) - start)
+            scores += np.bincount(self.doc.take(post), self.score.take(post), self.n)
             seen = np.concatenate([seen, (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
             seen = seen[seen < self.n]
             if len(seen) > k:
-                seen = seen[scores[seen] >= np.partition(scores[seen], -k)[-k]]
-                least = scores[seen].min()
+                least = max(floor, np.partition(scores[seen], -k)[-k])
+                seen = seen[scores[seen] >= least]
             at += step
-            step *= 2
-        seen = seen[scores[seen] > 0]
+            step *= 8
+        seen = seen[scores[seen] >= floor]
         return self.order[seen], scores[seen]
 
 
@@ -124,19 +150,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "doc_i
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, offsets = _terms(batch["text"])
+            codes, offsets, each = _terms(batch["text"])
+            terms = each[codes]
             own = [np.unique(terms[s:e][terms[s:e] != 0]).view(np.int64) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["query"], pa.array(own, pa.list_(pa.int64()))], ["query", "terms"])
 
-    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in W.slices(batch, limit=_SLICE):
-                terms, _ = _terms(part["text"])
-                yield pa.RecordBatch.from_arrays([pa.array([part.num_rows]), pa.array([int((terms != 0).sum())])], ["n", "words"])
-
-    n_docs, n_words = rows.select("text").mapInArrow(lengths, "n long, words long").agg(F.sum("n"), F.sum("words")).first()
-    n_docs = n_docs or 0
-    mean = (n_words or 0) / max(n_docs, 1)
     total = asked.count()
     n_blocks = max(1, -(-total // QUERIES))
     found = None
@@ -144,58 +162,68 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "doc_i
         mine = asked.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == b)
         block = mine.select("query", "text").mapInArrow(terms_of, "query long, terms array<long>").collect()  # one block
         wanted = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.array(r.terms, np.int64) for r in block]]).view(np.uint64))
-        one = _best(spark, rows, block, wanted, n_docs, mean, k).join(mine.select("query", "query_id"), "query")
+        one = _best(spark, rows, block, wanted, k)
         found = one if found is None else found.unionAll(one)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "hash")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = best.join(asked.select("query", "query_id"), "query")    # k rows a query
     return best.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
-def _best(spark, rows: DataFrame, block: list, wanted: np.ndarray, n_docs: int, mean: float, k: int) -> DataFrame:
-    """The best k of every shard for each query of a block."""
+def _best(spark, rows: DataFrame, block: list, wanted: np.ndarray, k: int) -> DataFrame:
+    """The best k of every task for each query of a block."""
     given = spark.sparkContext.broadcast(wanted)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = given.value
+        df, n_docs, n_words = np.zeros(len(wanted), np.int64), 0, 0
         for batch in batches:
             for part in W.slices(batch, limit=_SLICE):
-                terms, offsets = _terms(part["text"])
-                place = np.minimum(np.searchsorted(wanted, terms), max(0, len(wanted) - 1))
-                hit = wanted[place] == terms if len(wanted) else np.zeros(len(terms), bool)
+                codes, offsets, each = _terms(part["text"])
+                n_docs += part.num_rows
+                n_words += int((each != 0)[codes].sum())
+                place = _places(each, wanted)[codes]
                 doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                pair = np.unique(place[hit].astype(np.int64) * len(offsets) + doc[hit])
-                term, n = np.unique(pair // len(offsets), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
-
-    df = np.zeros(len(wanted))
+                pair = np.unique((doc * len(wanted) + place)[place >= 0])
+                if len(pair):
+                    df += np.bincount(pair % len(wanted), minlength=len(wanted))
+        term = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([term, [_DOCS, _WORDS]])),
+                                          pa.array(np.concatenate([df[term], [n_docs, n_words]]))], ["term", "n"])
+
+    df, counts = np.zeros(len(wanted)), {_DOCS: 0, _WORDS: 0}
     for r in rows.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        df[r.term] = r.n                    # as many as the block has terms
-    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
+        if r.term < 0:
+            counts[r.term] = r.n
+        else:
+            df[r.term] = r.n                # as many as the block has terms
+    idf = np.log1p((counts[_DOCS] - df + 0.5) / (df + 0.5))
+    mean = counts[_WORDS] / max(counts[_DOCS], 1)
     plan = spark.sparkContext.broadcast((wanted, idf, [
         (r.query, np.searchsorted(wanted, np.array(r.terms, np.int64).view(np.uint64))) for r in block]))
     keyed = rows.withColumn("hash", F.xxhash64("text"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, idf, asked = plan.value
+        best = [[] for _ in asked]          # the best k so far: (-score, id is null, id, hash)
+        kind = None
         for batch in batches:
+            kind = batch["doc_id"].type
             for part in W.slices(batch, limit=_SLICE):
-                terms, offsets = _terms(part["text"])
-                shard = Shard(terms, offsets, wanted, idf, mean)
-                q, d, s = [], [], []
-                for query, own in asked:
-                    docs, scores = shard.top(own, k)
-                    if len(docs) > k:       # ties at the k-th place: no more than k can matter
-                        ids = part["doc_id"].take(pa.array(docs)).to_pylist()
-                        h = part["hash"].take(pa.array(docs)).to_pylist()
-                        pick = sorted(range(len(docs)), key=lambda i: (-scores[i], ids[i] is None, ids[i] or 0, h[i]))[:k]
-                        docs, scores = docs[pick], scores[pick]
-                    q.append(np.full(len(docs), query))
-                    d.append(docs)
-                    s.append(scores)
-                none = np.zeros(0, np.int64)
-                at = pa.array(np.concatenate([none, *d]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *q])), part["doc_id"].take(at), part["hash"].take(at),
-                                                  pa.array(np.concatenate([none.astype(float), *s]))], ["query", "doc_id", "hash", "score"])
+                shard = Shard(*_terms(part["text"]), wanted, idf, mean)
+                hits = [shard.top(own, k, -held[k - 1][0] if len(held) >= k else 0.0) for held, (_, own) in zip(best, asked, strict=True)]
+                at = pa.array(np.concatenate([np.zeros(0, np.int64), *[docs for docs, _ in hits]]))
+                found = zip(part["doc_id"].take(at).to_pylist(), part["hash"].take(at).to_pylist(), strict=True)
+                for i, (_, scores) in enumerate(hits):
+                    if len(scores):
+                        more = [(-s, d is None, d or 0, h) for s, (d, h) in zip(scores.tolist(), found, strict=False)]
+                        best[i] = sorted(best[i] + more)[:k]
+        rows = [(query, *hit) for (query, _), held in zip(asked, best, strict=True) for hit in held]
+        if rows:
+            query, score, null, ids, h = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query, pa.int64()), pa.array([None if x else d for d, x in zip(ids, null, strict=True)], kind),
+                 pa.array(h, pa.int64()), pa.array([-s for s in score], pa.float64())], ["query", "doc_id", "hash", "score"])
 
     schema = keyed.select(F.lit(0).cast("long").alias("query"), "doc_id", "hash", F.lit(0.0).alias("score")).schema
     return keyed.select("doc_id", "text", "hash").mapInArrow(shards, schema)

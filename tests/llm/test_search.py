@@ -62,3 +62,17 @@ def test_edges(docs_of):
     docs = docs_of(rows, extra=("hash", "query"))
     check(search.report(docs), rows, [r for r in rows if r[0] is not None and r[0] % 100 == 0])
     assert search.report(docs_of([])).collect() == []
+
+
+def test_best_of_a_task_not_of_each_shard(spark, monkeypatch):
+    # every shard gave its best k of each query once, and ids were joined to all of these
+    monkeypatch.setattr(search, "_SLICE", 4096)
+    made = []
+    best = search._best
+    monkeypatch.setattr(search, "_best", lambda *a: made.append(best(*a)) or made[-1])
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").repartition(2)
+    rows = [tuple(r) for r in docs.collect()]
+    found = search.search(docs, docs.where("doc_id % 20 = 0"), k=3)
+    check(found, rows, [r for r in rows if r[0] % 20 == 0], 3)
+    per_task = made[0].groupBy("query").count().collect()
+    assert per_task and max(r["count"] for r in per_task) <= 2 * 3
