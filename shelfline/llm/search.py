@@ -44,10 +44,12 @@ K = 10
 K1, B = 1.2, 0.75
 BLOCK = 64              # documents of a block
 COMMON = 12             # terms by which documents are put side by side
+DENSE = 1 / 8           # share of all documents from which on a term's scores are kept as a row of all documents
+_ROWS = 1024            # such terms at most
 QUERIES = 4096          # queries of a broadcast block
 QUERY_EVERY = 100       # queries are the rows whose id it divides
 _ENDS = ".,;:!?\"'()[]{}<>*#"
-_SLICE = 12 << 20       # bytes of text of a shard
+_SLICE = 16 << 20       # bytes of text of a shard
 _DOCS, _WORDS = -1, -2  # numbers counted along with the frequencies of terms
 
 
@@ -81,7 +83,8 @@ def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 class Shard:
     """Inverted index of some documents; impacts need the global statistics."""
 
-    def __init__(self, codes: np.ndarray, offsets: np.ndarray, each: np.ndarray, wanted: np.ndarray, idf: np.ndarray, mean: float):
+    def __init__(self, codes: np.ndarray, offsets: np.ndarray, each: np.ndarray, wanted: np.ndarray, idf: np.ndarray, mean: float,
+                 dense: np.ndarray | None = None):
         size = np.diff(offsets)
         doc = np.repeat(np.arange(len(size)), size)
         size = np.bincount(doc[(each != 0)[codes]], minlength=len(size))
@@ -107,6 +110,13 @@ class Shard:
         self.block = self.doc[self.start] // BLOCK
         self.of_term = np.searchsorted(term[self.start], np.arange(len(wanted) + 1))
         self.n, self.n_blocks = len(size), len(size) // BLOCK + 1
+        # the commonest terms of the corpus (the same in every shard): term to row or -1, scores by block and document
+        self.row = np.full(len(wanted), -1)
+        dense = np.zeros(0, np.int64) if dense is None else dense
+        self.row[dense] = np.arange(len(dense))
+        self.rows = np.zeros((len(dense), self.n_blocks, BLOCK))
+        some = self.row[term] >= 0
+        self.rows.reshape(len(dense), self.n_blocks * BLOCK)[self.row[term[some]], self.doc[some]] = self.score[some]
 
     def top(self, query: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) of the best k, ties at the k-th place included, of
@@ -114,9 +124,13 @@ class Shard:
         floor = max(least, 1e-300)
         lists = _spread(self.of_term[query], self.of_term[query + 1] - self.of_term[query])
         block = self.block.take(lists)
+        rows = self.row[query]
+        sparse = np.repeat(rows < 0, self.of_term[query + 1] - self.of_term[query])
+        rows = rows[rows >= 0]
         bound = np.bincount(block, self.most.take(lists), self.n_blocks) * (1 + 1e-9)    # room for rounding
+        lists, block = lists[sparse], block[sparse]
         turn = np.argsort(-bound, kind="stable")
-        scores, least, at, step = np.zeros(self.n), floor, 0, 8
+        scores, least, at, step = np.zeros(self.n_blocks * BLOCK), floor, 0, 8
         seen = np.zeros(0, np.int64)
         while at < len(turn):
             # the pivot: blocks from here on cannot reach the k-th best
@@ -129,7 +143,9 @@ class Shard:
             own = lists.compress(taken.take(block))    # a document's terms in one order, so that sums agree
             start = self.start.take(own)
             post = _spread(start, self.end.take(own) - start)
-            scores += np.bincount(self.doc.take(post), self.score.take(post), self.n)
+            scores += np.bincount(self.doc.take(post), self.score.take(post), self.n_blocks * BLOCK)
+            if len(rows):
+                scores.reshape(-1, BLOCK)[now] += self.rows[rows[:, None], now].sum(0)
             seen = np.concatenate([seen, (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
             seen = seen[seen < self.n]
             if len(seen) > k:
@@ -199,18 +215,20 @@ def _best(spark, rows: DataFrame, block: list, wanted: np.ndarray, k: int) -> Da
             df[r.term] = r.n                # as many as the block has terms
     idf = np.log1p((counts[_DOCS] - df + 0.5) / (df + 0.5))
     mean = counts[_WORDS] / max(counts[_DOCS], 1)
-    plan = spark.sparkContext.broadcast((wanted, idf, [
+    dense = np.argsort(-df, kind="stable")[:_ROWS]
+    dense = np.sort(dense[df[dense] >= max(1, DENSE * counts[_DOCS])])
+    plan = spark.sparkContext.broadcast((wanted, idf, dense, [
         (r.query, np.searchsorted(wanted, np.array(r.terms, np.int64).view(np.uint64))) for r in block]))
     keyed = rows.withColumn("hash", F.xxhash64("text"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, idf, asked = plan.value
+        wanted, idf, dense, asked = plan.value
         best = [[] for _ in asked]          # the best k so far: (-score, id is null, id, hash)
         kind = None
         for batch in batches:
             kind = batch["doc_id"].type
             for part in W.slices(batch, limit=_SLICE):
-                shard = Shard(*_terms(part["text"]), wanted, idf, mean)
+                shard = Shard(*_terms(part["text"]), wanted, idf, mean, dense)
                 hits = [shard.top(own, k, -held[k - 1][0] if len(held) >= k else 0.0) for held, (_, own) in zip(best, asked, strict=True)]
                 at = pa.array(np.concatenate([np.zeros(0, np.int64), *[docs for docs, _ in hits]]))
                 found = zip(part["doc_id"].take(at).to_pylist(), part["hash"].take(at).to_pylist(), strict=True)
