@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import col, stage
+from shelfline.llm.common import col, release, stage
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -82,6 +82,13 @@ def _grams(points: np.ndarray, order: int) -> np.ndarray:
     return W.mixed(W.rolling(points + np.uint64(1), order, _BASE))
 
 
+def _coded(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each hash among the different ones (in order of first sight),
+    and these; by a hash table, as there are far fewer of them."""
+    found = pa.array(key).dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False), found.dictionary.to_numpy(zero_copy_only=False)
+
+
 def _distinct(points: np.ndarray, offsets: np.ndarray, mark: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
     """Hash, first end, number and text of the different ``ORDER``-grams inside
     the texts; with ``mark`` (a number for each text) different by mark too."""
@@ -92,8 +99,10 @@ def _distinct(points: np.ndarray, offsets: np.ndarray, mark: np.ndarray | None =
     key = _grams(points, ORDER)[at - ORDER + 1]
     if mark is not None:
         key ^= W.mixed(mark[doc[at]].astype(np.uint64) + np.uint64(7))
-    key, first, n = np.unique(key, return_index=True, return_counts=True)
-    at = at[first]
+    code, key = _coded(key)
+    first = np.flatnonzero(code > np.concatenate([[-1], np.maximum.accumulate(code)[:-1]]))
+    order = np.argsort(key)
+    key, n, at = key[order], np.bincount(code)[order], at[first[order]]
     text = points[at[:, None] + np.arange(1 - ORDER, 1)].astype("<u4").tobytes().decode("utf-32-le")
     return key, at, n, [text[i:i + ORDER] for i in range(0, len(text), ORDER)]
 
@@ -189,11 +198,12 @@ def _entropies(points: np.ndarray, offsets: np.ndarray, key: np.ndarray, f: np.n
     at = np.flatnonzero(np.arange(len(points)) - offsets[doc] >= ORDER - 1)
     total = np.zeros((len(offsets) - 1, f.shape[1]))
     if len(at):
-        place = np.searchsorted(key, wanted := _grams(points, ORDER)[at - ORDER + 1])
+        code, wanted = _coded(_grams(points, ORDER)[at - ORDER + 1])
+        place = np.searchsorted(key, wanted)
         if not len(key) or (key[np.minimum(place, len(key) - 1)] != wanted).any():
             raise ValueError("a gram of the text is missing from its block's list")
         for j in range(f.shape[1]):
-            total[:, j] = np.bincount(doc[at], f[:, j][place], len(total))
+            total[:, j] = np.bincount(doc[at], f[:, j][place][code], len(total))
     return -total / np.maximum(np.bincount(doc[at], minlength=len(total)), 1)[:, None]
 
 
@@ -223,6 +233,7 @@ def fit(labelled: DataFrame) -> Model | None:
             mine = mine.join(seen[-1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("rest")), ["lang", "suffix"])
         p = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("rest")
         seen.append(stage(mine.select("lang", "gram", p.alias("p")), f"langid-order-{k}"))
+    release(labelled.sparkSession)
     return Model(languages, unseen, seen, backoff)
 
 
@@ -286,7 +297,9 @@ def scores(rows: DataFrame, model: Model) -> DataFrame:
     Written."""
     blocks = _blocks(rows, len(model.languages))
     grams = _block_grams(blocks)
-    found = grams.join(model.vectors(grams.select("gram").distinct()), "gram")
+    vectors = stage(model.vectors(grams.select("gram").distinct()), "langid-vectors")
+    release(rows.sparkSession)      # the vectors' joins, before texts and grams are shuffled
+    found = grams.join(vectors, "gram")
     # a block's grams come before its texts
     both = found.select("block", "gram", "f", F.lit(None).cast("binary").alias("body")).unionByName(
         blocks.select("block", F.lit(None).cast("string").alias("gram"), F.lit(None).cast("binary").alias("f"), "body"))

@@ -88,3 +88,28 @@ def test_limits_come_from_all_labelled_texts(docs_of):
     got = {r.doc_id: r for r in language.report(docs_of(rows)).collect()}
     assert [got[5000 + i].lang_pred for i in range(3)] == ["ru"] * 3
     assert got[9000].lang_pred == "und"     # had no limit while no text of ru was in the sample
+
+
+def test_spent_shuffles_are_released(docs_of, monkeypatch):
+    # the joins' shuffles of model and vectors lay on disk while texts and grams were shuffled once
+    done = []
+    stage, release = language.stage, language.release
+    monkeypatch.setattr(language, "stage", lambda df, name: done.append(name) or stage(df, name))
+    monkeypatch.setattr(language, "release", lambda spark: done.append("release") or release(spark, 1))
+    rows = [(i, "the cat sat on the mat and the dog ran", "s", "en") for i in range(8)]
+    assert language.report(docs_of(rows)).count() == 8
+    assert done.index("release") < done.index("langid-blocks")
+    after = done[done.index("langid-vectors"):]
+    assert after.index("release") < after.index("langid-scores")
+
+
+def test_distinct_grams_are_those_of_a_sort():
+    points, offsets = language._points(pa.array(["abab abba baab", "", None, "ab", "abba 12", "щит и щит"]))
+    key, at, n, gram = language._distinct(points, offsets)
+    text = "".join(map(chr, points.tolist()))
+    want = {}
+    for s, e in zip(offsets[:-1], offsets[1:], strict=True):
+        for i in range(s + 4, e):
+            want.setdefault(text[i - 4:i + 1], []).append(i)
+    assert {g: (a, m) for g, a, m in zip(gram, at.tolist(), n.tolist(), strict=True)} == {g: (x[0], len(x)) for g, x in want.items()}
+    assert (key[1:] > key[:-1]).all()
