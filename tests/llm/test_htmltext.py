@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from shelfline.llm import htmltext
@@ -205,3 +207,64 @@ def test_articles_lose_copies_of_the_template_of_their_host(spark):
         assert got[i] == f"{words(i)}\n{shared}"
     assert got[20] == notice and got[21] == f"{words(21)}\n{notice} it says"
     assert got[22] == f"{words(22)}\n{words(-22)}" and got[30] == f"{words(30)}\n{notice}"
+
+
+def test_articles_are_in_the_suffix_arrays():
+    """Substrings of whole pages, in one suffix array or in many, in one round or
+    more, packed and added up: as counted one by one."""
+    rng = random.Random(11)
+    bits = 8
+    for _ in range(10):
+        hosts = [rng.choice("xy") for _ in range(9)]
+        outer, inner = ([[" ".join(rng.choice("abc") for _ in range(rng.randint(1, 20))) for _ in range(rng.randint(0, 2))] for _ in hosts] for _ in range(2))
+        want = {}
+        for h, o, a in zip(hosts, outer, inner):
+            salt = int(htmltext._salt([h]).view(np.int64)[0])
+            out, own = set(htmltext._windows(o).tolist()), set(htmltext._windows(a).tolist())
+            for w in out | own:
+                pages, outside = want.get(w ^ salt, (0, 0))
+                want[w ^ salt] = pages + 1, outside + (w in out)
+        for cut, rounds in ((9, 1), (4, 3), (1, 2)):
+            got = {}
+            for r in range(rounds):
+                rows = []
+                for i in range(0, 9, cut):
+                    page, window, pages, outside = htmltext.shard(hosts[i:i + cut], outer[i:i + cut], inner[i:i + cut], (r, rounds, bits))
+                    rows.append(htmltext.packed(window.view(np.uint64) ^ htmltext._salt(hosts[i:i + cut])[page], pages, outside, bits))
+                rows = pa.Table.from_batches(rows)
+                for b in set(rows["bucket"].to_pylist()):
+                    t = htmltext.added_up(rows.filter(pc.equal(rows["bucket"], b)), bits)
+                    got |= {w: (p, o) for w, p, o in zip(*(t[c].to_pylist() for c in ("window", "pages", "outside")))}
+            assert got == {w: x for w, x in want.items() if x[0] > 1}
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_loose_copies_of_another_article_are_cut(spark, monkeypatch, rounds):
+    monkeypatch.setattr(htmltext, "ROUND_TOKENS", 1 << 22 if rounds == 1 else 1)
+
+    def words(i, n=30):
+        return " ".join(f"a{i}b{j}" for j in range(n))
+    rows = [(i, f"http://h.example/{i}", f"<article><p>{words(i)}</p><p>{words(-i)}</p></article>") for i in range(1, 5)]
+    rows += [(10, "http://h.example/10", f"<div>{words(10)}</div><div>{words(1, 18)}</div>"),     # a teaser of page 1
+             (11, "http://other.example/", f"<div>{words(11)}</div><div>{words(1, 18)}</div>"),    # whose article another host has
+             (12, "http://h.example/12", f"<div>{words(12, 9)}</div><div>{words(2)}</div>")]        # mostly a copy: kept
+    got = {r.page_id: r.text for r in htmltext.extract(pages_of(spark, rows), shard_tokens=50).collect()}
+    assert len(got) == len(rows)
+    for i in range(1, 5):
+        assert got[i] == f"{words(i)}\n{words(-i)}"
+    assert got[10] == words(10) and got[11] == f"{words(11)}\n{words(1, 18)}" and got[12] == f"{words(12, 9)}\n{words(2)}"
+
+
+def test_pages_of_one_text_show_all_their_menus(spark):
+    # two pages come with one menu and with another: neither is lost, and each counts once for a page
+    def words(i, n=30):
+        return " ".join(f"a{i}b{j}" for j in range(n))
+    menus = "home news sport weather travel about contact", "shop cart checkout returns help stores jobs"
+    rare = "printed on the first of this month"
+    rows = [(10 * k + i, "http://h.example/", f"<nav>{m}</nav><article><p>{words(10 * k + i)}</p></article>") for k, m in enumerate(menus) for i in range(3)]
+    rows += [(100 + 10 * k + i, "http://h.example/", f"<nav>{m}</nav><article><p>{words(i + 50)}</p></article>") for k, m in enumerate(menus) for i in range(2)]
+    rows += [(200 + i, "http://h.example/", f"<nav>{rare}</nav><aside>{i}</aside><article><p>{words(60)}</p></article>") for i in range(9)]
+    rows += [(300, "http://h.example/", f"<article><p>{words(300)}</p>" + "".join(f"<p>{x}</p>" for x in (*menus, rare)) + "</article>")]
+    got = {r.page_id: r.text for r in htmltext.report(pages_of(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[300] == f"{words(300)}\n{rare}"
+    assert all(got[200 + i] == words(60) for i in range(9)) and got[100] == got[110] == words(50)
