@@ -1,26 +1,27 @@
-"""Exact top-k search: BM25 over sharded inverted indexes, pruned by block maxima.
+"""Exact top-k search: BM25 over sharded inverted indexes, pruned by bounds on scores.
 
 The corpus is searched where it lies: every task turns its documents into shards
 of a bounded number of words, each with an inverted index (terms to postings
-sorted by document) whose postings are cut into blocks of ``BLOCK`` documents,
-with the largest score of every term in every block. For a query, the sum of a
-block's maxima bounds every document in it. Blocks are taken in order of that
-bound; the pivot is the first block whose bound does not exceed the k-th best
-score so far, and everything from there on is skipped unread. What is left is
-scored in full, so the result is exact. A task keeps the best ``k`` of each query
-over its shards, so that the pivot of a shard counts what the earlier ones found;
-the tasks' best are merged by score. This is not WAND: no list is stepped through by its current document, and
-no pivot term is chosen; whole blocks suit array operations. Document frequencies, the number of documents and their mean length are
-global, so scores do not depend on the shards.
-
-Queries are given to the tasks in blocks of at most ``QUERIES`` (a bound on what
-is broadcast); the corpus is read once a block for the frequencies of its terms
+sorted by document). The terms that a sixteenth of all documents hold are kept as rows
+of scores by document instead. For a query, the postings of its other terms are added
+up in full; what its rows add is a product of matrices, for many queries at once, in
+single precision, which bounds every score from both sides. The largest bound of each
+block of ``BLOCK`` documents is one document's, so the k-th largest of them bounds the
+k-th best score from below; documents that cannot reach it, or the k-th best so far, go
+without a closer look. What is left is scored in full in double precision, so the result is
+exact. A task keeps the best ``k`` of each query over its shards, so that a shard is
+pruned by what the earlier ones found; the tasks' best are merged by score. This is not
+WAND: no list is stepped through by its current document, and none is skipped; whole
+arrays suit array operations. Document frequencies, the number of documents and their
+mean length are global, so scores do not depend on the shards.
+
+Queries are given to the tasks in blocks of at most ``QUERIES`` and about ``TERMS``
+(query, term) pairs, or one longer query (a bound on what is broadcast and on what the
+driver holds); the corpus is read once a block for the frequencies of its terms
 (and the documents' number and length) and once for the search.
 
 Terms are words lower-cased A-Z without punctuation at their ends. A query is a
-whole text: its distinct terms, each counted once. Within a shard, documents
-are ordered by which of its ``COMMON`` commonest terms they hold, then by length,
-so that blocks hold alike documents and bounds are near.
+whole text: its distinct terms, each counted once.
 
 Defined results: null or empty texts are documents without terms, found by no
 query; a query without terms has no result; only documents with a score above 0
@@ -43,22 +44,48 @@ from shelfline.llm.common import col, stage
 K = 10
 K1, B = 1.2, 0.75
 BLOCK = 64              # documents of a block
-COMMON = 12             # terms by which documents are put side by side
-DENSE = 1 / 8           # share of all documents from which on a term's scores are kept as a row of all documents
+DENSE = 1 / 16          # share of all documents from which on a term's scores are kept as a row of all documents
 _ROWS = 1024            # such terms at most
-QUERIES = 4096          # queries of a broadcast block
+QUERIES = 32768         # queries of a broadcast block
+TERMS = 3 << 22         # (query, term) pairs of a block, about
+_CELLS = 1 << 19        # sums by query and document that are made at once
 QUERY_EVERY = 100       # queries are the rows whose id it divides
+_ROOM = 1 + 1e-4        # room for the rounding of single precision, of sums of up to ``_ROWS``
 _ENDS = ".,;:!?\"'()[]{}<>*#"
+#: A-Z to a-z, and whether a byte is white space (0), may be stripped (1) or is a term's (2).
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_KIND = np.array([0 if b == 32 or 9 <= b <= 13 else 1 if chr(b) in _ENDS else 2 for b in range(256)], np.uint8)
 _SLICE = 16 << 20       # bytes of text of a shard
 _DOCS, _WORDS = -1, -2  # numbers counted along with the frequencies of terms
 
 
 def _terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts as places in a list of term hashes (0 for words of
-    punctuation only), offsets by text, and that list; it may repeat a term."""
-    codes, offsets, names = W.split(text)
-    clean = [w.strip(_ENDS).encode().lower() for w in names]
-    return codes, offsets, np.array([W.xxhash.xxh64_intdigest(w) | 1 if w else 0 for w in clean], np.uint64)
+    """Terms of all texts as places in a list of term hashes, offsets by text, and
+    that list."""
+    text = pa.concat_arrays([text.cast(pa.string()).fill_null("")])
+    if not len(text):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    at = np.frombuffer(text.buffers()[1], np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
+    data = text.buffers()[2]
+    data = data.to_pybytes()[at[0]:at[-1]].translate(_FOLD) if data is not None else b""
+    at -= at[0]
+    if not data:
+        return np.zeros(0, np.int64), at, np.zeros(0, np.uint64)
+    kind = _KIND[np.frombuffer(data, np.uint8)]
+    # a word ends at white space and with its text; what it has but punctuation goes from its first to its last such byte
+    first = np.zeros(len(data) + 1, bool)
+    first[at] = True
+    word = kind > 0
+    first[:-1] |= np.concatenate([[True], ~word[:-1]])
+    start = np.flatnonzero(first[:-1] & word)
+    core = np.flatnonzero(kind > 1)
+    # the bytes of the core by word: those of the word that begins last before them
+    low = np.searchsorted(core, start)
+    high = np.concatenate([low[1:], [len(core)]])[:len(low)]
+    some = high > low
+    begin, end = core[low[some]], core[high[some] - 1] + 1
+    found = pa.array(W.hashed(data, begin, end - begin) | np.uint64(1)).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), np.searchsorted(begin, at), found.dictionary.to_numpy()
 
 
 def _places(each: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -68,93 +95,83 @@ def _places(each: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(wanted[place] == each, place, -1) if len(wanted) else np.full(len(each), -1)
 
 
-def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The runs of ``n`` numbers from ``start`` on, one after the other."""
-    start, n = start[n > 0], n[n > 0]
-    if not len(n):
-        return np.zeros(0, np.int64)
-    ends = np.cumsum(n)
-    out = np.ones(ends[-1], np.int64)
-    out[0] = start[0]
-    out[ends[:-1]] = start[1:] - start[:-1] - n[:-1] + 1
-    return np.cumsum(out)
+class Asked:
+    """A block of queries: for each the places of its terms, those that have a row
+    of scores (numbers of rows) apart from the others."""
+
+    def __init__(self, offsets: np.ndarray, places: np.ndarray, row: np.ndarray):
+        rows = row[places]
+        of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        some = rows >= 0
+        self.n = len(offsets) - 1
+        self.rows, self.terms = rows[some].astype(np.int32), places[~some].astype(np.int32)
+        self.row_at, self.term_at = (np.searchsorted(of[x], np.arange(self.n + 1)) for x in (some, ~some))
 
 
 class Shard:
-    """Inverted index of some documents; impacts need the global statistics."""
+    """Inverted index of some documents; impacts need the global statistics.
+    ``row``: for each term the row that its scores are kept as, or -1."""
 
     def __init__(self, codes: np.ndarray, offsets: np.ndarray, each: np.ndarray, wanted: np.ndarray, idf: np.ndarray, mean: float,
-                 dense: np.ndarray | None = None):
+                 row: np.ndarray):
         size = np.diff(offsets)
-        doc = np.repeat(np.arange(len(size)), size)
-        size = np.bincount(doc[(each != 0)[codes]], minlength=len(size))
+        self.n, self.width = len(size), (len(size) // BLOCK + 1) * BLOCK
         place = _places(each, wanted)[codes]
-        real = place >= 0
-        key, tf = np.unique(place[real].astype(np.int64) * len(size) + doc[real], return_counts=True)
-        term, doc = np.divmod(key, max(1, len(size)))
-        # documents with the same of the commonest terms side by side (of a language, mostly), by length
-        bit = np.zeros(len(wanted), np.int64)
-        common = np.argsort(-np.bincount(term, minlength=len(wanted)), kind="stable")[:COMMON]
-        bit[common] = 1 << np.arange(len(common))[::-1]
-        self.order = np.lexsort((size, np.bincount(doc, bit[term], len(size))))
-        at = np.empty(len(size), np.int64)
-        at[self.order] = np.arange(len(size))
-        by = np.argsort(term * len(size) + at[doc])           # by term, then document
-        self.doc, term, tf = at[doc[by]], term[by], tf[by]
-        long = K1 * (1 - B + B * size[self.order][self.doc] / mean) if mean else np.ones(len(key))
-        self.score = idf[term] * tf * (K1 + 1) / (tf + long)
-        block = term * (len(size) // BLOCK + 1) + self.doc // BLOCK
-        self.start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self.end = np.concatenate([self.start[1:], [len(key)]]).astype(np.int64)[:len(self.start)]
-        self.most = np.maximum.reduceat(self.score, self.start) if len(key) else self.score
-        self.block = self.doc[self.start] // BLOCK
-        self.of_term = np.searchsorted(term[self.start], np.arange(len(wanted) + 1))
-        self.n, self.n_blocks = len(size), len(size) // BLOCK + 1
-        # the commonest terms of the corpus (the same in every shard): term to row or -1, scores by block and document
-        self.row = np.full(len(wanted), -1)
-        dense = np.zeros(0, np.int64) if dense is None else dense
-        self.row[dense] = np.arange(len(dense))
-        self.rows = np.zeros((len(dense), self.n_blocks, BLOCK))
-        some = self.row[term] >= 0
-        self.rows.reshape(len(dense), self.n_blocks * BLOCK)[self.row[term[some]], self.doc[some]] = self.score[some]
-
-    def top(self, query: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) of the best k, ties at the k-th place included, of
-        those that reach ``least``."""
-        floor = max(least, 1e-300)
-        lists = _spread(self.of_term[query], self.of_term[query + 1] - self.of_term[query])
-        block = self.block.take(lists)
-        rows = self.row[query]
-        sparse = np.repeat(rows < 0, self.of_term[query + 1] - self.of_term[query])
-        rows = rows[rows >= 0]
-        bound = np.bincount(block, self.most.take(lists), self.n_blocks) * (1 + 1e-9)    # room for rounding
-        lists, block = lists[sparse], block[sparse]
-        turn = np.argsort(-bound, kind="stable")
-        scores, least, at, step = np.zeros(self.n_blocks * BLOCK), floor, 0, 8
-        seen = np.zeros(0, np.int64)
-        while at < len(turn):
-            # the pivot: blocks from here on cannot reach the k-th best
-            now = turn[at:at + step]
-            now = now[bound[now] >= least]
-            if not len(now):
-                break
-            taken = np.zeros(self.n_blocks, bool)
-            taken[now] = True
-            own = lists.compress(taken.take(block))    # a document's terms in one order, so that sums agree
-            start = self.start.take(own)
-            post = _spread(start, self.end.take(own) - start)
-            scores += np.bincount(self.doc.take(post), self.score.take(post), self.n_blocks * BLOCK)
-            if len(rows):
-                scores.reshape(-1, BLOCK)[now] += self.rows[rows[:, None], now].sum(0)
-            seen = np.concatenate([seen, (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
-            seen = seen[seen < self.n]
-            if len(seen) > k:
-                least = max(floor, np.partition(scores[seen], -k)[-k])
-                seen = seen[scores[seen] >= least]
-            at += step
-            step *= 8
-        seen = seen[scores[seen] >= floor]
-        return self.order[seen], scores[seen]
+        key = np.sort((place * max(1, self.n) + np.repeat(np.arange(self.n), size))[place >= 0])    # by term, then document
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+        tf = np.diff(np.concatenate([start, [len(key)]]))
+        term, doc = np.divmod(key[start], max(1, self.n))
+        long = K1 * (1 - B + B * size[doc] / mean) if mean else np.ones(len(doc))
+        score = idf[term] * tf * (K1 + 1) / (tf + long)
+        # terms with a row are the same in every shard
+        some = row[term] >= 0
+        self.rows = np.zeros((self.width, int(row.max(initial=-1)) + 1))
+        self.rows[doc[some], row[term[some]]] = score[some]
+        self.near = np.ascontiguousarray(self.rows.T, np.float32)
+        self.doc, self.score = doc[~some], score[~some]
+        self.of_term = np.concatenate([[0], np.cumsum(np.bincount(term[~some], minlength=len(wanted)))])
+        self.count = np.arange(len(self.doc))
+
+    def top(self, asked: Asked, k: int, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query (documents, scores) of the best k, ties at the k-th place
+        included, of those that reach its ``least``."""
+        step = max(1, _CELLS // self.width)
+        for first in range(0, asked.n, step):
+            last = min(first + step, asked.n)
+            # what the rows add, nearly: products of single precision
+            row_at, term_at = asked.row_at[first:last + 1], asked.term_at[first:last + 1]
+            has = np.zeros((last - first, len(self.near)), np.float32)
+            has[np.repeat(np.arange(last - first), np.diff(row_at)), asked.rows[row_at[0]:row_at[-1]]] = 1
+            near = has @ self.near
+            for i in range(last - first):
+                sums = self._sums(asked.terms[term_at[i]:term_at[i + 1]])
+                yield self._best(sums, asked.rows[row_at[i]:row_at[i + 1]], near[i], k, max(least[first + i], 1e-300))
+
+    def _sums(self, terms: np.ndarray) -> np.ndarray:
+        """The postings of the terms without a row added up by document; a document's
+        terms in one order, so that sums of equal documents agree."""
+        start = self.of_term[terms]
+        n = self.of_term[terms + 1] - start
+        post = np.repeat(start - (np.cumsum(n) - n), n)     # the lists one after the other
+        post += self.count[:len(post)]
+        return np.bincount(self.doc[post], self.score[post], self.width)
+
+    def _best(self, sums: np.ndarray, rows: np.ndarray, near: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The best k of a query; ``near``: what its rows add, but for rounding."""
+        reach = (sums + near).reshape(-1, BLOCK if self.width >= BLOCK * k else 1)
+        most = reach.max(1)
+        if len(most) >= k:      # they are of as many documents: a k-th best to begin with
+            least = max(least, np.partition(most, -k)[-k] / _ROOM)
+        some = np.flatnonzero(most >= least / _ROOM)        # no document has more than _ROOM times that
+        block, place = np.nonzero(reach[some] >= least / _ROOM)
+        docs = some[block] * reach.shape[1] + place
+        docs = docs[docs < self.n]
+        # a document's rows in one order too
+        scores = sums[docs] + self.rows[docs].take(rows, 1).sum(1)
+        if len(docs) > k:
+            least = max(least, np.partition(scores, -k)[-k])
+        fits = scores >= least
+        return docs[fits], scores[fits]
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,19 +183,19 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "doc_i
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, offsets, each = _terms(batch["text"])
-            terms = each[codes]
-            own = [np.unique(terms[s:e][terms[s:e] != 0]).view(np.int64) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["query"], pa.array(own, pa.list_(pa.int64()))], ["query", "terms"])
+            for part in W.slices(batch, limit=_SLICE):
+                codes, offsets, each = _terms(part["text"])
+                terms = each[codes]
+                own = [np.unique(terms[s:e]).view(np.int64) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part["query"], pa.array(own, pa.list_(pa.int64()))], ["query", "terms"])
 
-    total = asked.count()
-    n_blocks = max(1, -(-total // QUERIES))
+    named = stage(asked.select("query", "text").mapInArrow(terms_of, "query long, terms array<long>"), "search-terms")
+    total, pairs = named.agg(F.count(F.lit(1)), F.sum(F.size("terms").cast("long"))).first()
+    n_blocks = max(1, -(-total // QUERIES), -(-(pairs or 0) // TERMS))
     found = None
     for b in range(n_blocks):
-        mine = asked.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == b)
-        block = mine.select("query", "text").mapInArrow(terms_of, "query long, terms array<long>").collect()  # one block
-        wanted = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.array(r.terms, np.int64) for r in block]]).view(np.uint64))
-        one = _best(spark, rows, block, wanted, k)
+        block = named.where(F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == b).toArrow()    # one block
+        one = _best(spark, rows, block, k)
         found = one if found is None else found.unionAll(one)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "hash")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -186,8 +203,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "doc_i
     return best.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
-def _best(spark, rows: DataFrame, block: list, wanted: np.ndarray, k: int) -> DataFrame:
+def _best(spark, rows: DataFrame, block: pa.Table, k: int) -> DataFrame:
     """The best k of every task for each query of a block."""
+    lists = block["terms"].combine_chunks()
+    terms = lists.flatten().to_numpy().view(np.uint64)
+    wanted = np.unique(terms)
     given = spark.sparkContext.broadcast(wanted)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,46 +217,46 @@ def _best(spark, rows: DataFrame, block: list, wanted: np.ndarray, k: int) -> Da
             for part in W.slices(batch, limit=_SLICE):
                 codes, offsets, each = _terms(part["text"])
                 n_docs += part.num_rows
-                n_words += int((each != 0)[codes].sum())
+                n_words += len(codes)
                 place = _places(each, wanted)[codes]
-                doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                pair = np.unique((doc * len(wanted) + place)[place >= 0])
-                if len(pair):
-                    df += np.bincount(pair % len(wanted), minlength=len(wanted))
+                pair = np.sort((place * part.num_rows + np.repeat(np.arange(part.num_rows), np.diff(offsets)))[place >= 0])
+                pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])[:len(pair)]]
+                df += np.bincount(pair // part.num_rows, minlength=len(wanted))
         term = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([term, [_DOCS, _WORDS]])),
                                           pa.array(np.concatenate([df[term], [n_docs, n_words]]))], ["term", "n"])
 
     df, counts = np.zeros(len(wanted)), {_DOCS: 0, _WORDS: 0}
-    for r in rows.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        if r.term < 0:
-            counts[r.term] = r.n
-        else:
-            df[r.term] = r.n                # as many as the block has terms
+    sums = rows.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = sums["term"].to_numpy(), sums["n"].to_numpy()     # as many as the block has terms, and two
+    counts |= dict(zip(term[term < 0].tolist(), n[term < 0].tolist(), strict=True))
+    df[term[term >= 0]] = n[term >= 0]
     idf = np.log1p((counts[_DOCS] - df + 0.5) / (df + 0.5))
     mean = counts[_WORDS] / max(counts[_DOCS], 1)
     dense = np.argsort(-df, kind="stable")[:_ROWS]
     dense = np.sort(dense[df[dense] >= max(1, DENSE * counts[_DOCS])])
-    plan = spark.sparkContext.broadcast((wanted, idf, dense, [
-        (r.query, np.searchsorted(wanted, np.array(r.terms, np.int64).view(np.uint64))) for r in block]))
+    row = np.full(len(wanted), -1, np.int32)
+    row[dense] = np.arange(len(dense))
+    offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+    plan = spark.sparkContext.broadcast((wanted, idf, row, block["query"].to_numpy(), Asked(offsets, np.searchsorted(wanted, terms), row)))
     keyed = rows.withColumn("hash", F.xxhash64("text"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, idf, dense, asked = plan.value
-        best = [[] for _ in asked]          # the best k so far: (-score, id is null, id, hash)
+        wanted, idf, row, queries, asked = plan.value
+        best = [[] for _ in queries]        # the best k so far: (-score, id is null, id, hash)
         kind = None
         for batch in batches:
             kind = batch["doc_id"].type
             for part in W.slices(batch, limit=_SLICE):
-                shard = Shard(*_terms(part["text"]), wanted, idf, mean, dense)
-                hits = [shard.top(own, k, -held[k - 1][0] if len(held) >= k else 0.0) for held, (_, own) in zip(best, asked, strict=True)]
+                shard = Shard(*_terms(part["text"]), wanted, idf, mean, row)
+                hits = list(shard.top(asked, k, np.array([-held[k - 1][0] if len(held) >= k else 0.0 for held in best])))
                 at = pa.array(np.concatenate([np.zeros(0, np.int64), *[docs for docs, _ in hits]]))
                 found = zip(part["doc_id"].take(at).to_pylist(), part["hash"].take(at).to_pylist(), strict=True)
                 for i, (_, scores) in enumerate(hits):
                     if len(scores):
                         more = [(-s, d is None, d or 0, h) for s, (d, h) in zip(scores.tolist(), found, strict=False)]
                         best[i] = sorted(best[i] + more)[:k]
-        rows = [(query, *hit) for (query, _), held in zip(asked, best, strict=True) for hit in held]
+        rows = [(query, *hit) for query, held in zip(queries.tolist(), best, strict=True) for hit in held]
         if rows:
             query, score, null, ids, h = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
