@@ -1,9 +1,11 @@
 """Full build (O1) end to end on the driver tables."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.plans.build import build_all
+from tests.conftest import explain
 
 SF = "/root/testdata/sf0.001"
 
@@ -226,3 +228,39 @@ def test_no_order_is_dropped_and_hot_orders_are_spread(spark, workdir):
              .groupBy(F.input_file_name()).count().count())
     assert parts > 1
     assert b.tables["fct_order_items"].count() == raw["raw_order_items"].count()
+
+
+def test_lines_are_not_shuffled_to_a_product_table_that_executors_can_hold(spark, monkeypatch):
+    from shelfline.operators import marts
+    from shelfline.plans import build
+
+    items = spark.createDataFrame([("a", 1, 10, 1), ("b", 1, 11, 2), ("c", 2, 12, 3), ("d", None, None, 4), ("e", 9, 10, 5)],
+                                  "order_item_id string, order_id long, product_id long, quantity int").selectExpr(
+        "*", "cast(1.5 as decimal(10,2)) as unit_price", "cast(quantity as decimal(12,2)) as line_total")
+    products = spark.createDataFrame([(10, "X", "c1"), (11, None, "c2"), (10, "Y", None)], "product_id long, product_name string, category string")
+    orders = spark.createDataFrame([(1, 5, 7, "completed"), (2, 6, 8, None)], "order_id long, customer_id long, store_id long, status string").selectExpr(
+        "*", "timestamp'2024-01-02 03:04:05' as ordered_at")
+    monkeypatch.setattr(build, "LOOKUP_ROW", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        want = marts.fct_order_items(marts.int_order_items_enriched(items, products), orders)
+        for limit, held in ((306, True), (305, False)):     # two names and two categories: 6 bytes
+            monkeypatch.setattr(build, "LOOKUP_BYTES", limit)
+            lookup = build._lookup(products, "product_name", "category")
+            got = marts.fct_order_items(marts.int_order_items_enriched(marts.with_order(items, orders), lookup))
+            assert got.schema == want.schema and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 7
+            assert ("BroadcastHashJoin" in explain(got)) == held
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert build._lookup(products.limit(0), "product_name").count() == 0
+
+
+def test_written_ids_are_stored_as_differences(built):
+    files = [f for f in built.tables["raw_order_items"].inputFiles()]
+    encodings = set()
+    for f in files:
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        for g in range(meta.num_row_groups):
+            encodings |= set(meta.row_group(g).column(0).encodings)
+    assert "DELTA_BYTE_ARRAY" in encodings
